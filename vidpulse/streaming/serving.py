@@ -1,0 +1,19 @@
+"""Policy lookup on a stream of requests."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql.streaming import StreamingQuery
+
+from vidpulse.operators.replay import serve_requests
+from vidpulse.streaming.medallion import write_stream
+
+
+def serve_stream(requests: DataFrame, policy: DataFrame, **options) -> DataFrame:
+    """Stream-static left join; no state."""
+    return serve_requests(requests, policy, **options)
+
+
+def request_log_sink(served: DataFrame, path: str, checkpoint: str, fmt: str = "parquet") -> StreamingQuery:
+    """Append served requests to the log table; earlier files are never rewritten."""
+    return write_stream(served, path, checkpoint, fmt)
