@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vidpulse.schemas import FEATURE_COLUMNS, SPLIT_FEATURE_COLUMNS, WINDOW
 
-HOT_ROWS = 5_000_000  # raw rows of one (video, window) that one task should take
+HOT_ROWS = 5_000_000  # raw rows of one video and day that one task should take
 
 
 def windowed(logs: DataFrame, window: str) -> DataFrame:
@@ -26,22 +26,22 @@ def video_features(
     """Views, distinct users, mean ratio and watch time, engagement and growth.
 
     The log crosses the network once, by (video, window, salt). The salt is 0
-    except for the (video, window) groups with more than ``hot_rows`` rows, which
-    are cut by user; a user stays in one piece, so the pieces' distinct counts
-    add up exactly. Finding those groups is a two-column scan, and there can be
-    at most (log rows / ``hot_rows``) of them, which bounds the broadcast. The
-    second exchange, by video, moves finished pieces and serves both the final
-    sums and the growth window.
+    except for videos with more than ``hot_rows`` rows on the day of the window,
+    whose rows are cut by user; a user stays in one piece, so the pieces' distinct
+    counts add up exactly. Finding those videos is a two-column scan counted per
+    video and day, and there can be at most (log rows / ``hot_rows``) of them,
+    which bounds the broadcast. The second exchange, by video, moves finished
+    pieces and serves both the final sums and the growth window.
     """
     users = F.approx_count_distinct if approx_users else F.count_distinct
-    cells = windowed(logs, window)
+    cells = windowed(logs, window).withColumn("day", F.to_date("window_start"))
     hot = (
-        cells.groupBy("video_id", "window_start")
+        cells.groupBy("video_id", "day")
         .agg(F.count(F.lit(1)).alias("rows"))
         .filter(F.col("rows") > hot_rows)
-        .select("video_id", "window_start", F.ceil(F.col("rows") / hot_rows).alias("splits"))
+        .select("video_id", "day", F.ceil(F.col("rows") / hot_rows).alias("splits"))
     )
-    salted = cells.join(F.broadcast(hot), ["video_id", "window_start"], "left").withColumn(
+    salted = cells.join(F.broadcast(hot), ["video_id", "day"], "left").withColumn(
         "salt", F.pmod(F.xxhash64("user_id"), F.coalesce("splits", F.lit(1)))
     )
     pieces = (

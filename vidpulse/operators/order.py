@@ -16,13 +16,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vidpulse.session import stage
 
 BINS = 4096
-SMALL_ROWS = 1_000_000  # rows one task may sort or hold as a value map
+SMALL_ROWS = 200_000  # rows one task may sort or hold as a value map
 TAKE_ROWS = 1_000  # largest n for which each task keeps its own top n
-MAX_BLOCKS = 10_000  # blocks of a running sum; their totals are broadcast
+BLOCK_ROWS = 10_000  # consecutive rows of a running sum that are added up together
+MAX_BLOCKS = 1_000_000  # blocks of a running sum; their totals (about 40 bytes) are broadcast
 
 
 def _summary(df: DataFrame, name: str) -> tuple[int, int, float | int | None, float | int | None]:
@@ -134,39 +136,59 @@ def approx_quantile(df: DataFrame, name: str, q: float, relative_error: float =
     ).first()["q"]
 
 
+def _as_number(df: DataFrame, name: str) -> Column | None:
+    """An order-preserving number for a number or time column, else None."""
+    kind = df.schema[name].dataType
+    if isinstance(kind, T.NumericType):
+        return F.col(name)
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(F.col(name))
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(name))
+    return None
+
+
 def take_smallest(
-    df: DataFrame, n: int, keys: Sequence[str], *, take_rows: int = TAKE_ROWS,
+    df: DataFrame,
+    n: int,
+    keys: Sequence[str],
+    *,
+    take_rows: int = TAKE_ROWS,
     small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """The ``n`` rows that come first by ``keys`` (ascending, nulls last).
 
-    A small ``n`` is a top-n. A large one is a filter below the n-th key, so no
-    task gathers n rows; only rows equal to that key go on to the next key.
+    A small ``n`` or a small table is a top-n. Otherwise it is a filter below the
+    n-th key, so no task gathers n rows; only rows equal to that key go on to the
+    next key. Text keys can only break ties.
     """
     ordered = [F.col(k).asc_nulls_last() for k in keys]
-    if n <= take_rows or not keys:
-        return df.orderBy(*ordered).limit(n) if keys else df.limit(n)
-    name, rest = keys[0], list(keys[1:])
-    rows, valid, lo, hi = _summary(df, name)
+    number = _as_number(df, keys[0])
+    if n <= take_rows or number is None:
+        return df.orderBy(*ordered).limit(n)
+    keyed = df.withColumn("_number", number)
+    rows, valid, lo, hi = _summary(keyed, "_number")
     if n >= rows:
         return df
+    if rows <= small_rows:
+        return df.orderBy(*ordered).limit(n)
+
+    def rest(same: DataFrame, missing: int) -> DataFrame:
+        if len(keys) == 1:
+            return same.limit(missing)
+        return take_smallest(same, missing, keys[1:], take_rows=take_rows, small_rows=small_rows)
+
     if n >= valid:
-        nulls = take_smallest(
-            df.filter(F.col(name).isNull()), n - valid, rest,
-            take_rows=take_rows, small_rows=small_rows,
-        )
-        return df.filter(F.col(name).isNotNull()).unionByName(nulls)
-    cut = kth_smallest(df, name, n - 1, bounds=(valid, lo, hi), small_rows=small_rows)
-    counts = df.agg(
-        F.count_if(F.col(name) < cut).alias("below"), F.count_if(F.col(name) == cut).alias("at")
+        nulls = rest(df.filter(number.isNull()), n - valid)
+        return df.filter(number.isNotNull()).unionByName(nulls)
+    cut = kth_smallest(keyed, "_number", n - 1, bounds=(valid, lo, hi), small_rows=small_rows)
+    counts = keyed.agg(
+        F.count_if(F.col("_number") < cut).alias("below"), F.count_if(F.col("_number") == cut).alias("at")
     ).first()
     missing = n - counts["below"]
     if missing == counts["at"]:
-        return df.filter(F.col(name) <= cut)
-    ties = take_smallest(
-        df.filter(F.col(name) == cut), missing, rest, take_rows=take_rows, small_rows=small_rows
-    )
-    return df.filter(F.col(name) < cut).unionByName(ties)
+        return df.filter(number <= cut)
+    return df.filter(number < cut).unionByName(rest(df.filter(number == cut), missing))
 
 
 def with_global_rank(
@@ -203,7 +225,7 @@ def with_global_rank(
 
 
 def with_running_sums(
-    df: DataFrame, position: str, sums: dict[str, Column], block_rows: int = SMALL_ROWS
+    df: DataFrame, position: str, sums: dict[str, Column], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """Running sums from the first row up to each row, by a 1-based row number.
 

@@ -18,6 +18,8 @@ def build_session(app: str = "vidpulse", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call sites are looked up for every column expression otherwise.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

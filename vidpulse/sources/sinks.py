@@ -38,7 +38,7 @@ def write_table(
     if fmt == "csv":
         writer = writer.option("header", True)
     (writer.partitionBy(partition_by) if partition_by else writer).save(path)
-    return RunReport(rows.get["rows"], time.monotonic() - began)
+    return RunReport(rows.get.get("rows", 0), time.monotonic() - began)
 
 
 def publish(
@@ -90,4 +90,4 @@ def write_topic(
         writer.options(**options).save()
     else:
         writer.options(**options).mode("append").save(topic)
-    return RunReport(rows.get["rows"], time.monotonic() - began)
+    return RunReport(rows.get.get("rows", 0), time.monotonic() - began)

@@ -59,6 +59,8 @@ def scan(
 
     if limit is None:
         return df.select(*columns)
+    if not order:
+        return df.select(*columns).limit(limit)
     needed = list(dict.fromkeys([*columns, *order]))
     return take_smallest(df.select(*needed), limit, list(order)).select(*columns)
 

@@ -75,14 +75,15 @@ def rescore_each_batch(
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        numbered = batch.withColumn("batch_id", F.lit(batch_id))
         (
-            batch.withColumn("batch_id", F.lit(batch_id))
-            .write.mode("overwrite")
+            numbered.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("batch_id")
             .parquet(cells_path)
         )
-        features = stage(grown_cells(read_table(spark, cells_path).drop("batch_id")), "features")
+        written = read_table(spark, cells_path, schema=numbered.schema).drop("batch_id")
+        features = stage(grown_cells(written), "features")
         publish(score_hot(features, **score_options), predictions_path, allow_empty=True)
 
     return _each_batch(cells, handle, checkpoint)

@@ -36,15 +36,31 @@ def write_stream(
     return (writer.partitionBy(partition_by) if partition_by else writer).start()
 
 
-def drain(query: StreamingQuery) -> RunReport:
-    """Wait for the query to stop and report the rows it read."""
-    began = time.monotonic()
+def drain(query: StreamingQuery) -> None:
+    """Wait for the query to stop; raise what made it fail."""
     query.awaitTermination()
     failure = query.exception()
     if failure is not None:
         raise failure
-    rows = sum(p["numInputRows"] for p in query.recentProgress)
-    return RunReport(rows, time.monotonic() - began)
+
+
+def append_available(
+    df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: str | None = None
+) -> RunReport:
+    """Append all available input and report the rows the table gained."""
+    spark = df.sparkSession
+    began = time.monotonic()
+    before = table_rows(spark, path, fmt)
+    drain(write_stream(df, path, checkpoint, fmt, partition_by=partition_by))
+    return RunReport(table_rows(spark, path, fmt) - before, time.monotonic() - began)
+
+
+def table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+    """Row count of a table (read from file footers), 0 when it does not exist."""
+    try:
+        return read_table(spark, path, fmt).count()
+    except FileNotFoundError:
+        return 0
 
 
 def read_bronze_stream(
@@ -70,25 +86,16 @@ def run_bronze(
     **topic_options,
 ) -> RunReport:
     messages = read_topic(spark, topic, servers, fmt=topic_fmt, **topic_options)
-    return drain(write_stream(to_bronze(messages), path, checkpoint, fmt))
+    return append_available(to_bronze(messages), path, checkpoint, fmt)
 
 
 def run_silver(
     spark: SparkSession, bronze: str, path: str, checkpoint: str, *, fmt: str = "parquet", **source_options
 ) -> RunReport:
-    """Strict cleaning of what is new in bronze. ``rows`` counts the silver table,
-    ``errors`` the bronze rows read in this run that did not pass."""
-    began = time.monotonic()
-    before = _rows(spark, path, fmt)
-    read = drain(
-        write_stream(clean_logs(read_bronze_stream(spark, bronze, fmt, **source_options)), path, checkpoint, fmt)
-    ).rows
-    after = _rows(spark, path, fmt)
-    return RunReport(after, time.monotonic() - began, errors=read - (after - before))
-
-
-def _rows(spark: SparkSession, path: str, fmt: str) -> int:
-    try:
-        return read_table(spark, path, fmt).count()
-    except FileNotFoundError:
-        return 0
+    """Strict cleaning of what is new in bronze. ``rows`` is what silver gained,
+    ``errors`` the bronze rows that so far did not pass."""
+    report = append_available(
+        clean_logs(read_bronze_stream(spark, bronze, fmt, **source_options)), path, checkpoint, fmt
+    )
+    rejected = table_rows(spark, bronze, fmt) - table_rows(spark, path, fmt)
+    return RunReport(report.rows, report.seconds, errors=rejected)
