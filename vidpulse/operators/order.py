@@ -235,7 +235,7 @@ def with_running_sums(
     """
     last = df.agg(F.max(position).alias("last")).first()["last"] or 0
     block_rows = max(block_rows, -(-last // MAX_BLOCKS))
-    block = F.floor((F.col(position) - 1) / F.lit(block_rows)).cast("int")
+    block = F.expr(f"CAST((`{position}` - 1) DIV {block_rows} AS INT)")
     names = list(sums)
     blocked = df.select("*", block.alias("_block"), *(sums[n].alias(f"_in_{n}") for n in names))
     before = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

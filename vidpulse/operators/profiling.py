@@ -27,6 +27,12 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
     return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def value_counts_of(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """``value_counts`` of several text columns in one pass, as (column, value, rows)."""
+    long = df.select(*columns).unpivot([], list(columns), "column", "value")
+    return long.groupBy("column", "value").agg(F.count(F.lit(1)).alias("rows"))
+
+
 def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows and columns of each table."""
     parts = [
@@ -50,9 +56,16 @@ def head(df: DataFrame, n: int = 5) -> DataFrame:
 
 
 def describe_numeric(
-    df: DataFrame, columns: Sequence[str] | None = None, places: int = 4, small_rows: int = SMALL_ROWS
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    places: int = 4,
+    small_rows: int = SMALL_ROWS,
+    extra: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Count, mean, deviation, extremes and exact quartiles of the number columns."""
+    """Count, mean, deviation, extremes and exact quartiles of the number columns.
+
+    ``extra`` adds further aggregates (name -> expression) to every row.
+    """
     names = list(columns or numeric_columns(df))
     narrow = df.select(*names)
     quartiles = exact_quantiles(
@@ -73,6 +86,7 @@ def describe_numeric(
                     for q in QUARTILES
                 ),
                 F.max(c).cast("double").alias("max"),
+                *(column.alias(name) for name, column in (extra or {}).items()),
             ).alias(f"d{i}")
             for i, c in enumerate(names)
         )
@@ -135,13 +149,8 @@ def ratio_profile(source: DataFrame, places: int = 6, small_rows: int = SMALL_RO
     """Describe row of the raw ratio with the counts above 1 and of nulls."""
     rated = with_raw_ratio(source).select("watch_ratio_raw")
     value = F.col("watch_ratio_raw")
-    extra = rated.agg(F.count_if(value > 1).alias("over_one"), F.count_if(value.isNull()).alias("null_ratio"))
-    described = describe_numeric(rated, ["watch_ratio_raw"], places, small_rows)
-    return described.select(
-        "*",
-        extra.select("over_one").scalar().alias("over_one"),
-        extra.select("null_ratio").scalar().alias("null_ratio"),
-    )
+    counts = {"over_one": F.count_if(value > 1), "null_ratio": F.count_if(value.isNull())}
+    return describe_numeric(rated, ["watch_ratio_raw"], places, small_rows, counts)
 
 
 def histogram(
@@ -207,20 +216,25 @@ def events_per_day(df: DataFrame, column: str = "event_time") -> DataFrame:
 def run_summary(features: DataFrame, predictions: DataFrame, recommendations: DataFrame) -> DataFrame:
     """Row counts of the outputs, total views, and rows by label and decision."""
 
-    def line(df: DataFrame, name: str, value: Column) -> DataFrame:
-        return df.agg(value.cast("bigint").alias("value")).select(F.lit(name).alias("item"), "value")
+    rows = F.count(F.lit(1))
+
+    def items(row: DataFrame) -> DataFrame:
+        return row.unpivot([], row.columns, "item", "value")
 
     def by(df: DataFrame, column: str) -> DataFrame:
         return value_counts(df, column).select(
             F.concat(F.lit(f"{column}="), F.col(column)).alias("item"), F.col("rows").alias("value")
         )
 
-    rows = F.count(F.lit(1))
     return (
-        line(features, "feature_rows", rows)
-        .unionByName(line(features, "sum_views_count", F.coalesce(F.sum("views_count"), F.lit(0))))
-        .unionByName(line(predictions, "prediction_rows", rows))
-        .unionByName(line(recommendations, "cache_rows", rows))
+        items(
+            features.agg(
+                rows.alias("feature_rows"),
+                F.coalesce(F.sum("views_count"), F.lit(0)).alias("sum_views_count"),
+            )
+        )
+        .unionByName(items(predictions.agg(rows.alias("prediction_rows"))))
+        .unionByName(items(recommendations.agg(rows.alias("cache_rows"))))
         .unionByName(by(predictions, "hot_label"))
         .unionByName(by(recommendations, "cache_decision"))
     )

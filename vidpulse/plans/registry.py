@@ -276,12 +276,7 @@ def top_decided(spark, d):
 
 @query
 def label_counts(spark, d):
-    decided = _decided(spark, d)
-    counts = [
-        profiling.value_counts(decided, c).select(F.lit(c).alias("column"), F.col(c).alias("value"), "rows")
-        for c in ("hot_label", "cache_decision", "cache_priority")
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    return profiling.value_counts_of(_decided(spark, d), ["hot_label", "cache_decision", "cache_priority"])
 
 
 @query
