@@ -14,6 +14,7 @@ from vidpulse.operators.order import (
     approx_quantile,
     exact_quantiles,
     kth_smallest,
+    kth_values,
     take_smallest,
     with_global_rank,
     with_running_sums,
@@ -21,7 +22,7 @@ from vidpulse.operators.order import (
 
 numbers = st.lists(
     st.one_of(
-        st.floats(-1e6, 1e6, allow_nan=False), st.sampled_from([0.0, 1.0, 1.0 + 2**-52, -1e300, 1e300])
+        st.floats(-1e6, 1e6, allow_nan=False), st.sampled_from([0.0, 1.0, 1.0 + 2**-52, -1.7e308, 1.7e308, 5e-324])
     ),
     min_size=1,
     max_size=60,
@@ -36,15 +37,26 @@ few = settings(
 def test_kth_smallest_by_narrowing(spark, values, data):
     k = data.draw(st.integers(0, len(values) - 1))
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    assert kth_smallest(df, "v", k, small_rows=2, bins=4) == sorted(values)[k]
+    assert kth_smallest(df, "v", k, finish_rows=2, bins=4) == sorted(values)[k]
 
 
 @few
-@given(st.lists(st.integers(-(2**59), 2**60), min_size=1, max_size=60), st.data())
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), min_size=1, max_size=60), st.data())
 def test_kth_smallest_of_large_integers(spark, values, data):
     k = data.draw(st.integers(0, len(values) - 1))
     df = spark.createDataFrame([(v,) for v in values], "v bigint")
-    assert kth_smallest(df, "v", k, small_rows=1, bins=8) == sorted(values)[k]
+    assert kth_smallest(df, "v", k, finish_rows=0, bins=8) == sorted(values)[k]
+
+
+@few
+@given(numbers, st.data())
+def test_many_ranks_at_once(spark, values, data):
+    other = [-v / 3 for v in values]
+    ranks = data.draw(st.lists(st.integers(0, len(values) - 1), min_size=1, max_size=6))
+    df = spark.createDataFrame(list(zip(values, other)), "a double, b double")
+    wanted = [(c, k) for c in "ab" for k in ranks]
+    expected = [sorted(values if c == "a" else other)[k] for c, k in wanted]
+    assert kth_values(df, wanted, finish_rows=3, bins=16) == expected
 
 
 def test_kth_smallest_refuses_a_rank_outside(spark):

@@ -180,3 +180,8 @@ def test_null_ratio_stays_an_explicit_null(spark):
     assert bytes(row["key"]) == b"6"
     value = json.loads(bytes(row["value"]))
     assert value["watch_ratio"] is None and value["watch_time"] == 1.235 and value["user_id"] == 5
+
+
+def test_peek_is_a_top_n(spark, sf_dir):
+    plan = peek_topic(messages(spark, sf_dir), 4)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan

@@ -1,7 +1,7 @@
 """Order-based results over whole tables without a single-task sort.
 
-* ``kth_smallest`` / ``exact_quantiles`` narrow a value range by counting rows per
-  bin: every pass is one partial aggregation whose result has at most ``BINS`` rows.
+* ``kth_values`` / ``exact_quantiles`` narrow value ranges by counting rows per
+  bin: every pass is one partial aggregation with at most ``BINS`` result rows.
 * ``with_global_rank`` numbers rows with one range exchange.
 * ``with_running_sums`` is a two-level prefix sum over a dense row number.
 
@@ -20,67 +20,106 @@ from pyspark.sql import types as T
 
 from vidpulse.session import stage
 
-BINS = 4096
+BINS = 16_384  # bins of one counting pass, shared by the ranges in question
+FINISH_ROWS = 10_000  # rows in question that are counted by value in the last pass
 SMALL_ROWS = 200_000  # rows one task may sort or hold as a value map
 TAKE_ROWS = 1_000  # largest n for which each task keeps its own top n
 BLOCK_ROWS = 10_000  # consecutive rows of a running sum that are added up together
 MAX_BLOCKS = 1_000_000  # blocks of a running sum; their totals (about 40 bytes) are broadcast
 
 
-def _summary(df: DataFrame, name: str) -> tuple[int, int, float | int | None, float | int | None]:
+def _bounds(df: DataFrame, names: Sequence[str]) -> dict[str, tuple]:
+    """(non-null rows, min, max) of each column, from one aggregation."""
     row = df.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count(name).alias("valid"),
-        F.min(name).alias("lo"),
-        F.max(name).alias("hi"),
+        *(f(n).alias(f"{f.__name__}_{i}") for i, n in enumerate(names) for f in (F.count, F.min, F.max))
     ).first()
-    return row["n"], row["valid"], row["lo"], row["hi"]
+    return {n: (row[f"count_{i}"], row[f"min_{i}"], row[f"max_{i}"]) for i, n in enumerate(names)}
 
 
-def kth_smallest(
+def kth_values(
     df: DataFrame,
-    name: str,
-    k: int,
+    wanted: Sequence[tuple[str, int]],
     *,
-    bounds: tuple[int, float, float] | None = None,
-    small_rows: int = SMALL_ROWS,
+    bounds: dict[str, tuple] | None = None,
     bins: int = BINS,
-):
-    """The 0-based ``k``-th smallest non-null number of column ``name``.
+    finish_rows: int = FINISH_ROWS,
+) -> list:
+    """For each (column, k) the 0-based ``k``-th smallest non-null value.
 
-    ``bounds`` is ``(non-null rows, min, max)`` when the caller knows them.
+    The columns share one number type. Every round counts rows per bin of each
+    range still in question, all ranges in one pass, and keeps the bin that holds
+    the wanted rank; min and max of its members are the next range. Rounds shrink
+    a range by the number of bins, whatever the number of rows is.
     """
-    if bounds is None:
-        _, valid, lo, hi = _summary(df, name)
+    names = list(dict.fromkeys(n for n, _ in wanted))
+    bounds = bounds or _bounds(df, names)
+    ranges: dict[tuple, tuple[int, int, list[int]]] = {}  # (column, lo, hi) -> below, inside, targets
+    for i, (name, k) in enumerate(wanted):
+        valid, lo, hi = bounds[name]
+        if not 0 <= k < valid:
+            raise ValueError(f"rank {k} of {name} outside 0..{valid - 1}")
+        if isinstance(lo, float) and not (math.isfinite(lo) and math.isfinite(hi)):
+            raise ValueError(f"{name} holds infinite values")
+        ranges.setdefault((name, lo, hi), (0, valid, []))[2].append(i)
+    found: list = [None] * len(wanted)
+    while True:
+        open_ranges = {}
+        for (name, lo, hi), state in ranges.items():
+            if lo == hi:
+                for i in state[2]:
+                    found[i] = lo
+            else:
+                open_ranges[name, lo, hi] = state
+        if not open_ranges:
+            return found
+        last = sum(inside for _, inside, _ in open_ranges.values()) <= finish_rows
+        cells = _count_cells(df, list(open_ranges), max(2, bins // len(open_ranges)), by_value=last)
+        ranges = {}
+        for number, ((name, _, _), (below, _, targets)) in enumerate(open_ranges.items()):
+            waiting = sorted(targets, key=lambda i: wanted[i][1])
+            for cell in sorted((c for c in cells if c["t"] == number), key=lambda c: c["lo"]):
+                while waiting and below + cell["n"] > wanted[waiting[0]][1]:
+                    key = (name, cell["lo"], cell["hi"])
+                    ranges.setdefault(key, (below, cell["n"], []))[2].append(waiting.pop(0))
+                below += cell["n"]
+
+
+def _count_cells(df: DataFrame, ranges: list[tuple], bins: int, by_value: bool) -> list:
+    """Rows, min and max per range and bin (or per value): at most ranges x bins rows."""
+
+    def cell(name: str, lo, hi) -> Column:
+        # The bin number never decreases as the value grows.
+        value, span = F.col(name), hi - lo
+        if isinstance(lo, int) and span >= 2**63:
+            value, lo = value.cast("double"), float(lo)
+        elif isinstance(span, float) and math.isinf(span):
+            value, lo, span = value / 2, lo / 2, hi / 2 - lo / 2
+        share = (value - F.lit(lo)).cast("double") / F.lit(float(span))
+        return F.least(F.floor(share * bins), F.lit(bins - 1)).cast("int")
+
+    if len(ranges) == 1:  # a plain filter, which the scan can use to skip row groups
+        ((name, lo, hi),) = ranges
+        inside = df.filter(F.col(name).between(lo, hi))
+        long = inside.select(F.lit(0).alias("t"), cell(name, lo, hi).alias("bin"), F.col(name).alias("v"))
     else:
-        valid, lo, hi = bounds
-    if not 0 <= k < valid:
-        raise ValueError(f"rank {k} outside 0..{valid - 1}")
-    if isinstance(lo, float) and not (math.isfinite(lo) and math.isfinite(hi)):
-        raise ValueError(f"{name} holds infinite values")
-    value = F.col(name)
-    inside, below = valid, 0
-    while lo != hi and inside > small_rows:
-        # The bin number never decreases as the value grows, so whole bins can
-        # be skipped by their row counts; min and max re-centre the next pass.
-        share = (value - F.lit(lo)).cast("double") / F.lit(float(hi - lo))
-        cells = (
-            df.filter(value.between(lo, hi))
-            .groupBy(F.least(F.floor(share * bins), F.lit(bins - 1)).alias("bin"))
-            .agg(F.count(F.lit(1)).alias("n"), F.min(name).alias("lo"), F.max(name).alias("hi"))
-            .collect()  # at most ``bins`` rows
-        )
-        for cell in sorted(cells, key=lambda c: c["bin"]):
-            if below + cell["n"] > k:
-                inside, lo, hi = cell["n"], cell["lo"], cell["hi"]
-                break
-            below += cell["n"]
-    if lo == hi:
-        return lo
-    # At most ``small_rows`` rows are left.
-    return (
-        df.filter(value.between(lo, hi)).select(name).orderBy(name).offset(k - below).first()[0]
-    )
+        entries = [
+            F.when(
+                F.col(name).between(lo, hi),
+                F.struct(F.lit(t).alias("t"), cell(name, lo, hi).alias("bin"), F.col(name).alias("v")),
+            )
+            for t, (name, lo, hi) in enumerate(ranges)
+        ]
+        long = df.select(F.explode(F.array(*entries)).alias("c")).filter(F.col("c").isNotNull()).select("c.*")
+    n = F.count(F.lit(1)).alias("n")
+    if by_value:
+        counted = long.groupBy("t", "v").agg(n)
+        return counted.select("t", "n", F.col("v").alias("lo"), F.col("v").alias("hi")).collect()
+    return long.groupBy("t", "bin").agg(n, F.min("v").alias("lo"), F.max("v").alias("hi")).collect()
+
+
+def kth_smallest(df: DataFrame, name: str, k: int, **options):
+    """The 0-based ``k``-th smallest non-null value of one column."""
+    return kth_values(df, [(name, k)], **options)[0]
 
 
 def exact_quantiles(
@@ -95,36 +134,44 @@ def exact_quantiles(
     ``wanted`` maps a name to (expression, q); rows whose expression is null do
     not count, so a condition is written as ``F.when(condition, column)``.
     ``rows`` is an upper bound of the row count when the caller has one. Up to
-    ``small_rows`` rows a single aggregation answers all; above, each quantile
-    is narrowed by counting.
+    ``small_rows`` rows a single aggregation answers all; above, all ranks are
+    narrowed together by counting.
     """
-    columns = {n: f"q_{i}" for i, n in enumerate(wanted)}
-    values = df.select(*(wanted[n][0].cast("double").alias(c) for n, c in columns.items()))
+    expressions: dict[str, Column] = {}
+    column_of: dict[str, str] = {}
+    for name, (expression, _) in wanted.items():
+        column = column_of[name] = f"q_{str(expression)}"
+        expressions.setdefault(column, expression)
+    plain = {c: f"c{i}" for i, c in enumerate(expressions)}
+    values = df.select(*(expressions[c].cast("double").alias(p) for c, p in plain.items()))
     if rows is None:
         rows = df.count()
     if rows <= small_rows:
         row = values.agg(
-            *(F.percentile(c, F.lit(wanted[n][1])).alias(c) for n, c in columns.items())
+            *(
+                F.percentile(plain[column_of[n]], F.lit(q)).alias(f"r{i}")
+                for i, (n, (_, q)) in enumerate(wanted.items())
+            )
         ).first()
-        return {n: row[c] for n, c in columns.items()}
+        return {n: row[f"r{i}"] for i, n in enumerate(wanted)}
+    bounds = _bounds(values, list(plain.values()))
+    places: dict[str, float] = {}
+    ranks: list[tuple[str, int]] = []
+    for n, (_, q) in wanted.items():
+        column = plain[column_of[n]]
+        if bounds[column][0]:
+            places[n] = q * (bounds[column][0] - 1)
+            ranks += [(column, math.floor(places[n])), (column, math.ceil(places[n]))]
+    ranks = list(dict.fromkeys(ranks))
+    value_of = dict(zip(ranks, kth_values(values, ranks, bounds=bounds))) if ranks else {}
     found: dict[str, float | None] = {}
-    for n, c in columns.items():
-        _, valid, lo, hi = _summary(values, c)
-        if not valid:
+    for n in wanted:
+        if n not in places:
             found[n] = None
             continue
-        position = wanted[n][1] * (valid - 1)
-        rank = math.floor(position)
-        low = kth_smallest(values, c, rank, bounds=(valid, lo, hi), small_rows=small_rows)
-        if position == rank:
-            found[n] = low
-            continue
-        after = values.agg(
-            F.count_if(F.col(c) <= low).alias("upto"),
-            F.min(F.when(F.col(c) > low, F.col(c))).alias("next"),
-        ).first()
-        high = low if after["upto"] > rank + 1 else after["next"]
-        weight = position - rank
+        column, place = plain[column_of[n]], places[n]
+        low, high = value_of[column, math.floor(place)], value_of[column, math.ceil(place)]
+        weight = place - math.floor(place)
         found[n] = low if low == high else (1 - weight) * low + weight * high
     return found
 
@@ -167,7 +214,7 @@ def take_smallest(
     if n <= take_rows or number is None:
         return df.orderBy(*ordered).limit(n)
     keyed = df.withColumn("_number", number)
-    rows, valid, lo, hi = _summary(keyed, "_number")
+    rows = df.count()
     if n >= rows:
         return df
     if rows <= small_rows:
@@ -178,10 +225,12 @@ def take_smallest(
             return same.limit(missing)
         return take_smallest(same, missing, keys[1:], take_rows=take_rows, small_rows=small_rows)
 
+    bounds = _bounds(keyed, ["_number"])
+    valid = bounds["_number"][0]
     if n >= valid:
         nulls = rest(df.filter(number.isNull()), n - valid)
         return df.filter(number.isNotNull()).unionByName(nulls)
-    cut = kth_smallest(keyed, "_number", n - 1, bounds=(valid, lo, hi), small_rows=small_rows)
+    cut = kth_smallest(keyed, "_number", n - 1, bounds=bounds)
     counts = keyed.agg(
         F.count_if(F.col("_number") < cut).alias("below"), F.count_if(F.col("_number") == cut).alias("at")
     ).first()

@@ -23,6 +23,7 @@ from vidpulse.schemas import (
     TOP_CACHED_COLUMNS,
     LatencyModel,
 )
+from vidpulse.session import stage
 from vidpulse.sources.tables import require_columns
 
 ARRIVAL = ("event_time", "event_id")
@@ -105,7 +106,7 @@ def serve_requests(
 def miss_pool(logs: DataFrame, policy: DataFrame) -> DataFrame:
     """Videos of the log that are not cached; placeholder ids when there are none."""
     videos = logs.select(F.col("video_id").cast("string")).filter(F.col("video_id").isNotNull()).distinct()
-    pool = videos.join(policy.select("video_id"), "video_id", "left_anti")
+    pool = stage(videos.join(policy.select("video_id"), "video_id", "left_anti"), "miss-pool")
     if pool.isEmpty():
         numbers = logs.sparkSession.range(1, PLACEHOLDERS + 1)
         return numbers.select(F.concat(F.lit(PLACEHOLDER_ID), F.col("id").cast("string")).alias("video_id"))
