@@ -1,4 +1,4 @@
-from vidpulse.functions.columns import clamp, finite_or_null, flag, lenient, parse_time, ratio
+from vidpulse.functions.columns import clamp, finite_or_null, flag, lenient, parse_time, ratio, time_text
 from vidpulse.functions.draws import draw32, draw60, int_between, md5_key, uniform
 
 __all__ = [
@@ -12,5 +12,6 @@ __all__ = [
     "md5_key",
     "parse_time",
     "ratio",
+    "time_text",
     "uniform",
 ]

@@ -39,3 +39,16 @@ def clamp(column: Column, low: Column | float, high: Column | float) -> Column:
 def finite_or_null(column: Column) -> Column:
     """NaN compares above every number in Spark; make it null before ranking."""
     return F.when(~F.isnan(column), column)
+
+
+def time_text(column: Column, micros: bool = False) -> Column:
+    """``yyyy-MM-dd HH:mm:ss``, with six decimals on request.
+
+    From the text of the value, because formatting a zone-less time would pass it
+    through the session's zone.
+    """
+    text = column.cast("string")
+    seconds = F.substring(text, 1, 19)
+    if not micros:
+        return seconds
+    return F.concat(seconds, F.lit("."), F.rpad(F.substring(text, 21, 6), 6, "0"))

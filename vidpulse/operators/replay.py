@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidpulse.functions import int_between
+from vidpulse.functions import int_between, time_text
 from vidpulse.operators.order import with_global_rank, with_running_sums
 from vidpulse.operators.sampling import sample_n
 from vidpulse.operators.scoring import by_score
@@ -60,10 +60,6 @@ def top_videos(policy: DataFrame, k: int = 5) -> DataFrame:
     return policy.orderBy(*by_score()).limit(k)
 
 
-def _time_text(column: Column) -> Column:
-    return F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-
-
 def serve_requests(
     requests: DataFrame,
     policy: DataFrame,
@@ -82,8 +78,8 @@ def serve_requests(
         "video_id",
         F.col("hot_score").alias("_score"),
         F.coalesce("hot_label", F.lit(HOT)).alias("_label"),
-        _time_text(F.col("window_start")).alias("_start"),
-        _time_text(F.col("window_end")).alias("_end"),
+        time_text(F.col("window_start")).alias("_start"),
+        time_text(F.col("window_end")).alias("_end"),
         F.lit(True).alias("_hit"),
     )
     hit = F.col("_hit").isNotNull()

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from vidpulse.functions import time_text
 from vidpulse.schemas import LOG_COLUMNS, MAX_OFFSETS_PER_TRIGGER, MESSAGE, TOPIC
 
 
@@ -77,13 +78,10 @@ def peek_topic(messages: DataFrame, n: int = 10) -> DataFrame:
 
 def to_messages(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Log rows as (key = video id, value = JSON); a null ratio stays an explicit null."""
-    time_text = (
-        F.col("event_time")
-        if dict(logs.dtypes)["event_time"] == "string"
-        else F.date_format("event_time", "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    )
+    is_text = dict(logs.dtypes)["event_time"] == "string"
+    event_time = F.col("event_time") if is_text else time_text(F.col("event_time"), micros=True)
     fields = {
-        "event_time": time_text,
+        "event_time": event_time,
         "user_id": F.col("user_id").cast("bigint"),
         "video_id": F.col("video_id").cast("bigint"),
         "watch_time": F.round("watch_time", 3),
