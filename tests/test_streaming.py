@@ -185,3 +185,15 @@ def test_null_ratio_stays_an_explicit_null(spark):
 def test_peek_is_a_top_n(spark, sf_dir):
     plan = peek_topic(messages(spark, sf_dir), 4)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
+
+
+def test_silver_by_day_prunes_partitions(spark, medallion, tmp_path):
+    paths, reports = medallion
+    path = str(tmp_path / "by_day")
+    report = run_silver(spark, paths["bronze"], path, str(tmp_path / "cp"), by_day=True)
+    assert report.rows == sum(s.rows for _, s in reports)
+    day = read_table(spark, path).filter("event_date = DATE '2024-01-05'")
+    plan = day._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    expected = read_table(spark, paths["silver"]).filter("to_date(event_time) = DATE '2024-01-05'")
+    assert day.drop("event_date").exceptAll(expected).count() == 0 and day.count() == expected.count() > 0

@@ -274,15 +274,21 @@ def with_global_rank(
 
 
 def with_running_sums(
-    df: DataFrame, position: str, sums: dict[str, Column], block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    position: str,
+    sums: dict[str, Column],
+    block_rows: int = BLOCK_ROWS,
+    last: int | None = None,
 ) -> DataFrame:
     """Running sums from the first row up to each row, by a 1-based row number.
 
     Blocks of consecutive numbers are summed first (at most ``MAX_BLOCKS``
     totals, which are broadcast); each block then adds up its own rows. Blocks
     have equal size whatever the values are, so no task gets more than its share.
+    ``last`` is the largest number where the caller knows it.
     """
-    last = df.agg(F.max(position).alias("last")).first()["last"] or 0
+    if last is None:
+        last = df.agg(F.max(position).alias("last")).first()["last"] or 0
     block_rows = max(block_rows, -(-last // MAX_BLOCKS))
     block = F.expr(f"CAST((`{position}` - 1) DIV {block_rows} AS INT)")
     names = list(sums)

@@ -114,14 +114,13 @@ def with_request_id(requests: DataFrame, order: Sequence[str] = ARRIVAL) -> Data
     return with_global_rank(requests, list(order), "request_id")
 
 
-def with_running_stats(log: DataFrame, block_rows: int | None = None) -> DataFrame:
+def with_running_stats(log: DataFrame, **options: int) -> DataFrame:
     """Hit ratio and mean latency after each request, by ``request_id``."""
     sums = {
         "_hits": F.when(F.col("status") == CACHE_HIT, 1).otherwise(0).cast("bigint"),
         "_latency": F.col("latency_ms").cast("bigint"),
         "_requests": F.lit(1).cast("bigint"),
     }
-    options = {} if block_rows is None else {"block_rows": block_rows}
     running = with_running_sums(log, "request_id", sums, **options)
     return running.select(
         *log.columns,
@@ -141,7 +140,9 @@ def replay_policy(
 ) -> DataFrame:
     """Numbered, served and with running statistics: the request log."""
     numbered = with_request_id(requests, order)
-    return with_running_stats(serve_requests(numbered, policy, key=key, latency=latency, seed=seed))
+    last = numbered.agg(F.max("request_id")).first()[0] or 0
+    served = serve_requests(numbered, policy, key=key, latency=latency, seed=seed)
+    return with_running_stats(served, last=last)
 
 
 # --- statistics ---------------------------------------------------------------

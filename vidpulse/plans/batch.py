@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from vidpulse.operators import caching, profiling, scoring
-from vidpulse.operators.features import video_features
+from vidpulse.operators.features import HOT_ROWS, video_features
 from vidpulse.schemas import HOT_QUANTILE, WATCHLIST_QUANTILE, WINDOW, CostModel, ScoreWeights
 from vidpulse.sources.sinks import RunReport, publish
 from vidpulse.sources.tables import read_table
@@ -31,6 +31,7 @@ class BatchSettings:
     weights: ScoreWeights = field(default_factory=ScoreWeights)
     costs: CostModel = field(default_factory=CostModel)
     top_n: int = 20
+    hot_rows: int = HOT_ROWS
 
 
 def run_batch(
@@ -49,7 +50,7 @@ def run_batch(
         reports[name] = publish(df, path, allow_empty=allow_empty)
         return read_table(spark, path, schema=df.schema)
 
-    features = put(video_features(logs, settings.window), FEATURES)
+    features = put(video_features(logs, settings.window, hot_rows=settings.hot_rows), FEATURES)
     predictions = put(
         scoring.score_hot(
             features,

@@ -37,13 +37,15 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or the context's checkpoint folder.
 
     Where it is unset a local-mode session gets a temporary folder; a cluster
     has to name one that every executor can reach.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.vidpulse.localStageDir", None
+    folder = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or spark.conf.get("spark.vidpulse.localStageDir", None)
     )
     if folder:
         return folder

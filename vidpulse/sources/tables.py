@@ -20,7 +20,7 @@ def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def require_path(spark: SparkSession, path: str) -> str:
     fs, jpath = hadoop_path(spark, path)
-    if not fs.exists(jpath):
+    if not fs.globStatus(jpath):  # null or empty
         raise FileNotFoundError(f"Input not found: {path}")
     return path
 
@@ -35,8 +35,8 @@ def read_table(
 def read_csv(
     spark: SparkSession, path: str, schema: StructType | str, header: bool = True
 ) -> DataFrame:
-    """CSV with a given schema, which saves the inference pass. Columns are taken by
-    position under the names of ``schema``; unreadable fields are null."""
+    """CSV with a given schema, which saves the inference pass. The header line has
+    to agree with the names of ``schema``; unreadable fields are null."""
     return (
         spark.read.schema(schema)
         .option("header", header)

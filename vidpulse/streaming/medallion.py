@@ -5,6 +5,7 @@ from __future__ import annotations
 import time
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vidpulse.operators.cleaning import clean_logs
@@ -90,12 +91,21 @@ def run_bronze(
 
 
 def run_silver(
-    spark: SparkSession, bronze: str, path: str, checkpoint: str, *, fmt: str = "parquet", **source_options
+    spark: SparkSession,
+    bronze: str,
+    path: str,
+    checkpoint: str,
+    *,
+    fmt: str = "parquet",
+    by_day: bool = False,
+    **source_options,
 ) -> RunReport:
     """Strict cleaning of what is new in bronze. ``rows`` is what silver gained,
-    ``errors`` the bronze rows that so far did not pass."""
-    report = append_available(
-        clean_logs(read_bronze_stream(spark, bronze, fmt, **source_options)), path, checkpoint, fmt
-    )
+    ``errors`` the bronze rows that so far did not pass. ``by_day`` partitions the
+    table by ``event_date``, so that later jobs read only the days they need."""
+    cleaned = clean_logs(read_bronze_stream(spark, bronze, fmt, **source_options))
+    if by_day:
+        cleaned = cleaned.withColumn("event_date", F.to_date("event_time"))
+    report = append_available(cleaned, path, checkpoint, fmt, "event_date" if by_day else None)
     rejected = table_rows(spark, bronze, fmt) - table_rows(spark, path, fmt)
     return RunReport(report.rows, report.seconds, errors=rejected)
