@@ -24,6 +24,8 @@ BINS = 16_384  # bins of one counting pass, shared by the ranges in question
 FINISH_ROWS = 10_000  # rows in question that are counted by value in the last pass
 SMALL_ROWS = 200_000  # rows one task may sort or hold as a value map
 TAKE_ROWS = 1_000  # largest n for which each task keeps its own top n
+RANGE_ROWS = 250_000  # rows of one sorted range of a global rank
+MAX_RANGES = 20_000  # ranges of a global rank; their starts enter the plan as one literal
 BLOCK_ROWS = 10_000  # consecutive rows of a running sum that are added up together
 MAX_BLOCKS = 1_000_000  # blocks of a running sum; their totals (about 40 bytes) are broadcast
 
@@ -248,10 +250,11 @@ def with_global_rank(
     The rows are range-partitioned by the whole order key (ties of the first
     column are therefore split too), sorted inside their partitions and written
     once; the position inside a partition comes from its running id and the
-    start of each partition from the row counts.
+    start of each partition from the row counts. Unless given, the number of
+    partitions follows from the counted rows.
     """
-    spark = df.sparkSession
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions is None:
+        partitions = min(max(1, -(-df.count() // RANGE_ROWS)), MAX_RANGES)
     running = F.monotonically_increasing_id()  # partition in the upper bits, row in the lower 33
     sorted_rows = (
         df.repartitionByRange(partitions, *order)
