@@ -58,7 +58,7 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result is needed by several jobs: later jobs prune columns on
@@ -67,7 +67,7 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     fs, jpath = hadoop_path(spark, path)
     fs.deleteOnExit(jpath)
     return spark.read.schema(df.schema).parquet(path)
