@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vidpulse.llm import language, packing, pii, quality
+from vidpulse.llm import jaccard, language, packing, pii, quality
 from vidpulse.llm.common import table, tokenizer_path
 from vidpulse.session import stage
 
@@ -25,6 +25,11 @@ def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.clean(docs)
 
 
+def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies, the one with the smallest id."""
+    return jaccard.one_of_each(docs)
+
+
 def drop_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates, addresses and keys under pseudonyms."""
     return pii.pseudonymised(docs, pii.secret_of(spark))
@@ -38,6 +43,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("language ID", find_language),
     ("quality rules", clean_lines),
+    ("n-gram Jaccard join", one_per_group),
     ("PII", drop_personal),
     ("packing", pack),
 ]

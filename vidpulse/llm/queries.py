@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import bpe, language, packing, pii, quality
+from vidpulse.llm import bpe, jaccard, language, packing, pii, quality
 from vidpulse.llm.common import table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,3 +48,8 @@ def op7_quality(spark, d):
 @query
 def op9_pii(spark, d):
     return pii.pseudonymise(table(spark, d, "documents"), pii.secret_of(spark))
+
+
+@query
+def op10_jaccard(spark, d):
+    return jaccard.jaccard_components(table(spark, d, "documents"))
