@@ -11,32 +11,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from vidpulse.llm import jaccard, language, packing, pii, quality
-from vidpulse.llm.common import table, tokenizer_path
+from vidpulse.llm.common import ship, table, tokenizer_path
 from vidpulse.session import stage
 
 
 def find_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language compression tells with some margin."""
+    ship(spark)
     return language.identified(docs, language.learn(docs))
 
 
 def clean_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules, without the lines that fail them."""
+    ship(spark)
     return quality.clean(docs)
 
 
 def one_per_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, the one with the smallest id."""
+    ship(spark)
     return jaccard.one_of_each(docs)
 
 
 def drop_personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal numbers, dates, addresses and keys under pseudonyms."""
+    ship(spark)
     return pii.pseudonymised(docs, pii.secret_of(spark))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences, with their ids."""
+    ship(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 from urllib.parse import urlparse
 
 import numpy as np
@@ -16,6 +19,25 @@ from vidpulse.session import hadoop_path, shared_folder
 SLICE_BYTES = 2 << 20
 
 
+def ship(spark: SparkSession) -> None:
+    """Have Spark send this package to the executors, once for each context."""
+    import vidpulse
+
+    context = spark.sparkContext
+    if getattr(context, "_vidpulse_shipped", False):
+        return
+    root, packed = Path(vidpulse.__file__).parent, io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(root.rglob("*.py")):
+            out.write(path, path.relative_to(root.parent))
+    uri = f"{new_folder(spark, 'code')}/vidpulse-{uuid.uuid4().hex}.zip"
+    fs, path = file_system(uri)
+    with fs.open_output_stream(path) as stream:
+        stream.write(packed.getvalue())
+    context.addPyFile(uri)
+    context._vidpulse_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

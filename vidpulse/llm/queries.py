@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import bpe, jaccard, language, packing, pii, quality
-from vidpulse.llm.common import table, tokenizer_path
+from vidpulse.llm import bpe, jaccard, language, packing, pii, quality, tokenfile
+from vidpulse.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -16,8 +17,13 @@ ORACLE_SQL: dict[str, str] = {}
 
 
 def query(build: Query) -> Query:
-    QUERIES[build.__name__] = build
-    return build
+    @wraps(build)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        ship(spark)
+        return build(spark, d)
+
+    QUERIES[build.__name__] = run
+    return run
 
 
 @query
@@ -53,3 +59,9 @@ def op9_pii(spark, d):
 @query
 def op10_jaccard(spark, d):
     return jaccard.jaccard_components(table(spark, d, "documents"))
+
+
+@query
+def op8_tokenfile(spark, d):
+    files = tokenfile.write_files(table(spark, d, "documents"), tokenizer_path())
+    return tokenfile.read_files(spark, files)
