@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import bpe, jaccard, language, packing, pii, quality, tokenfile
+from vidpulse.llm import bpe, jaccard, language, neighbours, packing, pii, quality, tokenfile
 from vidpulse.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,3 +65,8 @@ def op10_jaccard(spark, d):
 def op8_tokenfile(spark, d):
     files = tokenfile.write_files(table(spark, d, "documents"), tokenizer_path())
     return tokenfile.read_files(spark, files)
+
+
+@query
+def op3_neighbours(spark, d):
+    return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
