@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import bpe, jaccard, language, neighbours, packing, pii, quality, tokenfile
+from vidpulse.llm import bpe, jaccard, language, neighbours, packing, pii, quality, tokenfile, warc
 from vidpulse.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -70,3 +70,9 @@ def op8_tokenfile(spark, d):
 @query
 def op3_neighbours(spark, d):
     return neighbours.nearest(table(spark, d, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op5_warc(spark, d):
+    archives = warc.write_archives(table(spark, d, "pages"))
+    return warc.read_archives(spark, archives, payloads=False)
