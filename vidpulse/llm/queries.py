@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.llm import bpe, jaccard, language, neighbours, packing, pii, quality, tokenfile, warc
+from vidpulse.llm import bpe, jaccard, language, licences, neighbours, packing, pii, quality, tokenfile, warc
 from vidpulse.llm.common import ship, table, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -76,3 +76,15 @@ def op3_neighbours(spark, d):
 def op5_warc(spark, d):
     archives = warc.write_archives(table(spark, d, "pages"))
     return warc.read_archives(spark, archives, payloads=False)
+
+
+@query
+def op2_licences(spark, d):
+    """The table has no paths, so a document lies in the folder of its source and language."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in ("source", "lang", "doc_id")]
+    files = table(spark, d, "documents").select("doc_id", F.concat_ws("/", *parts).alias("path"), "text")
+    found = licences.scan(files)
+    return found.withColumn("doc_id", F.element_at(F.split("path", "/"), -1).try_cast("long"))
+
+
+ORACLE_SQL["op2_licences"] = licences.oracle()
