@@ -1,0 +1,83 @@
+import datetime
+import re
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+
+from vidpulse.llm import pii
+from vidpulse.llm.queries import QUERIES
+
+OWN = pii.Pseudonyms("a key for tests")
+
+
+@given(st.integers(1, 3000), st.binary(max_size=4))
+def test_permute_is_a_permutation(size, tweak):
+    value = size // 2
+    moved = pii.permute(value, size, b"k", tweak)
+    assert 0 <= moved < size and pii.permute(moved, size, b"k", tweak, undo=True) == value
+
+
+def test_whole_range_is_hit_once():
+    assert len({pii.permute(i, 777, b"k", b"t") for i in range(777)}) == 777
+    huge = 10**200
+    assert pii.permute(pii.permute(12345, huge, b"k", b"t"), huge, b"k", b"t", undo=True) == 12345
+
+
+def luhn(d):
+    return pii.luhn_digit(d[:-1]) == int(d[-1])
+
+
+@pytest.mark.parametrize(
+    ("kind", "value", "still"),
+    [
+        ("card", "4929348385146306", lambda x: luhn(x) and x[0] == "4" and len(x) == 16),
+        ("card", "4929-3483-8514-6306", lambda x: luhn(x.replace("-", "")) and re.fullmatch(r"(\d{4}-){3}\d{4}", x)),
+        ("phone", "+1 (974) 555-3436", lambda x: re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", x)),
+        ("ip", "137.187.58.226", lambda x: re.fullmatch(r"\d{3}\.\d{3}\.\d{2}\.\d{3}", x) and all(int(p) < 256 for p in x.split("."))),
+        ("ssn", "078-05-1120", lambda x: re.fullmatch(r"\d{3}-\d{2}-\d{4}", x)),
+        ("date", "2024-02-29", lambda x: datetime.date.fromisoformat(x)),
+        ("date", "31/12/1999", lambda x: datetime.datetime.strptime(x, "%d/%m/%Y")),
+        ("iban", "GB82 WEST 1234 5698 7654 32", lambda x: pii.iban(x, lambda v, s, t: v) == x),
+        ("email", "jo.98@mail5.example.com", lambda x: re.fullmatch(r"[a-z]{2}\.\d\d@[a-z]{4}\d\.[a-z]{7}\.com", x)),
+        ("key", "b44e15e09fd311c3cf3163b66d5a9875b883d8ce", lambda x: re.fullmatch(r"[0-9a-f]{40}", x)),
+    ],
+)
+def test_formats_stay_and_equal_values_are_linked(kind, value, still):
+    text, counts = OWN.apply(f"before {value} after, ({value})!")
+    first = re.fullmatch(r"before (.*) after, \((.*)\)!", text)
+    assert counts == {kind: 2} and first[1] == first[2] != value and still(first[1])
+    assert pii.Pseudonyms("another key").apply(value)[0] != first[1]
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["9807915762804490", "256.1.1.1", "2023-02-29", "000-12-3456", "version 2.0.1", "GB00 WEST 1234 5698 7654 32", "call 12-34", "a@b", "0000000000000000"],
+)
+def test_invalid_values_are_left_alone(text):
+    assert OWN.apply(text) == (text, {})
+
+
+def test_query_leaves_no_personal_value_and_no_clean_text_changes(spark, sf_dir):
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    rows = QUERIES["op9_pii"](spark, sf_dir).collect()
+    assert len(rows) == len(docs)
+    plain = re.compile(r"[\w.+-]+@[\w.-]+\.\w+|\+1 \(\d{3}\) \d{3}-\d{4}|(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w.])|(?<!\d)\d{16}(?!\d)")
+    replaced = 0
+    for r in rows:
+        before = docs[r.doc_id] or ""
+        values = {v for v in plain.findall(before) if len(v) != 16 or not v.isdigit() or luhn(v)}
+        assert not [v for v in values if v in r.text]
+        assert len(r.text) == len(before)
+        replaced += bool(values)
+        if not r.n_replaced:
+            assert r.text == before
+    assert replaced
+
+
+def test_odd_rows(odd_docs, no_docs):
+    done = pii.pseudonymised(odd_docs, "k")
+    assert done.schema == odd_docs.schema
+    assert sorted(map(str, done.collect())) == sorted(map(str, odd_docs.collect()))
+    assert {r.text for r in pii.pseudonymise(odd_docs, "k").filter("doc_id = 0").collect()} == {None}
+    assert pii.pseudonymise(no_docs, "k").count() == pii.pseudonymised(no_docs, "k").count() == 0
