@@ -39,7 +39,6 @@ HEADLINE = [
     "request_stats",
     "running_stats",
     "replay_policy",
-    "scenario_summary",
     "sample_n",
     "inject_trend",
     "describe_numeric",

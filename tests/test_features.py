@@ -77,26 +77,35 @@ def skewed(spark):
 
 
 @pytest.mark.parametrize("window", ["30 minutes", "1 day", "7 days"])
-def test_splitting_hot_groups_changes_nothing(spark, window):
-    logs = skewed(spark).cache()
-    whole = features.video_features(logs, window, hot_rows=10**9)
-    pieces = features.video_features(logs, window, hot_rows=20)
-    assert whole.exceptAll(pieces).count() == 0 and pieces.exceptAll(whole).count() == 0
-    assert whole.agg(F.sum("views_count")).first()[0] == 6000
+def test_users_are_counted_exactly(spark, window):
+    logs = skewed(spark)
+    rows = features.video_features(logs, window)
+    plain = features.windowed(logs, window).groupBy("video_id", "window_start")
+    expected = plain.agg(F.count("*").alias("views_count"), F.count_distinct("user_id").alias("unique_users"))
+    columns = ["video_id", "window_start", "views_count", "unique_users"]
+    assert rows.select(columns).exceptAll(expected.select(columns)).count() == 0
+    assert rows.agg(F.sum("views_count")).first()[0] == 6000
 
 
-def test_one_exchange_of_log_rows(spark, sf_dir):
+def test_log_rows_are_added_up_before_every_exchange(spark, sf_dir):
     logs = spark.read.parquet(f"{sf_dir}/events.parquet").selectExpr(
         "ts AS event_time", "user_id", "event_type AS video_id", "value AS watch_time",
         "value AS watch_ratio", "0 AS is_like", "0 AS is_share",
     )
     plan = features.video_features(logs)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 3  # hot videos, log rows, finished pieces
-    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert plan.count("Scan parquet") == 1 and plan.count("Exchange hashpartitioning") == 3
+    assert plan.count("partial_sum(watch_time") == 1 and "Join" not in plan
+
+
+def test_a_dominant_user_sends_no_raw_rows(spark):
+    logs = skewed(spark).withColumn("user_id", F.when(F.col("video_id") == "hot", "one").otherwise(F.col("user_id")))
+    df = features.video_features(logs.repartition(4))
+    hot = df.filter("video_id = 'hot'").first()
+    assert (hot["views_count"], hot["unique_users"]) == (2000, 1)
 
 
 def test_approximate_users(spark):
-    rows = features.video_features(skewed(spark), "1 day", approx_users=True, hot_rows=500)
+    rows = features.video_features(skewed(spark), "1 day", approx_users=True)
     hot = rows.filter("video_id = 'hot'").first()
     exact = skewed(spark).filter("video_id = 'hot'").select("user_id").distinct().count()
     assert hot["unique_users"] == pytest.approx(exact, rel=0.15)

@@ -64,15 +64,14 @@ def test_kth_smallest_refuses_a_rank_outside(spark):
         kth_smallest(spark.range(3), "id", 3)
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_exact_quantiles_match_linear_interpolation(spark, small_rows):
+def test_exact_quantiles_match_linear_interpolation(spark):
     rng = random.Random(1)
     values = [rng.choice([0.25, rng.random()]) for _ in range(700)]
     df = spark.createDataFrame([(v, i % 3) for i, v in enumerate(values)], "v double, g int")
     wanted = {f"q{q}": (F.col("v"), q) for q in (0.0, 0.5, 0.95, 0.99, 1.0)}
     wanted["third"] = (F.when(F.col("g") == 1, F.col("v")), 0.9)
     wanted["none"] = (F.when(F.col("g") == 7, F.col("v")), 0.9)
-    found = exact_quantiles(df, wanted, small_rows=small_rows)
+    found = exact_quantiles(df, wanted)
     for q in (0.0, 0.5, 0.95, 0.99, 1.0):
         assert found[f"q{q}"] == pytest.approx(np.quantile(values, q), abs=1e-15)
     assert found["third"] == pytest.approx(np.quantile(values[1::3], 0.9), abs=1e-15)
@@ -117,7 +116,7 @@ def test_running_sums_of_nothing(spark):
 def test_take_smallest_with_ties_and_nulls(spark, n):
     rows = [(None if i % 6 == 5 else i % 3, i * 7919 % 300) for i in range(300)]
     df = spark.createDataFrame(rows, "a int, b bigint")
-    got = take_smallest(df, n, ["a", "b"], take_rows=0, small_rows=1)
+    got = take_smallest(df, n, ["a", "b"])
     expected = sorted(rows, key=lambda r: (r[0] is None, r[0] or 0, r[1]))[:n]
     assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
 
@@ -128,7 +127,29 @@ def test_take_smallest_by_time(spark, kind):
     df = spark.range(500).select(
         "id", (start + F.make_dt_interval(secs=F.pmod(F.col("id") * 37, F.lit(100)))).alias("t")
     )
-    got = take_smallest(df, 123, ["t", "id"], take_rows=0, small_rows=1)
+    got = take_smallest(df, 123, ["t", "id"])
     expected = sorted(((i * 37 % 100, i) for i in range(500)))[:123]
     base = datetime.datetime(2024, 1, 1)
     assert sorted(((r["t"] - base).seconds, r["id"]) for r in got.collect()) == expected
+
+
+@pytest.mark.parametrize("n", [1_000, 300_000])
+def test_nan_and_infinite_values_are_ordinary(spark, n):
+    value = F.when(F.col("id") % 10 == 0, float("nan")).when(F.col("id") % 10 == 1, float("-inf"))
+    value = value.when(F.col("id") % 10 == 2, float("inf")).otherwise(F.col("id") % 7)
+    df = spark.range(n).select(value.alias("v"), F.lit(None).cast("double").alias("none"))
+    found = exact_quantiles(df, {q: (F.col("v"), float(q)) for q in ("0", "0.05", "0.5", "0.85", "0.95", "1")})
+    assert found["0"] == found["0.05"] == float("-inf") and found["0.85"] == float("inf")
+    middle = [float("-inf")] * (n // 10) + sorted(i % 7 for i in range(n) if i % 10 > 2) + [float("inf")] * (n // 10)
+    low, high = middle[int(0.5 * (n - 1))], middle[int(0.5 * (n - 1)) + 1]
+    assert found["0.5"] == (low + high) / 2 and np.isnan(found["0.95"]) and np.isnan(found["1"])
+
+
+def test_first_rows_are_sorted_at_every_size(spark):
+    df = spark.range(3000).select((F.pmod(F.xxhash64("id"), F.lit(500))).alias("a"), "id").repartition(7)
+    for n in (0, 5, 1500, 3000, 9999):
+        rows = [tuple(r) for r in take_smallest(df, n, ["a", "id"]).collect()]
+        assert rows == sorted(tuple(r) for r in df.collect())[:n]
+    text = df.select(F.col("a").cast("string").alias("a"), "id")
+    rows = [tuple(r) for r in take_smallest(text, 40, ["a"]).collect()]
+    assert rows == sorted(tuple(r) for r in text.collect())[:40]

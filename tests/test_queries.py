@@ -4,28 +4,22 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tests.oracle_check import connect, differences
-
-ROWS_ONLY = {"hot_quantile_approx", "hot_max_approx"}
-
+from vidpulse.plans.oracle import ORACLE_SQL
+from vidpulse.plans.registry import QUERIES
 
 @pytest.fixture(scope="module")
 def con(sf_dir):
     return connect(sf_dir)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_sql(spark, sf_dir, con, name):
     assert differences(spark, name, sf_dir, con) == []
 
 
-@pytest.mark.parametrize("name", sorted(ROWS_ONLY))
-def test_sketch_queries_run(spark, sf_dir, name):
-    assert entry_points.queries()[name](spark, sf_dir).count() > 0
-
-
-def test_every_query_but_the_sketches_has_sql():
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == ROWS_ONLY
-    assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(entry_points.oracle_sql()) <= set(entry_points.queries()) >= set(QUERIES)
 
 
 def test_entry_runs(spark):

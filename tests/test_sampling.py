@@ -16,7 +16,7 @@ def logs(spark, n=3000):
 
 
 def test_sample_has_the_exact_size_and_is_repeatable(spark):
-    narrowed = sampling.sample_n(logs(spark), 1234, "event_id", take_rows=0, small_rows=10)
+    narrowed = sampling.sample_n(logs(spark), 1234, "event_id")
     plain = sampling.sample_n(logs(spark).repartition(9), 1234, "event_id")
     assert narrowed.count() == 1234 and narrowed.exceptAll(plain).count() == 0
     other = sampling.sample_n(logs(spark), 1234, "event_id", 7)
@@ -28,7 +28,7 @@ def test_sample_has_the_exact_size_and_is_repeatable(spark):
 
 def test_sample_of_copies_keeps_its_size(spark):
     copies = spark.range(900).select((F.col("id") % 3).alias("k"), "id")
-    assert sampling.sample_n(copies, 400, "k", take_rows=0, small_rows=10).count() == 400
+    assert sampling.sample_n(copies, 400, "k").count() == 400
 
 
 def test_sample_keys(spark):
@@ -43,8 +43,8 @@ def test_sample_with_replacement(spark):
     assert 1500 < distinct < 1900  # 3000 * (1 - exp(-2500 / 3000)) = 1696
     assert sampling.sample_with_replacement(logs(spark, 40), 2500, ["event_id"]).count() == 40
     assert sampling.sample_with_replacement(logs(spark, 0), 2500, ["event_id"]).count() == 0
-    with pytest.raises(ValueError):
-        sampling.sample_with_replacement(logs(spark), sampling.MAX_DRAWS + 1, ["event_id"])
+    assert sampling.draw_rows(logs(spark, 40), 2500, ["event_id"]).count() == 2500
+    assert sampling.draw_rows(logs(spark), 1_200_000, ["event_id"]).count() == 1_200_000
 
 
 def test_trend_injection(spark):

@@ -16,8 +16,7 @@ from vidpulse.sources.sinks import EmptyResult, publish, write_table, write_topi
 from vidpulse.sources.tables import read_table
 from vidpulse.sources.topic import parse_messages, peek_topic, read_topic_batch, to_messages
 from vidpulse.streaming.features import grown_cells, rescore_each_batch, stream_cells
-from vidpulse.streaming.medallion import append_available, drain, run_bronze, run_silver
-from vidpulse.streaming.serving import request_log_sink, serve_stream
+from vidpulse.streaming.medallion import append_available, drain, run_bronze, run_silver, write_stream
 
 
 def messages(spark, sf_dir):
@@ -129,20 +128,16 @@ def test_rescoring_after_each_batch(spark, ordered, tmp_path):
 
 def test_requests_on_a_stream(spark, medallion, tmp_path):
     paths, _ = medallion
-    silver = read_table(spark, paths["silver"]).withColumn(
-        "request", F.concat_ws("|", "event_time", "user_id", "video_id")
-    )
+    silver = read_table(spark, paths["silver"])
     features = video_features(silver.withColumn("event_time", F.col("event_time").cast("timestamp_ntz")), "1 day")
     hot = score_hot(stage(features, "features")).filter("hot_label = 'HOT'")
     policy = stage(cache_policy(hot), "policy")
     stream = spark.readStream.schema(SILVER).parquet(paths["silver"])
-    served = serve_stream(
-        stream.withColumn("request", F.concat_ws("|", "event_time", "user_id", "video_id")), policy, key="request"
-    )
+    served = serve_requests(stream, policy)
     log, checkpoint = str(tmp_path / "log"), str(tmp_path / "cp")
-    drain(request_log_sink(served, log, checkpoint))
-    drain(request_log_sink(served, log, checkpoint))
-    expected = serve_requests(silver, policy, key="request")
+    drain(write_stream(served, log, checkpoint))
+    drain(write_stream(served, log, checkpoint))
+    expected = serve_requests(silver, policy)
     got = read_table(spark, log)
     assert got.count() == expected.count()
     assert got.exceptAll(expected).count() == 0

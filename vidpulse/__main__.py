@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import Observation
+
 from vidpulse.operators.cleaning import clean_logs, normalize_columns, with_defaults
 from vidpulse.operators.sampling import generate_logs, inject_trend
 from vidpulse.plans.batch import BatchSettings, run_from_table
@@ -50,7 +52,8 @@ def main(argv: list[str] | None = None) -> None:
         if args.limit:
             order = ["event_time", "event_id"] if "event_id" in logs.columns else ["event_time"]
             logs = replay(logs, args.limit, order)
-        print(write_topic(to_messages(logs), args.topic, args.servers, args.fmt))
+        rejects = Observation()
+        print(write_topic(to_messages(logs, rejects=rejects), args.topic, args.servers, args.fmt, rejects))
     elif args.step == "peek":
         peek_topic(read_topic_batch(spark, args.topic, args.servers, args.fmt), args.n).show(args.n, False)
     elif args.step == "bronze":

@@ -37,8 +37,15 @@ def clamp(column: Column, low: Column | float, high: Column | float) -> Column:
 
 
 def finite_or_null(column: Column) -> Column:
-    """NaN compares above every number in Spark; make it null before ranking."""
-    return F.when(~F.isnan(column), column)
+    """NaN compares above every number in Spark; make it and infinite values null before ranking."""
+    return F.when(~F.isnan(column) & (F.abs(column) < float("inf")), column)
+
+
+def millis_text(column: Column) -> Column:
+    """Milliseconds since 1970, also as text, to zone-less time text; null when unreadable."""
+    seconds = (lenient(column, "bigint").cast("decimal(19,3)") / 1000).cast("decimal(18,6)")
+    start = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return (start + F.make_dt_interval(secs=seconds)).cast("string")
 
 
 def time_text(column: Column, micros: bool = False) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions import finite_or_null, lenient
-from vidpulse.operators.order import SMALL_ROWS, exact_quantiles, with_global_rank
+from vidpulse.operators.order import exact_quantiles, with_global_rank
 from vidpulse.operators.scoring import by_score, hot_only
 from vidpulse.schemas import (
     CACHE,
@@ -34,19 +34,22 @@ PREDICTION_INPUTS = RECOMMENDATION_COLUMNS[:11]
 
 
 def coerce_predictions(predictions: DataFrame) -> DataFrame:
-    """Numbers or 0, counts truncated to whole numbers, labels in upper case."""
+    """Finite numbers or 0, counts truncated to whole numbers or 0, labels in upper case."""
     require_columns(predictions, PREDICTION_INPUTS)
 
     def number(name: str) -> Column:
         value = lenient(F.col(name), "double")
         return F.coalesce(finite_or_null(value), F.lit(0.0))
 
+    def whole(name: str, kind: str) -> Column:
+        return F.coalesce(lenient(number(name), kind), F.lit(0).cast(kind))
+
     return predictions.withColumns(
         {
             "video_id": F.col("video_id").cast("string"),
-            **{n: number(n).cast("bigint") for n in ("views_count", "unique_users", "engagement_count")},
+            **{n: whole(n, "bigint") for n in ("views_count", "unique_users", "engagement_count")},
             **{n: number(n) for n in ("avg_watch_ratio", "growth_rate", "hot_score")},
-            "predicted_hot": number("predicted_hot").cast("int"),
+            "predicted_hot": whole("predicted_hot", "int"),
             "hot_label": F.upper(F.col("hot_label").cast("string")),
         }
     )
@@ -64,7 +67,7 @@ def reconcile_labels(predictions: DataFrame) -> DataFrame:
 
 
 def cache_thresholds(
-    predictions: DataFrame, watchlist_q: float = WATCHLIST_QUANTILE, small_rows: int = SMALL_ROWS
+    predictions: DataFrame, watchlist_q: float = WATCHLIST_QUANTILE
 ) -> dict[str, float | None]:
     """Watchlist cut (non-HOT rows, or all rows when every row is HOT) and the p99."""
     score = F.col("hot_score")
@@ -75,7 +78,6 @@ def cache_thresholds(
             "all": (score, watchlist_q),
             "p99": (score, HOT_QUANTILE),
         },
-        small_rows=small_rows,
     )
     watchlist = cuts["all"] if cuts["non_hot"] is None else cuts["non_hot"]
     return {"watchlist": watchlist, "p99": cuts["p99"]}
@@ -108,10 +110,10 @@ def cache_reason() -> Column:
 
 
 def decide(
-    predictions: DataFrame, watchlist_q: float = WATCHLIST_QUANTILE, small_rows: int = SMALL_ROWS
+    predictions: DataFrame, watchlist_q: float = WATCHLIST_QUANTILE
 ) -> DataFrame:
     """Decision, priority and reason for coerced and reconciled predictions."""
-    cuts = cache_thresholds(predictions, watchlist_q, small_rows)
+    cuts = cache_thresholds(predictions, watchlist_q)
     return (
         predictions.withColumn("cache_decision", cache_decision(cuts["watchlist"]))
         .withColumn("cache_priority", cache_priority(cuts["p99"]))
@@ -143,9 +145,9 @@ def recommend_cache(
 
 
 def top_cached(all_hot: DataFrame, n: int = 20) -> DataFrame:
-    """The n best HOT records, 1..100."""
-    if not 1 <= n <= 100:
-        raise ValueError("n must lie between 1 and 100")
+    """The n best HOT records."""
+    if n < 1:
+        raise ValueError("n must be at least 1")
     return all_hot.orderBy(*by_score()).limit(n).select(*TOP_CACHED_COLUMNS)
 
 

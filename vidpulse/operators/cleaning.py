@@ -9,18 +9,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidpulse.functions import clamp, flag, lenient, parse_time, ratio
+from vidpulse.functions import clamp, flag, lenient, millis_text, parse_time, ratio
 from vidpulse.schemas import COLUMN_ALIASES, DEFAULT_FLAGS, LOG_COLUMNS
 from vidpulse.sources.tables import require_columns
 
 
 def normalize_columns(df: DataFrame, aliases: dict[str, str] = COLUMN_ALIASES) -> DataFrame:
-    """Trimmed lower-case names, then the first alias present for each absent target."""
+    """Trimmed lower-case names, then the first alias present for each absent target.
+
+    A ``time_ms`` column stands in for an absent event time, as text read from milliseconds.
+    """
     names = [c.strip().lower() for c in df.columns]
     for old, new in aliases.items():
         if old in names and new not in names:
             names = [new if n == old else n for n in names]
-    return df.toDF(*names)
+    named = df.toDF(*names)
+    if "time_ms" in names and "event_time" not in names:
+        named = named.withColumn("time_ms", millis_text(F.col("time_ms"))).withColumnRenamed("time_ms", "event_time")
+    return named
 
 
 def with_defaults(df: DataFrame, defaults: dict[str, int] = DEFAULT_FLAGS) -> DataFrame:
@@ -88,7 +94,10 @@ def clean_logs(df: DataFrame, mode: str = "strict", time_type: str = "timestamp"
 
 
 def _strict(df: DataFrame, time_type: str) -> DataFrame:
-    # Plain column filters stand first so that they reach the file scan.
+    # Plain column filters stand first so that they reach the file scan; text is typed before.
+    text = {n for n, kind in df.dtypes if kind == "string"} & {"watch_time", "duration"}
+    if text:
+        df = df.withColumns({n: lenient(F.col(n), "double") for n in text})
     watched = ratio(F.col("watch_time"), F.col("duration"))
     kept = df.filter(
         F.col("user_id").isNotNull()

@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from vidpulse.schemas import FEATURE_COLUMNS, SPLIT_FEATURE_COLUMNS, WINDOW
 
-HOT_ROWS = 5_000_000  # raw rows of one video and day that one task should take
-
-
 def windowed(logs: DataFrame, window: str) -> DataFrame:
     """Adds the start of the tumbling window; rows without a time are dropped."""
     return logs.withColumn("window_start", F.window("event_time", window)["start"])
@@ -21,47 +18,34 @@ def video_features(
     *,
     split_engagement: bool = False,
     approx_users: bool = False,
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Views, distinct users, mean ratio and watch time, engagement and growth.
 
-    The log crosses the network once, by (video, window, salt). The salt is 0
-    except for videos with more than ``hot_rows`` rows on the day of the window,
-    whose rows are cut by user; a user stays in one piece, so the pieces' distinct
-    counts add up exactly. Finding those videos is a two-column scan counted per
-    video and day, and there can be at most (log rows / ``hot_rows``) of them,
-    which bounds the broadcast. The second exchange, by video, moves finished
-    pieces and serves both the final sums and the growth window.
+    Two levels: rows are added up per (video, window, user) and those sums per (video,
+    window). Both add up within each task first, so neither a popular video nor a busy
+    user sends raw rows anywhere, and users are counted exactly, as one row each. With
+    ``approx_users`` a sketch counts them and the first level falls away.
     """
-    users = F.approx_count_distinct if approx_users else F.count_distinct
-    cells = windowed(logs, window).withColumn("day", F.to_date("window_start"))
-    hot = (
-        cells.groupBy("video_id", "day")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .filter(F.col("rows") > hot_rows)
-        .select("video_id", "day", F.ceil(F.col("rows") / hot_rows).alias("splits"))
-    )
-    salted = cells.join(F.broadcast(hot), ["video_id", "day"], "left").withColumn(
-        "salt", F.pmod(F.xxhash64("user_id"), F.coalesce("splits", F.lit(1)))
-    )
-    pieces = (
-        salted.repartition("video_id", "window_start", "salt")
-        .groupBy("video_id", "window_start", "salt")
-        .agg(
-            F.count(F.lit(1)).alias("views"),
-            users("user_id").alias("users"),
-            F.sum("watch_ratio").alias("ratio_sum"),
-            F.count("watch_ratio").alias("ratio_n"),
-            F.sum("watch_time").alias("watch_sum"),
-            F.count("watch_time").alias("watch_n"),
-            # One sum skips a row in which either flag is null, two sums do not.
-            *(
-                [F.sum("is_like").alias("likes"), F.sum("is_share").alias("shares")]
-                if split_engagement
-                else [F.sum(F.col("is_like") + F.col("is_share")).alias("engaged")]
-            ),
-        )
-    )
+    cells = windowed(logs, window)
+    sums = {
+        "views": F.count(F.lit(1)),
+        "ratio_sum": F.sum("watch_ratio"),
+        "ratio_n": F.count("watch_ratio"),
+        "watch_sum": F.sum("watch_time"),
+        "watch_n": F.count("watch_time"),
+        # One sum skips a row in which either flag is null, two sums do not.
+        **(
+            {"likes": F.sum("is_like"), "shares": F.sum("is_share")}
+            if split_engagement
+            else {"engaged": F.sum(F.col("is_like") + F.col("is_share"))}
+        ),
+    }
+    if approx_users:
+        users = F.approx_count_distinct("user_id").alias("users")
+        pieces = cells.groupBy("video_id", "window_start").agg(users, *(c.alias(n) for n, c in sums.items()))
+    else:
+        each = cells.groupBy("video_id", "window_start", "user_id").agg(*(c.alias(n) for n, c in sums.items()))
+        pieces = each.withColumn("users", F.col("user_id").isNotNull().cast("bigint"))
     engagement = (
         {
             "like_count": F.coalesce(F.sum("likes"), F.lit(0)),
@@ -71,8 +55,7 @@ def video_features(
         else {"engagement_count": F.sum("engaged")}
     )
     features = (
-        pieces.repartition("video_id")
-        .groupBy("video_id", "window_start")
+        pieces.groupBy("video_id", "window_start")
         .agg(
             F.sum("views").alias("views_count"),
             F.sum("users").alias("unique_users"),

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,27 +23,50 @@ from vidpulse.session import stage
 
 BINS = 16_384  # bins of one counting pass, shared by the ranges in question
 FINISH_ROWS = 10_000  # rows in question that are counted by value in the last pass
-SMALL_ROWS = 200_000  # rows one task may sort or hold as a value map
-TAKE_ROWS = 1_000  # largest n for which each task keeps its own top n
 RANGE_ROWS = 250_000  # rows of one sorted range of a global rank
 MAX_RANGES = 20_000  # ranges of a global rank; their starts enter the plan as one literal
 BLOCK_ROWS = 10_000  # consecutive rows of a running sum that are added up together
 MAX_BLOCKS = 1_000_000  # blocks of a running sum; their totals (about 40 bytes) are broadcast
 
 
-def _bounds(df: DataFrame, names: Sequence[str]) -> dict[str, tuple]:
-    """(non-null rows, min, max) of each column, from one aggregation."""
-    row = df.agg(
-        *(f(n).alias(f"{f.__name__}_{i}") for i, n in enumerate(names) for f in (F.count, F.min, F.max))
-    ).first()
-    return {n: (row[f"count_{i}"], row[f"min_{i}"], row[f"max_{i}"]) for i, n in enumerate(names)}
+class Bounds(NamedTuple):
+    """What one column holds: non-null rows, the least and greatest finite value, and the rest.
+
+    In order of size: ``low`` rows of minus infinity, the finite ones, ``high`` rows of
+    plus infinity, then NaN.
+    """
+
+    valid: int
+    lo: float | int | None
+    hi: float | int | None
+    low: int = 0
+    high: int = 0
+    nan: int = 0
+
+
+def _bounds(df: DataFrame, names: Sequence[str]) -> dict[str, Bounds]:
+    """The bounds of each column, from one aggregation."""
+    infinity, parts = float("inf"), []
+    for i, n in enumerate(names):
+        value = F.col(n)
+        parts += [F.count(value).alias(f"valid_{i}")]
+        if isinstance(df.schema[n].dataType, T.FractionalType) and not isinstance(df.schema[n].dataType, T.DecimalType):
+            parts += [
+                F.count_if(value == -infinity).alias(f"low_{i}"),
+                F.count_if(value == infinity).alias(f"high_{i}"),
+                F.count_if(F.isnan(value)).alias(f"nan_{i}"),
+            ]
+            value = F.when((value > -infinity) & (value < infinity), value)
+        parts += [F.min(value).alias(f"lo_{i}"), F.max(value).alias(f"hi_{i}")]
+    row = df.agg(*parts).first().asDict()
+    return {n: Bounds(**{k: row[f"{k}_{i}"] for k in Bounds._fields if f"{k}_{i}" in row}) for i, n in enumerate(names)}
 
 
 def kth_values(
     df: DataFrame,
     wanted: Sequence[tuple[str, int]],
     *,
-    bounds: dict[str, tuple] | None = None,
+    bounds: dict[str, Bounds] | None = None,
     bins: int = BINS,
     finish_rows: int = FINISH_ROWS,
 ) -> list:
@@ -51,19 +75,24 @@ def kth_values(
     The columns share one number type. Every round counts rows per bin of each
     range still in question, all ranges in one pass, and keeps the bin that holds
     the wanted rank; min and max of its members are the next range. Rounds shrink
-    a range by the number of bins, whatever the number of rows is.
+    a range by the number of bins, whatever the number of rows is. NaN counts as the
+    largest value, and infinite values are ordinary ones; both are counted apart.
     """
     names = list(dict.fromkeys(n for n, _ in wanted))
     bounds = bounds or _bounds(df, names)
     ranges: dict[tuple, tuple[int, int, list[int]]] = {}  # (column, lo, hi) -> below, inside, targets
-    for i, (name, k) in enumerate(wanted):
-        valid, lo, hi = bounds[name]
-        if not 0 <= k < valid:
-            raise ValueError(f"rank {k} of {name} outside 0..{valid - 1}")
-        if isinstance(lo, float) and not (math.isfinite(lo) and math.isfinite(hi)):
-            raise ValueError(f"{name} holds infinite values")
-        ranges.setdefault((name, lo, hi), (0, valid, []))[2].append(i)
     found: list = [None] * len(wanted)
+    for i, (name, k) in enumerate(wanted):
+        held = bounds[name]
+        if not 0 <= k < held.valid:
+            raise ValueError(f"rank {k} of {name} outside 0..{held.valid - 1}")
+        finite = held.valid - held.low - held.high - held.nan
+        if k < held.low:
+            found[i] = -math.inf
+        elif k < held.low + finite:
+            ranges.setdefault((name, held.lo, held.hi), (held.low, finite, []))[2].append(i)
+        else:
+            found[i] = math.inf if k < held.low + finite + held.high else math.nan
     while True:
         open_ranges = {}
         for (name, lo, hi), state in ranges.items():
@@ -127,17 +156,12 @@ def kth_smallest(df: DataFrame, name: str, k: int, **options):
 def exact_quantiles(
     df: DataFrame,
     wanted: dict[str, tuple[Column, float]],
-    *,
-    rows: int | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> dict[str, float | None]:
     """Linearly interpolated quantiles, name -> value (null when there are no rows).
 
     ``wanted`` maps a name to (expression, q); rows whose expression is null do
-    not count, so a condition is written as ``F.when(condition, column)``.
-    ``rows`` is an upper bound of the row count when the caller has one. Up to
-    ``small_rows`` rows a single aggregation answers all; above, all ranks are
-    narrowed together by counting.
+    not count, so a condition is written as ``F.when(condition, column)``. All ranks
+    are narrowed together by counting, at every size.
     """
     expressions: dict[str, Column] = {}
     column_of: dict[str, str] = {}
@@ -146,23 +170,13 @@ def exact_quantiles(
         expressions.setdefault(column, expression)
     plain = {c: f"c{i}" for i, c in enumerate(expressions)}
     values = df.select(*(expressions[c].cast("double").alias(p) for c, p in plain.items()))
-    if rows is None:
-        rows = df.count()
-    if rows <= small_rows:
-        row = values.agg(
-            *(
-                F.percentile(plain[column_of[n]], F.lit(q)).alias(f"r{i}")
-                for i, (n, (_, q)) in enumerate(wanted.items())
-            )
-        ).first()
-        return {n: row[f"r{i}"] for i, n in enumerate(wanted)}
     bounds = _bounds(values, list(plain.values()))
     places: dict[str, float] = {}
     ranks: list[tuple[str, int]] = []
     for n, (_, q) in wanted.items():
         column = plain[column_of[n]]
-        if bounds[column][0]:
-            places[n] = q * (bounds[column][0] - 1)
+        if bounds[column].valid:
+            places[n] = q * (bounds[column].valid - 1)
             ranks += [(column, math.floor(places[n])), (column, math.ceil(places[n]))]
     ranks = list(dict.fromkeys(ranks))
     value_of = dict(zip(ranks, kth_values(values, ranks, bounds=bounds))) if ranks else {}
@@ -197,55 +211,52 @@ def _as_number(df: DataFrame, name: str) -> Column | None:
     return None
 
 
-def take_smallest(
-    df: DataFrame,
-    n: int,
-    keys: Sequence[str],
-    *,
-    take_rows: int = TAKE_ROWS,
-    small_rows: int = SMALL_ROWS,
-) -> DataFrame:
-    """The ``n`` rows that come first by ``keys`` (ascending, nulls last).
+def take_smallest(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    """The ``n`` rows that come first by ``keys`` (ascending, nulls last), in that order.
 
-    A small ``n`` or a small table is a top-n. Otherwise it is a filter below the
-    n-th key, so no task gathers n rows; only rows equal to that key go on to the
-    next key. Text keys can only break ties.
+    A filter below the n-th key, so no task gathers n rows; only rows equal to that
+    key go on to the next key, and rows equal in all keys to the other columns. A text
+    key ranks the rows that it has to decide.
     """
-    ordered = [F.col(k).asc_nulls_last() for k in keys]
-    number = _as_number(df, keys[0])
-    if n <= take_rows or number is None:
-        return df.orderBy(*ordered).limit(n)
+    return _first(df, n, keys).orderBy(*(F.col(k).asc_nulls_last() for k in keys))
+
+
+def _first(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+    number = _as_number(df, keys[0]) if keys else None
+    if number is None:
+        order = [*keys, *(c for c in df.columns if c not in keys)]
+        ranked = with_global_rank(df, [F.col(c).asc_nulls_last() for c in order], "_place")
+        return ranked.filter(F.col("_place") <= n).drop("_place")
     keyed = df.withColumn("_number", number)
-    rows = df.count()
-    if n >= rows:
-        return df
-    if rows <= small_rows:
-        return df.orderBy(*ordered).limit(n)
-
-    def rest(same: DataFrame, missing: int) -> DataFrame:
-        if len(keys) == 1:
-            return same.limit(missing)
-        return take_smallest(same, missing, keys[1:], take_rows=take_rows, small_rows=small_rows)
-
-    bounds = _bounds(keyed, ["_number"])
-    valid = bounds["_number"][0]
-    if n >= valid:
-        nulls = rest(df.filter(number.isNull()), n - valid)
-        return df.filter(number.isNotNull()).unionByName(nulls)
-    cut = kth_smallest(keyed, "_number", n - 1, bounds=bounds)
+    held = _bounds(keyed, ["_number"])["_number"]
+    if n >= held.valid:
+        nulls = df.filter(number.isNull())
+        if held.valid and n == held.valid:
+            return df.filter(number.isNotNull())
+        return df.filter(number.isNotNull()).unionByName(_first(nulls, n - held.valid, keys[1:]))
+    if n <= 0:
+        return df.limit(0)
+    cut = F.lit(kth_smallest(keyed, "_number", n - 1, bounds={"_number": held}))
     counts = keyed.agg(
         F.count_if(F.col("_number") < cut).alias("below"), F.count_if(F.col("_number") == cut).alias("at")
     ).first()
     missing = n - counts["below"]
     if missing == counts["at"]:
         return df.filter(number <= cut)
-    return df.filter(number < cut).unionByName(rest(df.filter(number == cut), missing))
+    return df.filter(number < cut).unionByName(_first(df.filter(number == cut), missing, keys[1:]))
 
 
 def with_global_rank(
     df: DataFrame, order: Sequence[Column | str], name: str = "rank", partitions: int | None = None
 ) -> DataFrame:
-    """Dense 1-based number of each row in ``order``.
+    """Dense 1-based number of each row in ``order``."""
+    return ranked_rows(df, order, name, partitions)[0]
+
+
+def ranked_rows(
+    df: DataFrame, order: Sequence[Column | str], name: str = "rank", partitions: int | None = None
+) -> tuple[DataFrame, int]:
+    """The rows with a dense 1-based number in ``order``, and how many there are.
 
     The rows are range-partitioned by the whole order key (ties of the first
     column are therefore split too), sorted inside their partitions and written
@@ -273,7 +284,7 @@ def with_global_rank(
         starts.append(total)
         total += counts.get(part, -1) + 1
     start = F.element_at(F.expr(f"array({','.join(f'{s}L' for s in starts)})"), F.col("_part") + 1)
-    return written.withColumn(name, start + F.col("_pos") + 1).drop("_part", "_pos")
+    return written.withColumn(name, start + F.col("_pos") + 1).drop("_part", "_pos"), total
 
 
 def with_running_sums(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidpulse.functions import clamp, ratio
-from vidpulse.operators.order import SMALL_ROWS, exact_quantiles
+from vidpulse.operators.order import exact_quantiles
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -59,7 +59,6 @@ def describe_numeric(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     places: int = 4,
-    small_rows: int = SMALL_ROWS,
     extra: dict[str, Column] | None = None,
 ) -> DataFrame:
     """Count, mean, deviation, extremes and exact quartiles of the number columns.
@@ -71,7 +70,6 @@ def describe_numeric(
     quartiles = exact_quantiles(
         narrow,
         {f"{c}.{q}": (F.col(c), at) for c in names for q, at in QUARTILES.items()},
-        small_rows=small_rows,
     )
     row = narrow.agg(
         *(
@@ -145,12 +143,12 @@ def with_raw_ratio(source: DataFrame) -> DataFrame:
     )
 
 
-def ratio_profile(source: DataFrame, places: int = 6, small_rows: int = SMALL_ROWS) -> DataFrame:
+def ratio_profile(source: DataFrame, places: int = 6) -> DataFrame:
     """Describe row of the raw ratio with the counts above 1 and of nulls."""
     rated = with_raw_ratio(source).select("watch_ratio_raw")
     value = F.col("watch_ratio_raw")
     counts = {"over_one": F.count_if(value > 1), "null_ratio": F.count_if(value.isNull())}
-    return describe_numeric(rated, ["watch_ratio_raw"], places, small_rows, counts)
+    return describe_numeric(rated, ["watch_ratio_raw"], places, counts)
 
 
 def histogram(
@@ -161,7 +159,6 @@ def histogram(
     clip_low: float | None = None,
     clip_high: float | None = None,
     clip_q: float | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Equal-width bins between the smallest and largest value after clipping.
 
@@ -170,7 +167,7 @@ def histogram(
     """
     values = df.select(F.col(column).cast("double").alias("v")).filter(F.col("v").isNotNull())
     if clip_q is not None:
-        clip_high = exact_quantiles(values, {"q": (F.col("v"), clip_q)}, small_rows=small_rows)["q"]
+        clip_high = exact_quantiles(values, {"q": (F.col("v"), clip_q)})["q"]
     low = F.lit(float("-inf") if clip_low is None else float(clip_low))
     high = F.lit(float("inf") if clip_high is None else float(clip_high))
     clipped = values.select(clamp(F.col("v"), low, high).alias("v"))

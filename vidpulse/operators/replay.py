@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidpulse.functions import int_between, time_text
-from vidpulse.operators.order import with_global_rank, with_running_sums
-from vidpulse.operators.sampling import sample_n
+from vidpulse.functions import time_text
+from vidpulse.operators.order import ranked_rows, with_global_rank, with_running_sums
+from vidpulse.operators.sampling import draw_rows
 from vidpulse.operators.scoring import by_score
 from vidpulse.schemas import (
     CACHE,
@@ -21,14 +21,11 @@ from vidpulse.schemas import (
     NOT_HOT,
     ORIGIN_SERVER,
     TOP_CACHED_COLUMNS,
-    LatencyModel,
 )
 from vidpulse.session import stage
 from vidpulse.sources.tables import require_columns
 
 ARRIVAL = ("event_time", "event_id")
-PLACEHOLDERS = 1000
-PLACEHOLDER_ID = "origin_only_video_"
 
 
 def cache_policy(all_hot: DataFrame) -> DataFrame:
@@ -54,21 +51,14 @@ def cache_policy(all_hot: DataFrame) -> DataFrame:
 
 
 def top_videos(policy: DataFrame, k: int = 5) -> DataFrame:
-    """The k best videos of a policy, 1..50."""
-    if not 1 <= k <= 50:
-        raise ValueError("k must lie between 1 and 50")
+    """The k best videos of a policy."""
+    if k < 1:
+        raise ValueError("k must be at least 1")
     return policy.orderBy(*by_score()).limit(k)
 
 
-def serve_requests(
-    requests: DataFrame,
-    policy: DataFrame,
-    *,
-    key: str = "event_id",
-    latency: LatencyModel = LatencyModel(),
-    seed: int = 42,
-) -> DataFrame:
-    """Left lookup of each request in the policy, with a latency drawn per status.
+def serve_requests(requests: DataFrame, policy: DataFrame) -> DataFrame:
+    """Left lookup of each request in the policy; a measured latency is carried along.
 
     No broadcast hint: with a written policy the planner knows its size and
     broadcasts it below the session's threshold; above, AQE splits the requests
@@ -93,20 +83,13 @@ def serve_requests(
         F.when(hit, CACHE).otherwise(NO_CACHE).alias("cache_decision"),
         F.when(hit, CACHE_HIT).otherwise(CACHE_MISS).alias("status"),
         F.when(hit, EDGE_CACHE).otherwise(ORIGIN_SERVER).alias("served_from"),
-        F.when(hit, int_between(seed, F.col(key), latency.cache_min_ms, latency.cache_max_ms))
-        .otherwise(int_between(seed, F.col(key), latency.origin_min_ms, latency.origin_max_ms))
-        .alias("latency_ms"),
     )
 
 
 def miss_pool(logs: DataFrame, policy: DataFrame) -> DataFrame:
-    """Videos of the log that are not cached; placeholder ids when there are none."""
+    """Videos of the log that are not cached."""
     videos = logs.select(F.col("video_id").cast("string")).filter(F.col("video_id").isNotNull()).distinct()
-    pool = stage(videos.join(policy.select("video_id"), "video_id", "left_anti"), "miss-pool")
-    if pool.isEmpty():
-        numbers = logs.sparkSession.range(1, PLACEHOLDERS + 1)
-        return numbers.select(F.concat(F.lit(PLACEHOLDER_ID), F.col("id").cast("string")).alias("video_id"))
-    return pool
+    return videos.join(policy.select("video_id"), "video_id", "left_anti")
 
 
 def with_request_id(requests: DataFrame, order: Sequence[str] = ARRIVAL) -> DataFrame:
@@ -129,20 +112,10 @@ def with_running_stats(log: DataFrame, **options: int) -> DataFrame:
     )
 
 
-def replay_policy(
-    requests: DataFrame,
-    policy: DataFrame,
-    *,
-    order: Sequence[str] = ARRIVAL,
-    key: str = "event_id",
-    latency: LatencyModel = LatencyModel(),
-    seed: int = 42,
-) -> DataFrame:
+def replay_policy(requests: DataFrame, policy: DataFrame, *, order: Sequence[str] = ARRIVAL) -> DataFrame:
     """Numbered, served and with running statistics: the request log."""
-    numbered = with_request_id(requests, order)
-    last = numbered.agg(F.max("request_id")).first()[0] or 0
-    served = serve_requests(numbered, policy, key=key, latency=latency, seed=seed)
-    return with_running_stats(served, last=last)
+    numbered, last = ranked_rows(requests, list(order), "request_id")
+    return with_running_stats(serve_requests(numbered, policy), last=last)
 
 
 # --- statistics ---------------------------------------------------------------
@@ -160,26 +133,21 @@ def _outcome() -> list[Column]:
     ]
 
 
-def request_stats(
-    log: DataFrame, all_hot: DataFrame, policy: DataFrame, latency: LatencyModel = LatencyModel()
-) -> DataFrame:
+def request_stats(log: DataFrame, all_hot: DataFrame, policy: DataFrame) -> DataFrame:
     """Totals of a request log with the sizes of the policy; zeros when it is empty."""
-    return log.agg(*_outcome()).select(
-        "*",
-        F.lit(f"{latency.cache_min_ms}-{latency.cache_max_ms}").alias("cache_latency_range_ms"),
-        F.lit(f"{latency.origin_min_ms}-{latency.origin_max_ms}").alias("origin_latency_range_ms"),
-        all_hot.agg(F.count(F.lit(1))).scalar().alias("hot_video_window_records"),
-        policy.agg(F.count(F.lit(1))).scalar().alias("cached_unique_videos"),
-    )
 
+    def span(status: str) -> Column:
+        own = F.when(F.col("status") == status, F.col("latency_ms"))
+        return F.concat_ws("-", F.min(own).cast("string"), F.max(own).cast("string"))
 
-def scenario_summary(log: DataFrame, latency: LatencyModel = LatencyModel()) -> DataFrame:
-    """Per ``scenario``: outcome and latency saved against serving all from the origin."""
-    baseline = F.lit(float(latency.baseline_ms))
-    return log.groupBy("scenario").agg(
+    return log.agg(
         *_outcome(),
-        F.round(baseline, 4).alias("baseline_origin_latency_ms"),
-        F.round(baseline - F.avg("latency_ms"), 4).alias("latency_saved_ms"),
+        span(CACHE_HIT).alias("cache_latency_range_ms"),
+        span(CACHE_MISS).alias("origin_latency_range_ms"),
+    ).select(
+        "*",
+        all_hot.agg(F.count(F.lit(1))).scalar().alias("hot_video_window_records"),
+        policy.agg(F.count(F.lit(1))).scalar().alias("cached_unique_videos"),
     )
 
 
@@ -194,14 +162,19 @@ def _split(n: int, share: float) -> tuple[int, int]:
 
 
 def stratified_requests(
-    logs: DataFrame, policy: DataFrame, n: int = 20, cache_share: float = 0.4, *, key: str = "event_id", seed: int = 42
+    logs: DataFrame,
+    policy: DataFrame,
+    n: int = 20,
+    cache_share: float = 0.4,
+    *,
+    order: Sequence[str] = ARRIVAL,
+    seed: int = 42,
 ) -> DataFrame:
-    """``int(n * cache_share)`` logged requests of cached videos, the rest of others."""
+    """``int(n * cache_share)`` logged requests of cached videos, the rest of others, with replacement."""
     cached, other = _split(n, cache_share)
     ids = policy.select("video_id")
-    return sample_n(logs.join(ids, "video_id", "left_semi"), cached, key, seed).unionByName(
-        sample_n(logs.join(ids, "video_id", "left_anti"), other, key, seed)
-    )
+    hits = draw_rows(logs.join(ids, "video_id", "left_semi"), cached, list(order), f"{seed}-hit")
+    return hits.unionByName(draw_rows(logs.join(ids, "video_id", "left_anti"), other, list(order), f"{seed}-miss"))
 
 
 def viral_requests(
@@ -211,14 +184,12 @@ def viral_requests(
     k: int = 5,
     viral_share: float = 0.9,
     *,
-    key: str = "event_id",
+    order: Sequence[str] = ARRIVAL,
     seed: int = 42,
 ) -> DataFrame:
-    """``int(n * viral_share)`` requests of the k best videos, the rest of uncached ones."""
+    """``int(n * viral_share)`` requests of the k best videos, the rest of uncached ones, with replacement."""
     viral, other = _split(n, viral_share)
-    best = top_videos(policy, k).select("video_id")
+    best = stage(top_videos(policy, k).select("video_id"), "best-videos")
     ids = policy.select("video_id")
-    # ``best`` has at most 50 rows by the check on k.
-    return sample_n(logs.join(F.broadcast(best), "video_id", "left_semi"), viral, key, seed).unionByName(
-        sample_n(logs.join(ids, "video_id", "left_anti"), other, key, seed)
-    )
+    hits = draw_rows(logs.join(best, "video_id", "left_semi"), viral, list(order), f"{seed}-hit")
+    return hits.unionByName(draw_rows(logs.join(ids, "video_id", "left_anti"), other, list(order), f"{seed}-miss"))

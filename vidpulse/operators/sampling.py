@@ -10,18 +10,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions import draw60, int_between, md5_key, uniform
-from vidpulse.operators.order import take_smallest, with_global_rank
+from vidpulse.operators.order import ranked_rows, take_smallest
+from vidpulse.session import stage
 
-MAX_DRAWS = 1_000_000  # draws with replacement; they are broadcast (16 bytes each)
 
-
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 42, **limits: int) -> DataFrame:
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows without replacement: the n smallest md5(seed, key).
 
     All rows when there are fewer. ``key`` should identify a row.
     """
     drawn = df.withColumn("_draw", draw60(seed, F.col(key))).withColumn("_md5", md5_key(seed, F.col(key)))
-    return take_smallest(drawn, n, ["_draw", "_md5", key], **limits).select(*df.columns)
+    return take_smallest(drawn, n, ["_draw", "_md5", key]).select(*df.columns)
 
 
 def sample_if_larger(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame | None:
@@ -34,21 +33,24 @@ def sample_keys(df: DataFrame, column: str, n: int, seed: int = 42) -> DataFrame
     return sample_n(df.select(column).distinct(), n, column, seed)
 
 
-def sample_with_replacement(df: DataFrame, n: int, order: list[str], seed: int = 42) -> DataFrame:
-    """min(n, rows) draws with replacement; ``draw_id`` numbers the draws.
+def draw_rows(df: DataFrame, n: int, order: list[str], seed: int | str = 42, most: bool = False) -> DataFrame:
+    """Exactly ``n`` draws with replacement (with ``most`` no more than rows); ``draw_id`` numbers them.
 
-    Draw i takes the row whose number in ``order`` is md5(seed, i) mod rows.
+    Draw i takes the row whose number in ``order`` is md5(seed, i) mod rows. Draws and
+    rows meet in a join by that number, so there may be any number of either.
     """
-    if n > MAX_DRAWS:
-        raise ValueError(f"at most {MAX_DRAWS} draws")
-    numbered = with_global_rank(df, order, "_row")
-    rows = numbered.agg(F.max("_row")).first()[0] or 0
+    numbered, rows = ranked_rows(df, order, "_row")
     if not rows:
         return df.withColumn("draw_id", F.lit(0).cast("bigint"))
-    draws = df.sparkSession.range(min(n, rows)).select(
+    draws = df.sparkSession.range(min(n, rows) if most else n).select(
         F.col("id").alias("draw_id"), (draw60(seed, F.col("id")) % F.lit(rows) + 1).alias("_row")
     )
-    return numbered.join(F.broadcast(draws), "_row").select(*df.columns, "draw_id")
+    return numbered.join(draws, "_row").select(*df.columns, "draw_id")
+
+
+def sample_with_replacement(df: DataFrame, n: int, order: list[str], seed: int = 42) -> DataFrame:
+    """min(n, rows) draws with replacement."""
+    return draw_rows(df, n, order, seed, most=True)
 
 
 def select_trending(logs: DataFrame, videos: DataFrame, since) -> DataFrame:
@@ -73,8 +75,8 @@ def shifted_trend_rows(
     order: tuple[str, ...] = ("event_time", "event_id"),
 ) -> DataFrame:
     """Resampled rows of ``n_videos`` videos, each moved forward by up to an hour."""
-    videos = sample_keys(logs, "video_id", n_videos, seed)
-    trend = select_trending(logs, videos, trend_start(logs, after))
+    videos = stage(sample_keys(logs, "video_id", n_videos, seed), "trend-videos")
+    trend = stage(select_trending(logs, videos, trend_start(logs, after)), "trend-rows")
     drawn = sample_with_replacement(trend, n, list(order), seed)
     shift = F.make_dt_interval(secs=int_between(f"{seed}-shift", F.col("draw_id"), 0, max_shift_s))
     return drawn.withColumn("event_time", F.col("event_time") + shift).select(*logs.columns)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions import finite_or_null
-from vidpulse.operators.order import SMALL_ROWS, approx_quantile, exact_quantiles
+from vidpulse.operators.order import approx_quantile, exact_quantiles
 from vidpulse.schemas import HOT, HOT_COLUMNS, HOT_QUANTILE, NOT_HOT, PREDICTION_COLUMNS, ScoreWeights
 from vidpulse.sources.tables import require_columns
 
@@ -116,15 +116,12 @@ def score_hot(
     quantile: float = HOT_QUANTILE,
     weights: ScoreWeights = ScoreWeights(),
     ranges: dict[str, tuple[float, float]] | None = None,
-    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Predictions. ``threshold`` is ``"exact"`` or ``"approx"`` (the quantile of the
     score, the latter from a sketch with rank error 0.001) or a fixed number."""
-    scored, rows = hot_scores(features, scaling, weights, ranges)
+    scored, _ = hot_scores(features, scaling, weights, ranges)
     if threshold == "exact":
-        cut = exact_quantiles(
-            scored, {"cut": (F.col("hot_score"), quantile)}, rows=rows, small_rows=small_rows
-        )["cut"]
+        cut = exact_quantiles(scored, {"cut": (F.col("hot_score"), quantile)})["cut"]
     elif threshold == "approx":
         cut = approx_quantile(scored, "hot_score", quantile, 0.001)
     else:

@@ -119,6 +119,22 @@ def source_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def export_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A raw export as text: times in milliseconds, other names, some values unreadable."""
+    return source_log(spark, sf_dir).select(
+        F.when(F.col("event_id") % 101 == 0, F.lit("soon")).otherwise(F.col("time_ms").cast("string")).alias("time_ms"),
+        F.col("user_id").alias("UserId"),
+        F.col("video_id").alias("Item_id"),
+        (F.col("play_time_ms") / 1000.0).cast("string").alias("play_time"),
+        (F.col("duration_ms") / 1000.0).cast("string").alias("duration"),
+    )
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The video log as requests; the event's value stands for the measured latency."""
+    return video_log(spark, sf_dir).withColumn("latency_ms", F.col("watch_time").cast("int"))
+
+
 def topic(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The video log as the messages of a topic with three partitions."""
     logs = video_log(spark, sf_dir).select(
@@ -179,7 +195,7 @@ def messy_columns(text: str) -> list[str]:
         "video_id",
         "window_start",
         "window_end",
-        f"CASE WHEN {digit} = 3 THEN 'n/a' ELSE concat(CAST(views_count AS {text}), '.7') END AS views_count",
+        f"CASE WHEN {digit} = 3 THEN 'n/a' WHEN {digit} = 2 THEN 'inf' WHEN {digit} = 1 THEN '1e30' ELSE concat(CAST(views_count AS {text}), '.7') END AS views_count",
         f"CAST(unique_users AS {text}) AS unique_users",
         f"CASE WHEN {digit} = 9 THEN NULL ELSE CAST(avg_watch_ratio AS {text}) END AS avg_watch_ratio",
         f"CAST(growth_rate AS {text}) AS growth_rate",

@@ -6,10 +6,6 @@ chain in front of a query.
 
 from __future__ import annotations
 
-from vidpulse.operators.caching import KPI_PLACES, KPI_ROWS
-from vidpulse.plans.inputs import messy_columns
-from vidpulse.schemas import DECISION_REASONS
-
 SEED = 42
 EPOCH = "TIMESTAMP '1970-01-01'"
 PLACES = 10
@@ -84,9 +80,9 @@ def _decide(source: str) -> str:
 SELECT *, CASE WHEN cache_decision = 'CACHE' AND hot_score >= p99 THEN 'VERY_HIGH'
                WHEN cache_decision = 'CACHE' THEN 'HIGH'
                WHEN cache_decision = 'WATCHLIST' THEN 'MEDIUM' ELSE 'LOW' END AS cache_priority,
-       CASE cache_decision WHEN 'CACHE' THEN '{DECISION_REASONS["CACHE"]}'
-            WHEN 'WATCHLIST' THEN '{DECISION_REASONS["WATCHLIST"]}'
-            ELSE '{DECISION_REASONS["NO_CACHE"]}' END AS reason,
+       CASE cache_decision WHEN 'CACHE' THEN 'Predicted as HOT; preload this video-window into cache.'
+            WHEN 'WATCHLIST' THEN 'High hot_score among non-HOT records; monitor for possible caching.'
+            ELSE 'Low trending signal; do not cache to avoid wasting resources.' END AS reason,
        row_number() OVER (ORDER BY hot_score DESC, video_id, window_start) AS cache_rank
 FROM (SELECT p.*, c.p99, CASE WHEN hot_label = 'HOT' THEN 'CACHE'
                               WHEN hot_score >= c.cut THEN 'WATCHLIST' ELSE 'NO_CACHE' END AS cache_decision
@@ -96,8 +92,18 @@ FROM (SELECT p.*, c.p99, CASE WHEN hot_label = 'HOT' THEN 'CACHE'
 
 
 def _number(name: str, kind: str = "DOUBLE") -> str:
-    value = f"coalesce(TRY_CAST({name} AS DOUBLE), 0.0)"
-    return f"{value} AS {name}" if kind == "DOUBLE" else f"CAST(trunc({value}) AS {kind}) AS {name}"
+    read = f"TRY_CAST({name} AS DOUBLE)"
+    value = f"CASE WHEN isfinite({read}) THEN {read} ELSE 0.0 END"
+    return f"{value} AS {name}" if kind == "DOUBLE" else f"coalesce(TRY_CAST(trunc({value}) AS {kind}), 0) AS {name}"
+
+
+def _drawn(condition: str, n: int, seed: str = "hit") -> str:
+    """``n`` draws with replacement of the served requests that meet a condition."""
+    return f"""
+SELECT t.event_id, t.video_id, d.draw_id
+FROM (SELECT i AS draw_id, {_draw("i", 15, f"{SEED}-{seed}")} % (SELECT count(*) FROM served WHERE {condition}) + 1 AS row
+      FROM range({n}) r(i)) d
+JOIN (SELECT *, row_number() OVER (ORDER BY event_time, event_id) AS row FROM served WHERE {condition}) t USING (row)"""
 
 
 # name -> (needed expressions, SQL)
@@ -196,7 +202,19 @@ FROM (SELECT *, {_minmax("CAST(views_count AS DOUBLE)", "views_score")},
     ),
     "minmax_predictions": (("minmax_scored",), _labelled("minmax_scored", P99.format("minmax_scored"))),
     "static_predictions": (("minmax_scored",), _labelled("minmax_scored", "CAST(0.7 AS DOUBLE)")),
-    "messy": (("predictions",), f"SELECT {', '.join(messy_columns('VARCHAR'))} FROM predictions"),
+    "messy": (
+        ("predictions",),
+        """
+SELECT video_id, window_start, window_end,
+       CASE d WHEN 3 THEN 'n/a' WHEN 2 THEN 'inf' WHEN 1 THEN '1e30' ELSE concat(CAST(views_count AS VARCHAR), '.7') END AS views_count,
+       CAST(unique_users AS VARCHAR) AS unique_users,
+       CASE WHEN d <> 9 THEN CAST(avg_watch_ratio AS VARCHAR) END AS avg_watch_ratio,
+       CAST(growth_rate AS VARCHAR) AS growth_rate, CAST(engagement_count AS VARCHAR) AS engagement_count,
+       CASE WHEN d <> 4 THEN CAST(hot_score AS VARCHAR) END AS hot_score,
+       CASE WHEN d = 5 THEN '' ELSE CAST(predicted_hot AS VARCHAR) END AS predicted_hot,
+       CASE d WHEN 6 THEN 'hot' WHEN 7 THEN 'maybe' WHEN 8 THEN NULL ELSE lower(hot_label) END AS hot_label
+FROM (SELECT *, CAST(video_id AS INT) % 10 AS d FROM predictions)""",
+    ),
     "coerced": (
         ("messy",),
         f"""
@@ -222,23 +240,16 @@ SELECT l.event_id, l.event_time, l.video_id, coalesce(p.hot_score, 0.0) AS hot_s
        CASE WHEN p.video_id IS NULL THEN 'NO_CACHE' ELSE 'CACHE' END AS cache_decision,
        CASE WHEN p.video_id IS NULL THEN 'CACHE_MISS' ELSE 'CACHE_HIT' END AS status,
        CASE WHEN p.video_id IS NULL THEN 'ORIGIN_SERVER' ELSE 'EDGE_CACHE' END AS served_from,
-       CASE WHEN p.video_id IS NULL THEN 220 + {_draw("l.event_id")} % 231 ELSE 30 + {_draw("l.event_id")} % 51 END AS latency_ms
+       CAST(trunc(l.watch_time) AS INTEGER) AS latency_ms
 FROM video_log l LEFT JOIN policy p ON l.video_id = p.video_id""",
     ),
-    "mixed": (
-        ("served",),
-        f"""
-(SELECT * FROM served WHERE status = 'CACHE_HIT' ORDER BY {_md5("event_id")}, event_id LIMIT 1200)
-UNION ALL
-(SELECT * FROM served WHERE status = 'CACHE_MISS' ORDER BY {_md5("event_id")}, event_id LIMIT 1800)""",
-    ),
+    "mixed": (("served",), _drawn("status = 'CACHE_HIT'", 1200) + "\nUNION ALL " + _drawn("status = 'CACHE_MISS'", 1800, "miss")),
     "best_videos": (("policy",), "SELECT * FROM policy ORDER BY hot_score DESC, video_id, window_start LIMIT 5"),
     "viral": (
         ("served", "best_videos"),
-        f"""
-(SELECT * FROM served WHERE video_id IN (SELECT video_id FROM best_videos) ORDER BY {_md5("event_id")}, event_id LIMIT 450)
-UNION ALL
-(SELECT * FROM served WHERE status = 'CACHE_MISS' ORDER BY {_md5("event_id")}, event_id LIMIT 50)""",
+        _drawn("video_id IN (SELECT video_id FROM best_videos)", 450)
+        + "\nUNION ALL "
+        + _drawn("status = 'CACHE_MISS'", 50, "miss"),
     ),
     "trend_videos": (
         ("video_log",),
@@ -343,6 +354,11 @@ SELECT {first}count(*) AS total_requests, count(*) FILTER (status = 'CACHE_HIT')
        {_r("avg(latency_ms)", 4)} AS average_latency_ms"""
 
 
+def _span(status: str) -> str:
+    own = f"latency_ms) FILTER (status = '{status}'"
+    return f"concat(min({own}), '-', max({own}))"
+
+
 def _running(order: str) -> str:
     upto = f"OVER (ORDER BY {order} ROWS UNBOUNDED PRECEDING)"
     hits = f"sum(CASE WHEN status = 'CACHE_HIT' THEN 1 ELSE 0 END) {upto}"
@@ -374,10 +390,36 @@ FROM (SELECT CAST(least(floor((v - lo) / width) + 1, {bins}) AS INTEGER) AS bin,
 GROUP BY ALL"""
 
 
+# Metric, unit, description and decimal places of the savings report.
+KPIS = [
+    ("total_requests", "requests", "Total simulated requests based on views_count.", None),
+    ("cache_hits", "requests", "Requests served from cache because cache_decision is CACHE.", None),
+    ("cache_misses", "requests", "Requests still served by the origin server.", None),
+    ("watchlist_requests", "requests", "Requests belonging to WATCHLIST records.", None),
+    ("cache_hit_ratio", "ratio", "Share of requests served by cache.", 6),
+    ("origin_request_reduction", "ratio", "Estimated reduction of requests to origin server.", 6),
+    ("average_latency_without_cache", "ms", "Assumed average latency if all requests go to origin.", 4),
+    ("average_latency_with_cache", "ms", "Estimated average latency after applying cache recommendation.", 4),
+    ("latency_reduction_ms", "ms", "Estimated latency reduction in milliseconds.", 4),
+    ("latency_reduction_percent", "ratio", "Estimated latency reduction ratio.", 6),
+    ("estimated_bandwidth_saved", "GB", "Estimated bandwidth saved from cached requests.", 4),
+    ("estimated_cost_saved", "USD", "Estimated bandwidth cost saved.", 4),
+    ("num_cache_records", "records", "Number of video-window records recommended for CACHE.", None),
+    ("num_watchlist_records", "records", "Number of video-window records recommended for WATCHLIST.", None),
+    ("num_no_cache_records", "records", "Number of video-window records recommended for NO_CACHE.", None),
+    ("num_unique_cached_videos", "videos", "Number of unique videos recommended for CACHE.", None),
+    ("num_unique_total_videos", "videos", "Number of unique videos in prediction output.", None),
+    ("origin_latency_ms_assumption", "ms", "Latency assumption for origin server.", None),
+    ("cache_latency_ms_assumption", "ms", "Latency assumption for cache server.", None),
+    ("average_request_size_mb_assumption", "MB", "Assumed average video request size.", None),
+    ("cost_per_gb_assumption", "USD/GB", "Assumed bandwidth cost per GB.", None),
+]
+
+
 def _kpi_union() -> str:
     lines = []
-    for metric, unit, text in KPI_ROWS:
-        value = _r(metric, KPI_PLACES[metric]) if metric in KPI_PLACES else metric
+    for metric, unit, text, places in KPIS:
+        value = metric if places is None else _r(metric, places)
         lines.append(
             f"SELECT '{metric}' AS metric, CAST({value} AS DOUBLE) AS value, '{unit}' AS unit, '{text}' AS description FROM kpis"
         )
@@ -396,15 +438,6 @@ FROM video_log ORDER BY 1, 2 LIMIT 10""",
         "SELECT video_id FROM (SELECT * FROM video_log ORDER BY event_time, event_id LIMIT 100000)",
     ),
     "replay_head": _with(("video_log",), "SELECT * FROM video_log ORDER BY event_time, event_id LIMIT 5000"),
-    "synthetic_logs": f"""
-SELECT event_id, event_time, user_id, video_id, duration, watch_time, watch_ratio, 1 AS is_click,
-       CASE WHEN {_uniform("event_id", "like")} < 0.05::DOUBLE + 0.25::DOUBLE * watch_ratio THEN 1 ELSE 0 END AS is_like,
-       CASE WHEN {_uniform("event_id", "share")} < 0.01::DOUBLE + 0.08::DOUBLE * watch_ratio THEN 1 ELSE 0 END AS is_share
-FROM (SELECT *, {_r("watch_time / duration", 4)} AS watch_ratio
-      FROM (SELECT *, {_r(f'least(CAST(duration AS DOUBLE), -40.0::DOUBLE * ln(1.0::DOUBLE - {_uniform("event_id", "watch")}))', 2)} AS watch_time
-            FROM (SELECT event_id, TIMESTAMP '2026-05-01 08:00:00' + to_seconds({_int("event_id", "time", 0, 21599)}) AS event_time,
-                         {_int("event_id", "user", 1, 5000)} AS user_id, {_int("event_id", "video", 1, 1000)} AS video_id,
-                         {_int("event_id", "duration", 10, 179)} AS duration FROM events)))""",
     "to_messages": _with(
         ("video_log",),
         f"""
@@ -466,6 +499,31 @@ SELECT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, watch
 FROM dirty_log WHERE user_id IS NOT NULL AND video_id IS NOT NULL AND duration > 0 AND watch_time >= 0
   AND watch_time <= duration""",
     ),
+    "clean_strict_text": _with(
+        ("dirty_log",),
+        """
+SELECT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, watch_time, duration,
+       watch_time / duration AS watch_ratio, is_click, is_like, is_share
+FROM dirty_log WHERE user_id IS NOT NULL AND video_id IS NOT NULL AND duration > 0 AND watch_time >= 0
+  AND watch_time <= duration""",
+    ),
+    "clean_loose": _with(
+        ("source_log",),
+        """
+SELECT DISTINCT make_timestamp(time_ms * 1000) AS event_time, user_id, video_id, least(play_time_ms, duration_ms) / 1000.0::DOUBLE AS watch_time,
+       duration_ms / 1000.0::DOUBLE AS duration, (least(play_time_ms, duration_ms) / 1000.0::DOUBLE) / (duration_ms / 1000.0::DOUBLE) AS watch_ratio,
+       1 AS is_click, 0 AS is_like, 0 AS is_share
+FROM source_log WHERE event_id % 101 <> 0 AND duration_ms > 0""",
+    ),
+    "to_messages_rejects": _with(("video_log",), "SELECT event_id FROM video_log WHERE event_id % 97 <> 0"),
+    "quantile_special_values": "SELECT " + ", ".join(
+        f"CAST(round(quantile_cont(price, {q}), 4) AS DOUBLE) AS q{int(1000 * q)}" for q in (0.0, 0.25, 0.5, 0.95, 1.0)
+    ) + """
+FROM (SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey % 89 = 0 THEN 'inf'::DOUBLE
+                  WHEN o_orderkey % 83 = 0 THEN '-inf'::DOUBLE ELSE o_totalprice END AS price FROM orders)""",
+    "rank_many_ranges": "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders",
+    "hot_quantile_approx": "SELECT true AS within",
+    "hot_max_approx": "SELECT true AS within",
     "clean_clamp": _with(
         ("dirty_log",),
         """
@@ -570,7 +628,8 @@ UNION ALL SELECT 'cache_decision=' || cache_decision, count(*) FROM decided GROU
     ),
     "request_stats": _with(
         ("served",),
-        f"""{_outcome("served")}, '30-80' AS cache_latency_range_ms, '220-450' AS origin_latency_range_ms,
+        f"""{_outcome("served")}, {_span("CACHE_HIT")} AS cache_latency_range_ms,
+       {_span("CACHE_MISS")} AS origin_latency_range_ms,
        (SELECT count(*) FROM predictions WHERE hot_label = 'HOT') AS hot_video_window_records,
        (SELECT count(*) FROM policy) AS cached_unique_videos FROM served""",
     ),
@@ -584,14 +643,8 @@ UNION ALL SELECT 'cache_decision=' || cache_decision, count(*) FROM decided GROU
 SELECT * REPLACE ({_r("hot_score")} AS hot_score), row_number() OVER (ORDER BY event_time, event_id) AS request_id,
        {_running("event_time, event_id")} FROM served""",
     ),
-    "stratified_requests": _with(("mixed",), "SELECT event_id, video_id FROM mixed"),
-    "viral_requests": _with(("viral",), "SELECT event_id, video_id FROM viral"),
-    "scenario_summary": _with(
-        ("mixed", "viral"),
-        f"""{_outcome("both", "scenario")}, 335.0::DOUBLE AS baseline_origin_latency_ms,
-       {_r("335.0::DOUBLE - avg(latency_ms)", 4)} AS latency_saved_ms
-FROM (SELECT *, 'mixed' AS scenario FROM mixed UNION ALL SELECT *, 'viral' FROM viral) GROUP BY scenario""",
-    ),
+    "stratified_requests": _with(("mixed",), "SELECT event_id, video_id, draw_id FROM mixed"),
+    "viral_requests": _with(("viral",), "SELECT event_id, video_id, draw_id FROM viral"),
     "sample_n": _with(
         ("video_log",),
         f"SELECT * EXCLUDE (watch_ratio) FROM video_log ORDER BY {_md5('event_id')}, event_id LIMIT 2500",

@@ -15,7 +15,7 @@ from vidpulse.session import stage
 from vidpulse.sources import topic
 from vidpulse.sources.tables import replay as replay_log
 from vidpulse.sources.tables import scan
-from vidpulse.operators.order import approx_quantile, exact_quantiles
+from vidpulse.operators.order import approx_quantile, exact_quantiles, with_global_rank
 
 Query = Callable[[SparkSession, str], DataFrame]
 PLACES = 10
@@ -53,11 +53,6 @@ def replay_head(spark, d):
     return replay_log(inputs.video_log(spark, d), 5000)
 
 
-@query
-def synthetic_logs(spark, d):
-    return sampling.generate_logs(table(spark, d, "events").select("event_id"))
-
-
 @query
 def to_messages(spark, d):
     return inputs.topic(spark, d).select(
@@ -98,6 +93,25 @@ def coerce_types(spark, d):
     return cleaning.coerce_types(inputs.text_log(spark, d), NTZ)
 
 
+@query
+def clean_loose(spark, d):
+    """The chain for exports of unknown layout, with times in milliseconds."""
+    raw = cleaning.with_defaults(cleaning.normalize_columns(inputs.export_log(spark, d)))
+    return cleaning.clean_logs(raw, "clamp", NTZ)
+
+
+@query
+def clean_strict_text(spark, d):
+    return cleaning.clean_logs(inputs.text_log(spark, d), "strict", NTZ)
+
+
+@query
+def to_messages_rejects(spark, d):
+    logs = inputs.video_log(spark, d)
+    bad = F.when(F.col("event_id") % 97 == 0, F.concat(F.lit("u"), "user_id")).otherwise(F.col("user_id"))
+    return topic.to_messages(logs.withColumn("user_id", bad), keep=("event_id",)).select("event_id")
+
+
 @query
 def coerce_predictions(spark, d):
     return rounded(caching.coerce_predictions(inputs.messy_predictions(spark, d)))
@@ -202,16 +216,47 @@ def hot_quantiles(spark, d):
     return spark.range(1).select(*(F.round(F.lit(v), PLACES).alias(n) for n, v in found.items()))
 
 
+@query
+def quantile_special_values(spark, d):
+    """Quantiles of a column with NaN and infinite values."""
+    price = F.when(F.col("o_orderkey") % 97 == 0, float("nan")).when(F.col("o_orderkey") % 89 == 0, float("inf"))
+    price = price.when(F.col("o_orderkey") % 83 == 0, float("-inf")).otherwise(F.col("o_totalprice"))
+    wanted = {f"q{int(1000 * q)}": (F.col("price"), q) for q in (0.0, 0.25, 0.5, 0.95, 1.0)}
+    found = exact_quantiles(table(spark, d, "orders").select(price.alias("price")), wanted)
+    return spark.range(1).select(*(F.round(F.lit(v), 4).alias(n) for n, v in found.items()))
+
+
+@query
+def rank_many_ranges(spark, d):
+    """Rank by price, in ranges of a thousand rows."""
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return with_global_rank(orders, [F.desc("o_totalprice"), "o_orderkey"], "place", max(1, orders.count() // 1000))
+
+
+def _rank_error(df, name, cut, q):
+    """How far the rank of a cut is from the wanted one, as a share of the rows."""
+    below, upto, n = df.agg(F.count_if(F.col(name) < cut), F.count_if(F.col(name) <= cut), F.count(name)).first()
+    return max(0.0, below - q * n, q * n - upto) / n
+
+
 @query
 def hot_quantile_approx(spark, d):
+    """Whether the sketch's cut lies within its rank error."""
     scored, _ = scoring.hot_scores(inputs.day_features(spark, d))
     cut = approx_quantile(scored, "hot_score", HOT_QUANTILE, 0.001)
-    return spark.range(1).select(F.lit(cut).alias("p99_approx"))
+    return spark.range(1).select(F.lit(_rank_error(scored, "hot_score", cut, HOT_QUANTILE) <= 0.001).alias("within"))
 
 
 @query
 def hot_max_approx(spark, d):
-    return inputs.predictions(spark, d, threshold="approx")
+    """Whether the share of HOT rows lies within the sketch's rank error, and all other rows score less."""
+    rows = stage(inputs.predictions(spark, d, threshold="approx"), "approx")
+    cut, most = rows.agg(
+        F.min(F.when(F.col("predicted_hot") == 1, F.col("hot_score"))),
+        F.max(F.when(F.col("predicted_hot") == 0, F.col("hot_score"))),
+    ).first()
+    within = most < cut and _rank_error(rows, "hot_score", cut, HOT_QUANTILE) <= 0.001
+    return spark.range(1).select(F.lit(within).alias("within"))
 
 
 @query
@@ -305,7 +350,7 @@ def top_videos(spark, d):
 
 
 def _served(spark, d):
-    return replay.serve_requests(inputs.video_log(spark, d), inputs.policy(spark, d))
+    return replay.serve_requests(inputs.requests(spark, d), inputs.policy(spark, d))
 
 
 REQUEST_COLUMNS = [
@@ -336,7 +381,7 @@ def miss_pool(spark, d):
 def request_stats(spark, d):
     hot = inputs.hot_rows(spark, d)
     policy = stage(replay.cache_policy(hot), "policy")
-    served = replay.serve_requests(inputs.video_log(spark, d), policy)
+    served = replay.serve_requests(inputs.requests(spark, d), policy)
     return replay.request_stats(served, hot, policy)
 
 
@@ -351,28 +396,20 @@ def running_stats(spark, d):
 
 @query
 def replay_policy(spark, d):
-    requests = inputs.video_log(spark, d).select("event_time", "event_id", "video_id")
+    requests = inputs.requests(spark, d).select("event_time", "event_id", "video_id", "latency_ms")
     return rounded(replay.replay_policy(requests, inputs.policy(spark, d)))
 
 
 @query
 def stratified_requests(spark, d):
     sets = replay.stratified_requests(inputs.video_log(spark, d), inputs.policy(spark, d), 3000, 0.4)
-    return sets.select("event_id", "video_id")
+    return sets.select("event_id", "video_id", "draw_id")
 
 
 @query
 def viral_requests(spark, d):
     sets = replay.viral_requests(inputs.video_log(spark, d), inputs.policy(spark, d), 500, 5, 0.9)
-    return sets.select("event_id", "video_id")
-
-
-@query
-def scenario_summary(spark, d):
-    logs, policy = inputs.video_log(spark, d), inputs.policy(spark, d)
-    mixed = replay.stratified_requests(logs, policy, 3000, 0.4).withColumn("scenario", F.lit("mixed"))
-    viral = replay.viral_requests(logs, policy, 500, 5, 0.9).withColumn("scenario", F.lit("viral"))
-    return replay.scenario_summary(replay.serve_requests(mixed.unionByName(viral), policy))
+    return sets.select("event_id", "video_id", "draw_id")
 
 
 # --- samples ------------------------------------------------------------------

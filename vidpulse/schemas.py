@@ -155,7 +155,6 @@ COLUMN_ALIASES = {
     "videoid": "video_id",
     "userid": "user_id",
     "time": "event_time",
-    "time_ms": "event_time",
     "play_time": "watch_time",
     "view_time": "watch_time",
 }
@@ -182,18 +181,6 @@ class CostModel:
     cost_per_gb: float = 0.02
 
 
-@dataclass(frozen=True)
-class LatencyModel:
-    cache_min_ms: int = 30
-    cache_max_ms: int = 80
-    origin_min_ms: int = 220
-    origin_max_ms: int = 450
-
-    @property
-    def baseline_ms(self) -> float:
-        return (self.origin_min_ms + self.origin_max_ms) / 2
-
-
 HOT_QUANTILE = 0.99
 STATIC_THRESHOLD = 0.7
 WATCHLIST_QUANTILE = 0.95

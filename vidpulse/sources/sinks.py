@@ -74,9 +74,17 @@ def publish(
 
 
 def write_topic(
-    messages: DataFrame, topic: str, servers: str | None = None, fmt: str = "kafka", **options: str
+    messages: DataFrame,
+    topic: str,
+    servers: str | None = None,
+    fmt: str = "kafka",
+    rejects: Observation | None = None,
+    **options: str,
 ) -> RunReport:
-    """Append keyed messages to a topic, or to a file-backed topic at path ``topic``."""
+    """Append keyed messages to a topic, or to a file-backed topic at path ``topic``.
+
+    ``rejects`` is the observation given to ``to_messages``, whose count goes into the report.
+    """
     rows = Observation()
     began = time.monotonic()
     writer = messages.observe(rows, F.count(F.lit(1)).alias("rows")).write.format(fmt)
@@ -90,4 +98,5 @@ def write_topic(
         writer.options(**options).save()
     else:
         writer.options(**options).mode("append").save(topic)
-    return RunReport(rows.get.get("rows", 0), time.monotonic() - began)
+    errors = rejects.get.get("errors", 0) if rejects is not None else 0
+    return RunReport(rows.get.get("rows", 0), time.monotonic() - began, errors)

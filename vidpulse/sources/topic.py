@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from vidpulse.functions import time_text
+from vidpulse.functions import lenient, time_text
 from vidpulse.schemas import LOG_COLUMNS, MAX_OFFSETS_PER_TRIGGER, MESSAGE, TOPIC
 
 
@@ -76,14 +76,21 @@ def peek_topic(messages: DataFrame, n: int = 10) -> DataFrame:
     return first.select("partition", "offset", F.inline(F.array(parsed)))
 
 
-def to_messages(logs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Log rows as (key = video id, value = JSON); a null ratio stays an explicit null."""
+def to_messages(logs: DataFrame, keep: tuple[str, ...] = (), rejects: Observation | None = None) -> DataFrame:
+    """Log rows as (key = video id, value = JSON); a null ratio stays an explicit null.
+
+    Rows without two whole-number ids make no message; ``rejects`` counts them as ``errors``.
+    """
+    ids = {n: lenient(F.col(n), "bigint") for n in ("user_id", "video_id")}
+    bad = ids["user_id"].isNull() | ids["video_id"].isNull()
+    if rejects is not None:
+        logs = logs.observe(rejects, F.count_if(bad).alias("errors"))
+    logs = logs.filter(~bad)
     is_text = dict(logs.dtypes)["event_time"] == "string"
     event_time = F.col("event_time") if is_text else time_text(F.col("event_time"), micros=True)
     fields = {
         "event_time": event_time,
-        "user_id": F.col("user_id").cast("bigint"),
-        "video_id": F.col("video_id").cast("bigint"),
+        **ids,
         "watch_time": F.round("watch_time", 3),
         "duration": F.round("duration", 3),
         "watch_ratio": F.round("watch_ratio", 4),
