@@ -426,6 +426,18 @@ def _kpi_union() -> str:
     return "\nUNION ALL ".join(lines)
 
 
+CTE["broken"] = (
+    ("video_log",),
+    """
+SELECT event_id, "partition", {} FROM (SELECT event_id, CAST(video_id AS INT) % 3 AS "partition", {} FROM video_log)""".format(
+        ", ".join(
+            f"CASE WHEN event_id % 101 = 0 {'OR event_id % 97 = 0 ' if c == 'user_id' else ''}THEN NULL ELSE {c} END AS {c}"
+            for c in LOG.split(", ")
+        ),
+        MESSAGE_FIELDS,
+    ),
+)
+
 ORACLE_SQL: dict[str, str] = {
     "topic_peek": _with(
         ("video_log",),
@@ -449,16 +461,14 @@ SELECT event_id, video_id AS key,
 FROM (SELECT *, {_r("watch_ratio", 4)} AS r FROM video_log)""",
     ),
     "to_messages_fields": _with(("video_log",), f"SELECT event_id, {MESSAGE_FIELDS} FROM video_log"),
-    "parse_messages": _with(
-        ("video_log",),
+    "parse_messages": _with(("broken",), 'SELECT * EXCLUDE ("partition") FROM broken'),
+    "bronze_drain": _with(("broken",), 'SELECT * EXCLUDE (event_id), event_id AS "offset" FROM broken'),
+    "silver_drain": _with(
+        ("broken",),
         """
-SELECT event_id, {} FROM (SELECT event_id, {} FROM video_log)""".format(
-            ", ".join(
-                f"CASE WHEN event_id % 101 = 0 {'OR event_id % 97 = 0 ' if c == 'user_id' else ''}THEN NULL ELSE {c} END AS {c}"
-                for c in LOG.split(", ")
-            ),
-            MESSAGE_FIELDS,
-        ),
+SELECT TRY_CAST(event_time AS TIMESTAMP) AS event_time, CAST(user_id AS VARCHAR) AS user_id, CAST(video_id AS VARCHAR) AS video_id,
+       watch_time, duration, watch_time / duration AS watch_ratio, is_click, is_like, is_share
+FROM broken WHERE user_id IS NOT NULL AND video_id IS NOT NULL AND duration > 0 AND watch_time >= 0 AND watch_time <= duration""",
     ),
     "normalize_columns": _with(("dirty_log",), f"SELECT {LOOSE} FROM dirty_log"),
     "standardize": _with(

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vidpulse.operators import caching, cleaning, features, profiling, replay, sampling, scoring
+from vidpulse.operators.order import approx_quantile, exact_quantiles, with_global_rank
 from vidpulse.plans import inputs
 from vidpulse.plans.inputs import DAY, NTZ, table
 from vidpulse.schemas import HOT, HOT_QUANTILE, LOG_COLUMNS, REQUEST_SCAN_ROWS, STATIC_THRESHOLD, WATCHLIST_QUANTILE
-from vidpulse.session import stage
+from vidpulse.session import hadoop_path, shared_folder, stage
 from vidpulse.sources import topic
+from vidpulse.sources.sinks import write_topic
+from vidpulse.sources.tables import read_table
 from vidpulse.sources.tables import replay as replay_log
 from vidpulse.sources.tables import scan
-from vidpulse.operators.order import approx_quantile, exact_quantiles, with_global_rank
+from vidpulse.streaming.medallion import run_bronze, run_silver
 
 Query = Callable[[SparkSession, str], DataFrame]
 PLACES = 10
@@ -70,6 +74,34 @@ def parse_messages(spark, d):
     return topic.parse_messages(inputs.broken_topic(spark, d), keep=("event_id",))
 
 
+# --- streams ------------------------------------------------------------------
+
+
+def _drained(spark, d):
+    """Bronze and silver after two drains of a topic that grew in between."""
+    fs, root = hadoop_path(spark, f"{shared_folder(spark)}/medallion-{uuid.uuid4().hex}")
+    fs.mkdirs(root)
+    fs.deleteOnExit(root)
+    paths = {n: f"{root}/{n}" for n in ("topic", "bronze", "silver", "bronze-state", "silver-state")}
+    messages = inputs.broken_topic(spark, d).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    for part in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
+        write_topic(messages.filter(part).select("key", "value", "partition", "offset", "timestamp"), paths["topic"], fmt="parquet")
+        run_bronze(spark, paths["topic"], paths["bronze"], paths["bronze-state"], topic_fmt="parquet")
+        run_silver(spark, paths["bronze"], paths["silver"], paths["silver-state"])
+    return paths
+
+
+@query
+def bronze_drain(spark, d):
+    return read_table(spark, _drained(spark, d)["bronze"]).drop("raw_data", "timestamp")
+
+
+@query
+def silver_drain(spark, d):
+    silver = read_table(spark, _drained(spark, d)["silver"])
+    return silver.withColumn("event_time", F.col("event_time").cast(NTZ))
+
+
 # --- columns and cleaning -----------------------------------------------------
 
 
