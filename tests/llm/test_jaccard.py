@@ -76,13 +76,41 @@ def test_query(spark, sf_dir):
     assert found(QUERIES["op10_jaccard"](spark, sf_dir)) == brute(rows)
 
 
-def test_prefix_holds_a_shared_column():
+def test_prefixes_share_enough_columns():
     for n in range(1, 200):
         for m in range(n, 200):
             least = -(-75 * (n + m) // 175)
             if least <= n:
-                # Even with all shared columns last, prefixes reach into them.
-                assert jaccard.prefix_size(n) > n - least and jaccard.prefix_size(m) > m - least
+                # Even with all shared columns last, so many lie in both prefixes.
+                want = jaccard.least_shared(n)
+                assert min(jaccard.prefix_size(n) - (n - least), jaccard.prefix_size(m) - (m - least)) >= want
+
+
+def test_runs_of_many_documents_make_blocks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRED", 3)
+    docs = spark.createDataFrame(near_copies(), "doc_id long, text string").repartition(2)
+    assert found(jaccard.jaccard_components(docs)) == brute(near_copies())
+
+
+@pytest.mark.parametrize("paired", [2, 3, 32])
+@pytest.mark.parametrize("batch", [1, 4, 100])
+def test_every_pair_of_a_column_meets(spark, monkeypatch, paired, batch):
+    monkeypatch.setattr(jaccard, "PAIRED", paired)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    rows = [(c, -1, n, 100 * c + k) for c, size in enumerate([1, 2, 3, 4, 9, 1, 40, 2]) for k, n in enumerate(sorted((7 * k * k) % 31 + 20 for k in range(size)))]
+    try:
+        got = jaccard.column_runs(spark.createDataFrame(rows + rows[5:9], "column long, part long, n long, class long").coalesce(1)).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    pairs, blocks = set(), defaultdict(set)
+    for r in got:
+        if r.paired:
+            pairs.add((r.column, r.pivot, r["class"]))
+        else:
+            blocks[r.column, r.pivot].update((r.pivot, r["class"]))
+    for (c, _, n, a), (d, _, m, b) in itertools.product(rows, rows):
+        if c == d and a < b and 75 * max(n, m) <= 100 * min(n, m):
+            assert (c, a, b) in pairs or any(c == k[0] and {a, b} <= v for k, v in blocks.items())
 
 
 def test_sets_equal_brute_force():

@@ -6,15 +6,18 @@ multiplied, and within them pairs that their sizes rule out are left out:
 
 1. Rows with equal n-gram sets are one class. Columns that many documents share are
    counted, so that columns can be ordered from rare to frequent.
-2. Two sets with a similarity of ``t`` or more share one of the first
-   ``size - ceil(t * size) + 1`` columns of each in that order. Each column's documents,
-   sorted by size, fall into runs that no link can cross; the smallest document of a
-   run is its pivot, and a pivot's documents form a block.
-3. In each block the pivot's row is multiplied with all rows, and the rows it doesn't
-   link with are multiplied with the whole block. Overlap counts add up over the columns,
-   and what stays under the bound of both sizes is dropped. A spanning set of the links
-   leaves the block. Large blocks are cut into chunks that all get the pivot; rows that it
-   doesn't link with then meet the other chunks, too.
+2. Two sets with a similarity of ``t`` or more share at least ``least_shared`` of the
+   first ``size - ceil(t * size) + least_shared`` columns of each in that order. Pairs that
+   share a column of few documents are counted, and pairs with too low a count dropped.
+   A column of many documents is not paired: its documents, sorted by size, fall into
+   runs that no link can cross, and a run becomes one block under its smallest document,
+   its pivot. Documents with too few shared columns of either kind leave.
+3. Candidates are multiplied in blocks: the pivot's row with all rows, and the rows it
+   isn't linked with with the whole block. Overlap counts add up over the columns, and what
+   stays under the bound of both sizes is dropped. A spanning set of the links leaves the
+   block. Large blocks are cut into chunks that all get the pivot; rows that it isn't linked
+   with then meet the other chunks, too. This is done twice: first every document with its
+   smallest pivot alone, which joins most groups; then all candidates that are still apart.
 4. Links become components by minimum labels and pointer jumping.
 
 No pair of classes with a link is lost; neither groups nor candidates are capped.
@@ -48,6 +51,10 @@ THRESHOLD = 75
 #: Columns whose order is known at most (16 bytes each), and the count from which one is frequent.
 FREQUENT_COLUMNS = 1 << 18
 FREQUENT_MIN = 4
+#: Documents of a column that are paired with each other; columns of more make blocks.
+PAIRED = 32
+#: Of a set's columns, one in so many more must be shared among the first.
+SHARED_STEP = 50
 #: N-grams that a task counts at a time.
 COUNT_BUFFER = 4 << 20
 #: N-grams in a chunk of a block, and documents of a column from which its run is split.
@@ -165,9 +172,14 @@ def column_counts(grams: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) ->
     return np.where(keys[at] == grams, counts[at], 0)
 
 
+def least_shared(n: int) -> int:
+    """Columns that a set of ``n`` and a linked one no smaller share among the first of both."""
+    return 1 + n // SHARED_STEP
+
+
 def prefix_size(n: int, threshold: int = THRESHOLD) -> int:
-    """Of ``n`` columns, those among which a linked set must share one."""
-    return n - -(-threshold * n // 100) + 1
+    """Of ``n`` columns, those of which a linked set must share ``least_shared``."""
+    return min(n, n - -(-threshold * n // 100) + least_shared(n))
 
 
 def prefix_rows(docs: DataFrame, frequent: str, threshold: int, split_run: int, text: str = "text") -> DataFrame:
@@ -200,47 +212,111 @@ def prefix_rows(docs: DataFrame, frequent: str, threshold: int, split_run: int,
     return docs.select("doc_id", text).mapInArrow(run, "column long, part long, n long, class long")
 
 
-def blocks(prefixes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """``(pivot, class, n)``: the classes of each run of a column, under the run's smallest class.
+RUNS = "pivot long, pivot_n long, class long, n long, column long, part long, paired boolean"
+
 
-    Rows stream by in order of column and size; only the run's first row is held.
+def column_runs(prefixes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``RUNS``: pairs of classes of a column with few of them, or a run's classes under its first.
+
+    Rows stream by in order of column and size, and a column's first ``PAIRED`` rows are held.
     """
 
+    def told(left, right, paired):
+        c, p, n, k = right
+        columns = [pa.array(x) for x in (left[3], left[2], k, n, c, p, np.full(len(c), paired))]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in RUNS.split(", ")])
+
+    def apart(left, right):
+        """Whether sizes rule a link out."""
+        return threshold * right[2] > 100 * left[2]
+
+    def pairs(rows):
+        """All pairs of each run of at most ``PAIRED`` rows that sizes allow."""
+        starts = np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)]))
+        run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, rows.shape[1])))
+        for step in range(1, PAIRED):
+            same = np.flatnonzero(run[step:] == run[:-step])
+            if not len(same):
+                return
+            left, right = rows[:, same], rows[:, same + step]
+            able = ~apart(left, right)
+            if able.any():
+                yield told(left[:, able], right[:, able], True)
+
     def run(batches):
-        last = None  # column, part, n, class, pivot, pivot's n, whether the pivot was told
+        held, pivot, last = np.empty((4, 0), np.int64), None, None  # of the column at hand
         for batch in batches:
-            c, p, n, k = (batch.column(x).to_numpy() for x in ("column", "part", "n", "class"))
-            if not len(c):
+            rows = np.stack([batch.column(x).to_numpy() for x in ("column", "part", "n", "class")])
+            rows = np.concatenate([held, rows], 1)
+            if last is not None and rows.shape[1]:  # the column goes on as a block
+                more = int((rows[:2] == last[:2, None]).all(0).argmin()) if not (rows[:2] == last[:2, None]).all() else rows.shape[1]
+                yield from block(rows[:, :more], state := [pivot, last])
+                pivot, last = state
+                rows = rows[:, more:]
+                if not rows.shape[1]:
+                    held = rows
+                    continue
+                pivot = last = None
+            if not rows.shape[1]:
                 continue
-            before = [np.concatenate([[x[0] if last is None else last[i]], x[:-1]]) for i, x in enumerate((c, p, n, k))]
-            same = (c == before[0]) & (p == before[1])
-            copy = same & (n == before[2]) & (k == before[3])
-            # Of a split column a gap in one part may be none in the whole.
-            linked = same & ((threshold * n <= 100 * before[2]) | (p >= 0))
-            if last is None:
-                copy[0] = linked[0] = False
-            head = np.maximum.accumulate(np.where(linked, -1, np.arange(len(c))))
-            inside = head >= 0
-            pivot = np.where(inside, k[head], 0 if last is None else last[4])
-            size = np.where(inside, n[head], 0 if last is None else last[5])
-            told = ~copy & (linked | (p >= 0))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x[told]) for x in (pivot, size, k, n, c, p)], ["pivot", "pivot_n", "class", "n", "column", "part"]
-            )
-            last = (c[-1], p[-1], n[-1], k[-1], pivot[-1], size[-1])
+            fresh = np.concatenate([[True], (rows[:, 1:] != rows[:, :-1]).any(0)])
+            rows = rows[:, fresh]
+            starts = np.flatnonzero(np.concatenate([[True], (rows[:2, 1:] != rows[:2, :-1]).any(0)]))
+            sizes = np.diff(np.append(starts, rows.shape[1]))
+            whole = np.ones(len(starts), bool)
+            whole[-1] = False  # the last one may go on
+            large = (sizes > PAIRED) | (rows[1, starts] >= 0)
+            small = np.repeat(whole & ~large, sizes)
+            yield from pairs(rows[:, small])
+            for a, n in zip(starts[large].tolist(), sizes[large].tolist()):
+                state = [None, None]
+                yield from block(rows[:, a : a + n], state)
+            held = rows[:, starts[-1] :]
+            if large[-1]:
+                (pivot, last), held = state, held[:, :0]
+        if held.shape[1]:
+            yield from pairs(held)
+
+    def block(rows, state):
+        """Each row under the first of its run; ``state`` is the run's first and the row before."""
+        if not rows.shape[1]:
+            return
+        pivot, last = state
+        before = np.concatenate([rows[:, :1] if last is None else last[:, None], rows[:, :-1]], 1)
+        # Of a split column a gap in one part may be none in the whole.
+        head = apart(before, rows) & (rows[1] < 0)
+        head[0] |= last is None
+        at = np.maximum.accumulate(np.where(head, np.arange(len(head)), -1))
+        left = np.where(at >= 0, rows[:, at], rows[:, :1] if pivot is None else pivot[:, None])
+        yield told(left, rows, False)
+        state[0], state[1] = left[:, -1], rows[:, -1]
 
     ordered = prefixes.repartition("column", "part").sortWithinPartitions("column", "part", "n", "class")
-    found = stage(
-        ordered.mapInArrow(run, "pivot long, pivot_n long, class long, n long, column long, part long")
-        .select("pivot", "pivot_n", "class", "n", F.expr("if(part < 0, null, column)").alias("column"), "part")
-        .dropDuplicates(["pivot", "class", "column", "part"]),
-        "runs",
-    )
-    whole = found.filter("column is null").select("pivot", "pivot_n", "class", "n")
-    split = found.filter("column is not null")
-    first = split.groupBy("column").agg(F.min(F.struct("pivot_n", "pivot")).alias("first"))
-    split = split.join(first, "column").select(F.col("first.pivot"), F.col("first.pivot_n"), "class", "n")
-    return whole.unionByName(split)
+    return ordered.mapInArrow(run, RUNS)
+
+
+def candidates(prefixes: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """``pivot, class, pivot_n, n, paired``: pairs that share enough, and blocks of frequent columns."""
+    runs = column_runs(prefixes, threshold)
+    key = F.when(F.col("part") >= 0, F.col("column"))
+    ends = ["pivot", "pivot_n", "class", "n", "paired", key.alias("split")]
+    found = stage(runs.select(*ends).groupBy("pivot", "pivot_n", "class", "n", "paired", "split").agg(F.count("*").alias("shared")), "runs")
+
+    pairs = found.filter("paired").groupBy("pivot", "pivot_n", "class", "n").agg(F.sum("shared").alias("shared"))
+    split = found.filter("split is not null")
+    first = split.groupBy("split").agg(F.min(F.struct("pivot_n", "pivot")).alias("first"))
+    split = split.join(first, "split").select(F.col("first.pivot"), F.col("first.pivot_n"), "class", "n", "shared")
+    whole = found.filter("not paired and split is null").select("pivot", "pivot_n", "class", "n", "shared")
+    lots = whole.unionByName(split).groupBy("pivot", "pivot_n", "class", "n").agg(F.sum("shared").alias("shared"))
+
+    # Columns that a class shares with any other, in pairs and in blocks.
+    sides = pairs.select("class", "shared").unionByName(pairs.select(F.col("pivot").alias("class"), "shared"))
+    able = sides.unionByName(lots.select("class", "shared")).groupBy("class").agg(F.sum("shared").alias("of_class"))
+    least = lambda n: 1 + F.floor(n / SHARED_STEP)
+    # The smallest set that one of ``n`` can be linked with asks for the least.
+    lots = lots.join(able, "class").filter(F.col("of_class") >= least(F.col("n") * threshold / 100)).drop("of_class")
+    pairs = pairs.filter(F.col("shared") >= least(F.least("pivot_n", "n")))
+    return pairs.withColumn("paired", F.lit(True)).unionByName(lots.withColumn("paired", F.lit(False))).drop("shared")
 
 
 def links(row: np.ndarray, block: list[np.ndarray], sizes: np.ndarray, threshold: int) -> np.ndarray:
@@ -349,7 +425,8 @@ def link_edges(docs: DataFrame, members: DataFrame, threshold: int, chunk_grams:
     one = F.array(F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
     dealt = dealt.select("pivot", "chunks", "doc_id", "flag", F.explode(F.when(F.col("flag"), every).otherwise(one)).alias("chunk"))
     dealt = stage(dealt, "blocks")
-    texts = docs.select("doc_id", text)
+    # Members grow with the documents, so their texts are joined in the same way at every size.
+    texts = docs.select("doc_id", text).hint("merge")
 
     def first(batches):
         for (pivot, chunk, chunks), flags, ids, sets in _groups(batches, ["pivot", "chunk", "chunks"], text):
@@ -428,13 +505,29 @@ def jaccard_components(
     sized = rows.filter("doc_id is not null and n_shingles > 0")
     classes = stage(sized.groupBy("class").agg(F.min("doc_id").alias("first")), "classes")
 
-    found = blocks(prefix_rows(docs, frequent, threshold, split_run, text), threshold)
-    pivots = found.select("pivot", F.col("pivot").alias("class"), F.col("pivot_n").alias("n"))
-    found = found.select("pivot", "class", "n").unionByName(pivots).distinct()
+    found = candidates(prefix_rows(docs, frequent, threshold, split_run, text), threshold)
     first = classes.select(F.col("class").alias("pivot"), F.col("first").alias("head"))
-    members = found.join(classes, "class").join(first, "pivot")
-    members = members.groupBy(F.col("head").alias("pivot"), F.col("first").alias("doc_id")).agg(F.max("n").alias("n"))
-    edges = link_edges(docs, members, threshold, chunk_grams, text)
+    found = found.join(classes, "class").join(first, "pivot")
+    ends = [F.col("head").alias("pivot"), F.col("first").alias("doc_id"), "pivot_n", "n", "paired"]
+    found = stage(found.select(*ends).filter("pivot <> doc_id"), "candidates")
+
+    def blocks(rows):
+        """The rows with their pivots as members of their own blocks."""
+        pivots = rows.select("pivot", F.col("pivot").alias("doc_id"), F.col("pivot_n").alias("n"))
+        return rows.select("pivot", "doc_id", "n").unionByName(pivots).groupBy("pivot", "doc_id").agg(F.max("n").alias("n"))
+
+    smallest = F.min(F.struct("pivot_n", "pivot", "n")).alias("s")
+    nearest = found.groupBy("doc_id").agg(smallest).select("doc_id", "s.*")
+    edges = link_edges(docs, blocks(nearest), threshold, chunk_grams, text)
+
+    label = components(edges)
+    of_pivot = label.select(F.col("doc_id").alias("pivot"), F.col("component_id").alias("y"))
+    placed = found.join(label, "doc_id", "left").join(of_pivot, "pivot", "left")
+    placed = placed.withColumn("x", F.coalesce("component_id", "doc_id")).withColumn("y", F.coalesce("y", "pivot"))
+    apart = placed.filter("not paired").groupBy("pivot").agg(F.max(F.col("x") != F.col("y")).alias("apart")).filter("apart")
+    lots = placed.filter("not paired").join(apart, "pivot", "left_semi")
+    rest = placed.filter("paired and x <> y").unionByName(lots).select("pivot", "doc_id", "pivot_n", "n")
+    edges = edges.unionByName(link_edges(docs, blocks(stage(rest, "apart")), threshold, chunk_grams, text))
 
     # Classes of one doc_id are one document's.
     shared = sized.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y")
