@@ -1,10 +1,16 @@
 """The whole batch chain and the command line."""
 
+import datetime
+import glob
+from pathlib import Path
+
 from vidpulse.__main__ import main
 from vidpulse.plans import inputs
 from vidpulse.plans.batch import BatchSettings, run_batch
 from vidpulse.schemas import FEATURE_COLUMNS, HOT_COLUMNS, PREDICTION_COLUMNS, RECOMMENDATION_COLUMNS
+from vidpulse.session import shared_folder, stage, staging
 from vidpulse.sources.tables import read_table
+from vidpulse.streaming.features import rescore_each_batch
 
 
 def test_batch_chain(spark, sf_dir, tmp_path):
@@ -46,3 +52,30 @@ def test_command_line_from_csv_to_tables(spark, tmp_path, capsys):
 def test_command_line_generates_a_log_with_trends(spark, tmp_path):
     main(["generate", str(tmp_path / "log"), "--rows", "5000"])
     assert read_table(spark, str(tmp_path / "log")).count() > 5000
+
+
+def test_staged_tables_go_with_their_scope(spark, tmp_path):
+    with staging(spark):
+        outer = stage(spark.range(5), "outer")
+        with staging(spark):
+            inner = stage(outer.filter("id > 1"), "inner")
+            assert inner.count() == 3
+            gone = inner.inputFiles()
+        assert outer.count() == 5
+        gone += outer.inputFiles()
+    assert gone and not [f for f in gone if Path(f.removeprefix("file:")).exists()]
+
+
+def test_micro_batches_leave_no_staged_table(spark, tmp_path):
+    cells = spark.createDataFrame(
+        [("v", datetime.datetime(2024, 1, 1), datetime.datetime(2024, 1, 2), 3, 2, 0.5, 4.0, 1)],
+        "video_id string, window_start timestamp, window_end timestamp, views_count long, unique_users long,"
+        " avg_watch_ratio double, avg_watch_time double, engagement_count long",
+    )
+    cells.write.parquet(str(tmp_path / "in"))
+    folder = shared_folder(spark).removeprefix("file:")
+    before = set(glob.glob(f"{folder}/features-*"))
+    stream = spark.readStream.schema(cells.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    rescore_each_batch(stream, str(tmp_path / "cells"), str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+    assert set(glob.glob(f"{folder}/features-*")) == before

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vidpulse.operators import caching, profiling, scoring
 from vidpulse.operators.features import video_features
 from vidpulse.schemas import HOT_QUANTILE, WATCHLIST_QUANTILE, WINDOW, CostModel, ScoreWeights
+from vidpulse.session import staging
 from vidpulse.sources.sinks import RunReport, publish
 from vidpulse.sources.tables import read_table
 
@@ -49,6 +50,11 @@ def run_batch(
         reports[name] = publish(df, path, allow_empty=allow_empty)
         return read_table(spark, path, schema=df.schema)
 
+    with staging(spark):
+        return _publish_all(logs, put, settings, reports)
+
+
+def _publish_all(logs, put, settings, reports):
     features = put(video_features(logs, settings.window), FEATURES)
     predictions = put(
         scoring.score_hot(

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,15 +60,37 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+#: Paths staged inside each open scope, the innermost last.
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``stage`` writes inside are removed at the end; results must be written before."""
+    own: list[str] = []
+    _scopes.append(own)
+    try:
+        yield
+    finally:
+        _scopes.remove(own)
+        for path in own:
+            fs, jpath = hadoop_path(spark, path)
+            fs.delete(jpath, True)
+
+
 def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Used where a result is needed by several jobs: later jobs prune columns on
     the written table instead of repeating the work, its file size lets the
-    planner choose join strategies, and a lost executor costs nothing.
+    planner choose join strategies, and a lost executor costs nothing. ``options`` go
+    to the writer. The table goes with the ``staging`` scope around it, or else when the
+    session's JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.options(**options).parquet(path)
     fs, jpath = hadoop_path(spark, path)
     fs.deleteOnExit(jpath)

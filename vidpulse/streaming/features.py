@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vidpulse.operators.features import with_growth
 from vidpulse.operators.scoring import score_hot
 from vidpulse.schemas import FEATURE_COLUMNS, WINDOW
-from vidpulse.session import stage
+from vidpulse.session import stage, staging
 from vidpulse.sources.sinks import publish
 from vidpulse.sources.tables import read_table
 
@@ -83,8 +83,9 @@ def rescore_each_batch(
             .parquet(cells_path)
         )
         written = read_table(spark, cells_path, schema=numbered.schema).drop("batch_id")
-        features = stage(grown_cells(written), "features")
-        publish(score_hot(features, **score_options), predictions_path, allow_empty=True)
+        with staging(spark):
+            features = stage(grown_cells(written), "features")
+            publish(score_hot(features, **score_options), predictions_path, allow_empty=True)
 
     return _each_batch(cells, handle, checkpoint)
 
