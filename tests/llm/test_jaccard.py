@@ -43,7 +43,7 @@ def brute(rows):
         if 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
             x, y = sorted((top(rows[a][0]), top(rows[b][0])))
             up[y] = x
-    return sorted(((i, len(s), None if i is None else top(i)) for (i, _), s in zip(rows, sets)), key=str)
+    return sorted(((i, len(s), i if i is None or not s else top(i)) for (i, _), s in zip(rows, sets)), key=str)
 
 
 def found(df):
@@ -62,7 +62,7 @@ def near_copies():
     rows += [(200 + k, f"{passage} " + " ".join(f"q{k}_{i}" for i in range(5 + 6 * (k % 5)))) for k in range(25)]
     rows += [(300 + k, "the same few words here") for k in range(9)] + [(310, "The  SAME\nfew words here"), (311, "the same few")]
     rows += [(400, None), (401, ""), (402, " \n"), (None, "the same few words here"), (100, "repeated id with other words in it")]
-    return rows + [(100, rows[0][1])]
+    return rows + [(100, rows[0][1]), (100, None), (101, ""), (300, None)]
 
 
 @pytest.mark.parametrize("kwargs", [{}, {"chunk_grams": 200, "split_run": 3}, {"chunk_grams": 40}])
@@ -127,7 +127,8 @@ def test_components_of_a_long_path(spark):
 def test_one_of_each(spark, odd_docs, no_docs):
     docs = spark.createDataFrame(near_copies(), "doc_id long, text string").withColumn("count", F.lit(1))
     kept = jaccard.one_of_each(docs)
-    want = {i for i, _, c in brute(near_copies()) if i == c}
+    rows = brute(near_copies())
+    want = {i for i, _, _ in rows} - {i for i, _, c in rows if i != c}
     assert kept.columns == docs.columns
     assert sorted(map(str, (r.doc_id for r in kept.collect()))) == sorted(map(str, want))
     assert jaccard.one_of_each(odd_docs).schema == odd_docs.schema

@@ -24,8 +24,8 @@ No pair of classes with a link is lost; neither groups nor candidates are capped
 
 Words are runs without ASCII white space, A to Z in lower case; fewer than ``GRAM`` words
 are one n-gram. Defined results: a null, empty or wordless text has no n-gram, is linked
-with nothing and is its own component; rows that share a ``doc_id`` are one document, so
-their classes are linked; rows with a null ``doc_id`` take no part in links and have no
+with nothing and is its own component; rows with words that share a ``doc_id`` are one
+document, so their classes are linked; rows with a null ``doc_id`` take no part in links and have no
 component; repeated rows get a row each; an empty table gives an empty result. Only
 ``doc_id`` and the text are read.
 """
@@ -399,6 +399,8 @@ def _groups(batches, keys: list[str], text: str):
             sets = gram_sets(texts_of(part, text))
             names = zip(*(part.column(k).to_pylist() for k in keys))
             for own, flag, doc, grams in zip(names, part.column("flag").to_pylist(), part.column("doc_id").to_pylist(), sets):
+                if not len(grams):  # another row of a repeated id, without words
+                    continue
                 if own != key:
                     if key is not None:
                         yield (key, *rows)
