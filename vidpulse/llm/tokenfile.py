@@ -211,6 +211,11 @@ class RangeDecoder:
             self.range[live] = span[on] << WORD
 
 
+def even_share(size: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    """``(size << 15) // COUNTS[kind]``; dividing by the one number 3 is much faster."""
+    return ((size << 15) >> (2 * kind)) // 3
+
+
 def code_blocks(ranks: np.ndarray, kinds: int) -> list[bytes]:
     """The payload of each row of ``ranks``."""
     lanes, steps = ranks.shape
@@ -222,7 +227,7 @@ def code_blocks(ranks: np.ndarray, kinds: int) -> list[bytes]:
         hit2 = model.pred2 == own
         hit1 = (model.pred1 == own) & ~hit2
         start, end = model.edges(kind)
-        unit = ((end - start) << 15) // COUNTS.take(kind)
+        unit = even_share(end - start, kind)
         start = (start << 15) + (own + 1 - FIRSTS.take(kind)) * unit
         hit = hit2 | hit1
         if hit.any():
@@ -249,7 +254,7 @@ def decode_blocks(payloads: list[bytes], steps: int, kinds: int) -> np.ndarray:
         reach = (((place - model.rest + 1) << 15) - 1) // ((1 << 16) - model.rest)
         kind = (model.order0[:, 1:-1] <= reach[:, None]).sum(1)
         start, end = model.edges(kind)
-        unit = ((end - start) << 15) // COUNTS.take(kind)
+        unit = even_share(end - start, kind)
         rest = np.minimum((point - (start << 15)) // unit, COUNTS.take(kind) - 1)
         own = FIRSTS.take(kind) + rest - 1
         start = (start << 15) + rest * unit
