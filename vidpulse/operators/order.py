@@ -69,6 +69,7 @@ def kth_values(
     bounds: dict[str, Bounds] | None = None,
     bins: int = BINS,
     finish_rows: int = FINISH_ROWS,
+    places: list | None = None,
 ) -> list:
     """For each (column, k) the 0-based ``k``-th smallest non-null value.
 
@@ -77,28 +78,33 @@ def kth_values(
     the wanted rank; min and max of its members are the next range. Rounds shrink
     a range by the number of bins, whatever the number of rows is. NaN counts as the
     largest value, and infinite values are ordinary ones; both are counted apart.
+    ``places`` receives (rows below the value, rows with it) for each wanted rank.
     """
     names = list(dict.fromkeys(n for n, _ in wanted))
     bounds = bounds or _bounds(df, names)
     ranges: dict[tuple, tuple[int, int, list[int]]] = {}  # (column, lo, hi) -> below, inside, targets
     found: list = [None] * len(wanted)
+    places = [] if places is None else places
+    places[:] = found
     for i, (name, k) in enumerate(wanted):
         held = bounds[name]
         if not 0 <= k < held.valid:
             raise ValueError(f"rank {k} of {name} outside 0..{held.valid - 1}")
         finite = held.valid - held.low - held.high - held.nan
         if k < held.low:
-            found[i] = -math.inf
+            found[i], places[i] = -math.inf, (0, held.low)
         elif k < held.low + finite:
             ranges.setdefault((name, held.lo, held.hi), (held.low, finite, []))[2].append(i)
+        elif k < held.low + finite + held.high:
+            found[i], places[i] = math.inf, (held.low + finite, held.high)
         else:
-            found[i] = math.inf if k < held.low + finite + held.high else math.nan
+            found[i], places[i] = math.nan, (held.valid - held.nan, held.nan)
     while True:
         open_ranges = {}
         for (name, lo, hi), state in ranges.items():
             if lo == hi:
                 for i in state[2]:
-                    found[i] = lo
+                    found[i], places[i] = lo, state[:2]
             else:
                 open_ranges[name, lo, hi] = state
         if not open_ranges:
@@ -236,12 +242,11 @@ def _first(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
         return df.filter(number.isNotNull()).unionByName(_first(nulls, n - held.valid, keys[1:]))
     if n <= 0:
         return df.limit(0)
-    cut = F.lit(kth_smallest(keyed, "_number", n - 1, bounds={"_number": held}))
-    counts = keyed.agg(
-        F.count_if(F.col("_number") < cut).alias("below"), F.count_if(F.col("_number") == cut).alias("at")
-    ).first()
-    missing = n - counts["below"]
-    if missing == counts["at"]:
+    places: list = []
+    cut = F.lit(kth_smallest(keyed, "_number", n - 1, bounds={"_number": held}, places=places))
+    below, at = places[0]
+    missing = n - below
+    if missing == at:
         return df.filter(number <= cut)
     return df.filter(number < cut).unionByName(_first(df.filter(number == cut), missing, keys[1:]))
 
