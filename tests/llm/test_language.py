@@ -21,6 +21,18 @@ def test_dictionaries_have_one_size(content):
     assert len({len(x) for x in content.values()}) == 1
 
 
+def test_a_short_language_shortens_no_other(content):
+    texts = {k: [v] for k, v in SENTENCES.items()}
+    found = language.dictionaries({**texts, "xx": ["salve"], "yy": ["123 45"], "zz": [""]})
+    assert found == {**content, "xx": b"salve"}
+    full = {"aa": ["ab " * 20_000], "bb": ["cd " * 10_500]}
+    assert {k: len(v) for k, v in language.dictionaries(full).items()} == {"aa": language.DICTIONARY_BYTES, "bb": 31_499}
+    judge = language.Classifier(found).judge
+    for lang, text in SENTENCES.items():
+        name, margin = judge(f"{text} 7")
+        assert name == lang and margin >= 0.2
+
+
 def test_judge(content):
     judge = language.Classifier(content).judge
     assert judge("They HAD found the stone on the hill, 12 times!")[0] == "en"

@@ -1,14 +1,15 @@
 """Language by compression: the dictionary that makes a text smallest names its language.
 
 For every language a raw-content zstandard dictionary is filled from a bounded sample of
-labelled texts. A text is cut into pieces, each compressed against every dictionary in a
+labelled texts, each up to ``DICTIONARY_BYTES`` of its own: a language with little text has
+a short dictionary and leaves the others as they are. A text is cut into pieces, each compressed against every dictionary in a
 frame of its own, so that a long text keeps leaning on the dictionary instead of on
 itself; the sizes of all pieces add up. The margin is the share by which the smallest
 total undercuts the next; texts with a narrow margin are rejected.
 
 Defined results: ``und`` with score 0 for a null text and one without a letter; ties go
 to the language with more labelled texts; with one language its score is 1; without any labelled
-row everything is ``und``. Rows are judged one by one, so repeated rows agree.
+row everything is ``und``. A language without a letter in its texts is not learned. Rows are judged one by one, so repeated rows agree.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ SAMPLE_CHARS = 8000
 #: Bytes of a text that are compressed as one piece.
 PIECE = 2048
 LEVEL = 6
+#: Contents below the full size that differ by less than this share count as equally long.
+NEAR = 0.1
 #: A text is rejected when the margin is below this.
 MIN_MARGIN = 0.002
 
@@ -72,10 +75,15 @@ def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS) -> dict[str, list[str
 
 
 def dictionaries(texts: dict[str, list[str]], size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """The raw content of each language's dictionary, of one size for all."""
-    whole = {lang: letters(" ".join(own)) for lang, own in texts.items() if own}
-    size = min([size, *map(len, whole.values())])
-    return {lang: own[:size] for lang, own in whole.items()}
+    """The raw content of each language's dictionary, of the language's own size up to ``size``.
+
+    Contents that nearly agree in length get the same one, so that none wins by a few bytes;
+    full ones stay whole, and none loses more than the share ``NEAR``.
+    """
+    whole = {lang: letters(" ".join(own))[:size] for lang, own in texts.items() if any(map(LETTER.search, own))}
+    lengths = [len(x) for x in whole.values()]
+    even = {n: n if n == size else min(m for m in lengths if m >= n * (1 - NEAR)) for n in lengths}
+    return {lang: own[: even[len(own)]] for lang, own in whole.items()}
 
 
 def learn(labelled: DataFrame, texts: int = SAMPLE_TEXTS) -> dict[str, bytes]:
