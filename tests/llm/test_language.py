@@ -58,6 +58,15 @@ def test_sample_is_bounded_and_distinct(spark):
     assert language.sample(spark.createDataFrame([], "text string, lang string")) == {}
 
 
+def test_long_texts_are_learned_by_pieces(spark):
+    long = [(f"{i} " + SENTENCES["de"] * 200, "de") for i in range(3)] + [("1 " * 9000 + "salve", "xx"), ("12", "yy")]
+    docs = spark.createDataFrame([*long, (SENTENCES["en"], "en")], "text string, lang string")
+    found = language.sample(docs)
+    assert {k: len(v) for k, v in found.items()} == {"de": 3, "en": 1, "xx": 1}
+    assert found["xx"] == ["salve"] and all(len(x) == language.SAMPLE_CHARS for x in found["de"])
+    assert language.Classifier(language.learn(docs)).judge(SENTENCES["de"])[0] == "de"
+
+
 def test_query_tells_held_out_languages(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = QUERIES["op4_language"](spark, sf_dir)

@@ -54,11 +54,13 @@ def held_out(doc_id: Column) -> Column:
 def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS) -> dict[str, list[str]]:
     """About ``texts`` different texts of each language, chosen by the texts' hashes.
 
-    Equal texts share a hash and are drawn once. What reaches the driver is bounded by
-    languages x 2 x ``texts`` x ``SAMPLE_CHARS``; longer texts are not drawn.
+    Equal texts share a hash and are drawn once. Of a longer text a piece of ``SAMPLE_CHARS``
+    is drawn, at a place given by the hash, and where that has no letter, from the text's
+    first letter on. What reaches the driver is bounded by languages x 2 x ``texts`` x
+    ``SAMPLE_CHARS``.
     """
-    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
-    rows = rows.filter(F.length("text") <= SAMPLE_CHARS).withColumn("mark", F.xxhash64("text"))
+    rows = labelled.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    rows = rows.select("lang", "text", F.xxhash64("text").alias("mark"))
     counts = rows.groupBy("lang").agg(F.approx_count_distinct("mark").alias("n")).collect()
     if not counts:
         return {}
@@ -66,6 +68,10 @@ def sample(labelled: DataFrame, texts: int = SAMPLE_TEXTS) -> dict[str, list[str
     cuts = {r["lang"]: -(2**63) + min(span - 1, int(span * 1.25 * texts / max(1, r["n"]))) for r in counts}
     cut = F.create_map(*(F.lit(x) for pair in cuts.items() for x in pair))
     drawn = rows.filter(F.col("mark") <= cut[F.col("lang")])
+    start = F.pmod("mark", F.greatest(F.length("text") - SAMPLE_CHARS + 1, F.lit(1))).cast("int") + 1
+    piece = F.substring("text", start, SAMPLE_CHARS)
+    later = F.substring(F.regexp_extract("text", r"(?s)\p{L}.*", 0), 1, SAMPLE_CHARS)
+    drawn = drawn.select("lang", "mark", F.when(piece.rlike(r"\p{L}"), piece).otherwise(later).alias("text"))
     drawn = drawn.groupBy("lang", "mark").agg(F.first("text").alias("text"))
     counts.sort(key=lambda r: (-r["n"], r["lang"]))
     found: dict[str, list[str]] = {r["lang"]: [] for r in counts}
