@@ -58,6 +58,30 @@ def test_invalid_values_are_left_alone(text):
     assert OWN.apply(text) == (text, {})
 
 
+@pytest.mark.parametrize(
+    ("kind", "before", "value", "behind"),
+    [
+        ("card", "", "4111111111111111", " 05/27"),
+        ("card", "", "4111 1111 1111 1111", " 123"),
+        ("card", "", "4111-1111-1111-1111", "-1234"),
+        ("card", "12 ", "4111 1111 1111 1111", ""),
+        ("card", "1234-", "4111-1111-1111-1111", ""),
+        ("iban", "", "DE89370400440532013000", " BIC COBADEFF"),
+        ("iban", "", "DE89 3704 0044 0532 0130 00", " 2024 ABC"),
+        ("phone", "", "974 555 3436", " 890 12"),
+    ],
+)
+def test_values_beside_digits_and_capitals(kind, before, value, behind):
+    alone = OWN.apply(value)[0]
+    assert alone != value
+    assert OWN.apply(before + value + behind) == (before + alone + behind, {kind: 1})
+
+
+def test_a_date_behind_an_account_number_is_found():
+    text, counts = OWN.apply("DE89 3704 0044 0532 0130 00 2024-01-02.")
+    assert counts == {"iban": 1, "date": 1} and "2024-01-02" not in text and "3704" not in text
+
+
 def test_query_leaves_no_personal_value_and_no_clean_text_changes(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op9_pii"](spark, sf_dir).collect()

@@ -6,7 +6,9 @@ checksum, calendar dates, mail addresses and keys. A value's number goes through
 keyed Feistel network, walked again until it falls into the format's range, which makes
 a permutation of that range: equal values get equal pseudonyms in every document, and
 different values different ones. Layout (separators, letter case, length of numbers)
-stays as it is. Values that fail validation are left alone.
+stays as it is. Values that fail validation are left alone. A match that fails is tried at
+the ends of its shorter groups and with the later formats, and the search goes on behind
+what was accepted, or behind the first group.
 
 Defined results: a null text stays null with no finding; an empty text stays empty;
 repeated rows get the same result; other columns are not read (``pseudonymise``) or
@@ -83,6 +85,20 @@ def only_digits(found: str) -> str:
 Permute = Callable[[int, int, str], int]
 
 
+def ends(found: str, gaps: str, least: int, most: int) -> list[tuple[int, int]]:
+    """``(end, characters without gaps)`` of the whole groups from the start on, longest first."""
+    out, n = [], 0
+    for k, c in enumerate(found, 1):
+        n += c not in gaps
+        if least <= n <= most and c not in gaps and (k == len(found) or found[k] in gaps):
+            out.append((k, n))
+    return out[::-1]
+
+
+def card_ends(found: str) -> list[int]:
+    return [k for k, _ in ends(found, " -", 13, 19)]
+
+
 def card(found: str, move: Permute) -> str | None:
     """13 to 19 digits with a right check digit; the first digit, which names the issuer's kind, stays."""
     d = only_digits(found)
@@ -183,6 +199,21 @@ def iban(found: str, move: Permute) -> str | None:
     return "".join(c if c == " " else next(fresh) for c in found)
 
 
+#: Length of an account number by country; of others every length is tried.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20,
+    "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28, "IE": 22, "IS": 26, "IT": 27, "LI": 21,
+    "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SE": 24,
+    "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+}
+
+
+def iban_ends(found: str) -> list[int]:
+    """The length of the country first."""
+    own = IBAN_LENGTHS.get(found[:2])
+    return [k for k, n in sorted(ends(found, " ", 15, 34), key=lambda x: x[1] != own)]
+
+
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -233,11 +264,15 @@ FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
     ("date", r"(?<![\w./-])[0-9]{2}([-/.])[0-9]{2}\1[0-9]{4}(?![\w/-]|\.[0-9])", local_date),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z_]|\.[0-9])", ipv4),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", ssn),
-    ("card", r"(?<![\w.-])[0-9](?:[ -]?[0-9]){12,18}(?![\w-])", card),
+    ("card", r"(?<![\w.])(?<![^\W\d]-)[0-9](?:[ -]?[0-9]){12,18}(?!\w|-[^\W\d])", card),
     ("phone", r"(?<![\w.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", phone),
     ("phone", r"(?<![\w.-])\+[0-9]{10,13}(?![\w-])", phone),
 )
 PATTERN = re.compile("|".join(f"(?P<f{k}>{p.replace(chr(92) + '1', f'(?P=m{k})').replace('([-/.])', f'(?P<m{k}>[-/.])')})" for k, (_, p, _) in enumerate(FORMATS) if k))
+EACH = [re.compile(p) for _, p, _ in FORMATS]
+#: Formats whose match may run on into what follows: the ends to try, in this order.
+ENDS = {card: card_ends, iban: iban_ends}
+FIRST_GROUP = re.compile(r"\w+|\W")
 EMAIL = re.compile(FORMATS[0][1])
 HINT = re.compile(r"[0-9]")
 KINDS = tuple(dict.fromkeys(name for name, _, _ in FORMATS))
@@ -258,23 +293,40 @@ class Pseudonyms:
         """The text with pseudonyms, and how many values of each kind were replaced."""
         counts: dict[str, int] = {}
 
-        def one(k: int, found: str) -> str:
-            fresh = self.replace(k, found)
-            if fresh is None:
-                return found
-            counts[FORMATS[k][0]] = counts.get(FORMATS[k][0], 0) + 1
-            return fresh
+        def one(k: int, found: str) -> tuple[str, int] | None:
+            """The pseudonym, and how much of what was found it stands for."""
+            for end in ENDS.get(FORMATS[k][2], lambda x: [len(x)])(found):
+                fresh = self.replace(k, found[:end])
+                if fresh is not None:
+                    counts[FORMATS[k][0]] = counts.get(FORMATS[k][0], 0) + 1
+                    return fresh, end
+            return None
 
         def numbers(part: str) -> str:
             if not HINT.search(part):
                 return part
-            return PATTERN.sub(lambda m: one(int(next(n for n, v in m.groupdict().items() if v and n[0] == "f")[1:]), m[0]), part)
+            out, done, at = [], 0, 0
+            while m := PATTERN.search(part, at):
+                k = int(next(n for n, v in m.groupdict().items() if v and n[0] == "f")[1:])
+                start = m.start()
+                hit = one(k, m[0])
+                for j in range(k + 1, len(FORMATS) if hit is None else 0):
+                    # What is no value of the first format may begin one of a later format.
+                    if (later := EACH[j].match(part, start)) and (hit := one(j, later[0])):
+                        break
+                if hit:
+                    out += [part[done:start], hit[0]]
+                    done = at = start + hit[1]
+                else:
+                    at = FIRST_GROUP.match(part, start).end() if FORMATS[k][2] in ENDS else m.end()
+            return "".join(out) + part[done:]
 
         if "@" not in text:
             return numbers(text), counts
         out, at = [], 0
         for m in EMAIL.finditer(text):
-            out += [numbers(text[at : m.start()]), one(0, m[0])]
+            hit = one(0, m[0])
+            out += [numbers(text[at : m.start()]), hit[0] if hit else m[0]]
             at = m.end()
         return "".join(out) + numbers(text[at:]), counts
 
