@@ -82,6 +82,31 @@ def test_a_date_behind_an_account_number_is_found():
     assert counts == {"iban": 1, "date": 1} and "2024-01-02" not in text and "3704" not in text
 
 
+@pytest.mark.parametrize("value", ["2024-01-02T10:00:00Z", "2024-1-2", "1/2/2024", "12/1/2024", "9.10.2024", "1/15/2024"])
+def test_dates_in_more_layouts(value):
+    text, counts = OWN.apply(f"on {value}, or")
+    assert counts == {"date": 1} and value[:9] not in text
+    assert re.sub(r"\d", "0", text) == re.sub(r"\d", "0", f"on {value}, or")
+
+
+def test_short_dates_stay_different():
+    dates = [f"{d}/{m}/2024" for m in range(1, 13) for d in range(1, 29) if d < 10 or m < 10]
+    assert len({OWN.apply(x)[0] for x in dates}) == len(dates)
+
+
+@pytest.mark.parametrize("value", ["+44 20 7946 0958", "+33 1 23 45 67 89", "+34 912 345 678", "+49 30 901820", "+44 (0)20 7946 0958", "+4930123", "+352 12345", "+8613812345678"])
+def test_numbers_of_any_grouping(value):
+    digits = sum(c.isdigit() for c in value)
+    text, counts = OWN.apply(f"call {value}.")
+    if digits < 8:
+        assert counts == {} and value in text
+        return
+    assert counts == {"phone": 1} and value not in text
+    assert re.sub(r"\d", "0", text) == re.sub(r"\d", "0", f"call {value}.")
+    if value.startswith(("+34", "+33")):
+        assert OWN.apply(value + " 2024")[0] == text[5:-1] + " 2024" and text[5:8] == value[:3]
+
+
 def test_query_leaves_no_personal_value_and_no_clean_text_changes(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op9_pii"](spark, sf_dir).collect()

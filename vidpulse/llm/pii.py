@@ -21,6 +21,7 @@ import datetime
 import hashlib
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -118,6 +119,32 @@ def phone(found: str, move: Permute) -> str | None:
     return refill(found, head + str(move(int(body), 10**10, f"phone{head}")).zfill(10))
 
 
+#: Digits after a country's code, 0 where there is no one length; of others the longest run counts.
+NATIONAL = {"1": 10, "49": 0, "33": 9, "34": 9, "41": 9, "44": 10, "52": 10, "57": 10, "351": 9}
+PHONE_GAPS = " .()/-"
+
+
+def country(digits: str) -> str:
+    return next((digits[:n] for n in (1, 2, 3) if digits[:n] in NATIONAL), "")
+
+
+def foreign_ends(found: str) -> list[int]:
+    """The length of the country first."""
+    code = country(only_digits(found))
+    own = len(code) + NATIONAL.get(code, 99) + ("(0)" in found)
+    return [k for k, n in sorted(ends(found, PHONE_GAPS + "+", 8, 15), key=lambda x: x[1] != own)]
+
+
+def foreign(found: str, move: Permute) -> str | None:
+    """A number after a plus: all but a known country's code, else the last ten digits, or all but two of 8 and 9."""
+    d = only_digits(found)
+    if not 8 <= len(d) <= 15:
+        return None
+    cut = len(country(d)) or (len(d) - 10 if len(d) >= 10 else 2)
+    head, body = d[:cut], d[cut:]
+    return refill(found, head + str(move(int(body), 10 ** len(body), f"phone{head}")).zfill(len(body)))
+
+
 def ssn(found: str, move: Permute) -> str | None:
     area, group, serial = (int(x) for x in found.split("-"))
     if area in (0, 666) or area > 899 or not group or not serial:
@@ -226,18 +253,53 @@ def moved_day(y: int, m: int, d: int, move: Permute) -> datetime.date | None:
     return datetime.date.fromordinal(FIRST_DAY + move(day, DAYS, "date")) if 0 <= day < DAYS else None
 
 
+@lru_cache(maxsize=64)
+def days_of(days: tuple[int, int], months: tuple[int, int]) -> list[int]:
+    """The numbers of the dates whose day and month lie in these ranges."""
+    dates = ((n, datetime.date.fromordinal(FIRST_DAY + n)) for n in range(DAYS))
+    return [n for n, x in dates if days[0] <= x.day <= days[1] and months[0] <= x.month <= months[1]]
+
+
+def moved_short(y: int, m: int, d: int, move: Permute, days: tuple[int, int] | None = None) -> datetime.date | None:
+    """A date with a one-digit part, moved within those that take as many digits."""
+    try:
+        day = datetime.date(y, m, d).toordinal() - FIRST_DAY
+    except ValueError:
+        return None
+    if not 0 <= day < DAYS:
+        return None
+    days, months = days or ((1, 9) if d < 10 else (10, 31)), (1, 9) if m < 10 else (10, 12)
+    held = days_of(days, months)
+    fresh = held[move(bisect_left(held, day), len(held), f"date{days}{months}")]
+    return datetime.date.fromordinal(FIRST_DAY + fresh)
+
+
 def iso_date(found: str, move: Permute) -> str | None:
-    day = moved_day(int(found[:4]), int(found[5:7]), int(found[8:]), move)
-    return day and f"{day.year:04d}{found[4]}{day.month:02d}{found[7]}{day.day:02d}"
+    """Year first; with one-digit parts and dots it is rather a version."""
+    mark = found[4]
+    y, m, d = found.split(mark)
+    short = len(found) < 10
+    if short and mark == ".":
+        return None
+    day = (moved_short if short else moved_day)(int(y), int(m), int(d), move)
+    return day and f"{day.year:04d}{mark}{day.month:0{len(m)}d}{mark}{day.day:0{len(d)}d}"
 
 
 def local_date(found: str, move: Permute) -> str | None:
     """Day and month first; where only month and day make a date, these."""
-    a, b, mark = int(found[:2]), int(found[3:5]), found[2]
-    if day := moved_day(int(found[6:]), b, a, move):
+    mark = found[-5]
+    one, two, y = found.split(mark)
+    a, b = int(one), int(two)
+    if len(found) < 10:
+        if day := moved_short(int(y), b, a, move):
+            return f"{day.day:0{len(one)}d}{mark}{day.month:0{len(two)}d}{mark}{day.year:04d}"
+        if b > 12 and (day := moved_short(int(y), a, b, move, (13, 31))):
+            return f"{day.month:0{len(one)}d}{mark}{day.day:0{len(two)}d}{mark}{day.year:04d}"
+        return None
+    if day := moved_day(int(y), b, a, move):
         # A moved day over 12 keeps the reading of day first; others are read so anyway.
         return f"{day.day:02d}{mark}{day.month:02d}{mark}{day.year:04d}"
-    if day := moved_day(int(found[6:]), a, b, move):
+    if day := moved_day(int(y), a, b, move):
         return f"{day.month:02d}{mark}{day.day:02d}{mark}{day.year:04d}"
     return None
 
@@ -260,18 +322,18 @@ FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
     ("key", r"(?<=\bAKIA)[0-9A-Z]{16}\b|(?<=\bghp_)[0-9A-Za-z]{36}\b|(?<=\bsk-)[0-9A-Za-z]{20,64}\b", key),
     ("key", r"(?:(?<=key=)|(?<=token=)|(?<=secret=)|(?<=password=)|(?<=passwd=)|(?<=pwd=))[0-9A-Za-z]{8,64}\b", key),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b", iban),
-    ("date", r"(?<![\w./-])[0-9]{4}([-/.])[0-9]{2}\1[0-9]{2}(?![\w/-]|\.[0-9])", iso_date),
-    ("date", r"(?<![\w./-])[0-9]{2}([-/.])[0-9]{2}\1[0-9]{4}(?![\w/-]|\.[0-9])", local_date),
+    ("date", r"(?<![\w./-])[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?!(?!T[0-9])[\w/-]|\.[0-9])", iso_date),
+    ("date", r"(?<![\w./-])[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4}(?!(?!T[0-9])[\w/-]|\.[0-9])", local_date),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z_]|\.[0-9])", ipv4),
     ("ssn", r"(?<![\w-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\w-])", ssn),
     ("card", r"(?<![\w.])(?<![^\W\d]-)[0-9](?:[ -]?[0-9]){12,18}(?!\w|-[^\W\d])", card),
     ("phone", r"(?<![\w.-])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![\w-])", phone),
-    ("phone", r"(?<![\w.-])\+[0-9]{10,13}(?![\w-])", phone),
+    ("phone", r"(?<![\w.-])\+[0-9](?:[ .()/-]{0,3}[0-9]){7,14}(?!\w)", foreign),
 )
 PATTERN = re.compile("|".join(f"(?P<f{k}>{p.replace(chr(92) + '1', f'(?P=m{k})').replace('([-/.])', f'(?P<m{k}>[-/.])')})" for k, (_, p, _) in enumerate(FORMATS) if k))
 EACH = [re.compile(p) for _, p, _ in FORMATS]
 #: Formats whose match may run on into what follows: the ends to try, in this order.
-ENDS = {card: card_ends, iban: iban_ends}
+ENDS = {card: card_ends, iban: iban_ends, foreign: foreign_ends}
 FIRST_GROUP = re.compile(r"\w+|\W")
 EMAIL = re.compile(FORMATS[0][1])
 HINT = re.compile(r"[0-9]")
