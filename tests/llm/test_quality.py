@@ -38,6 +38,23 @@ def test_counts_equal_brute_force(texts):
     assert len(cleaned) == len(texts)
 
 
+PHRASES = (
+    "all rights reserved|terms of use|terms of service|privacy policy|cookie policy|cookie settings|cookie consent"
+    "|use cookies|uses cookies|enable javascript|javascript is disabled|javascript is required|sign in to|sign up for"
+    "|subscribe to our|subscribe to the|newsletter|click here|read more|skip to content|skip to main content"
+    "|lorem ipsum|follow us on|share this on|share on|page not found|powered by"
+).split("|")
+
+
+@pytest.mark.parametrize("phrase", PHRASES)
+def test_phrases_count_in_short_lines_only(phrase):
+    clean = " ".join(f"word{i}" for i in range(500))
+    long, short = f"{clean} {phrase} the end.", f"Please {phrase} now."
+    columns, cleaned = quality.judge(pa.array([long, f"{clean}.\n{short}"]))
+    assert cleaned.to_pylist() == [long, f"{clean}."]
+    assert columns["kept"].tolist() == [True, True]
+
+
 def test_query(spark, sf_dir):
     found = {r.doc_id: r for r in QUERIES["op7_quality"](spark, sf_dir).collect()}
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").collect()

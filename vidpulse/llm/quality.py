@@ -1,7 +1,7 @@
 """Line-first quality rules: bad lines go, then documents that lost too much.
 
 Each line is judged by itself: marks and punctuation, navigation bars, boilerplate
-phrases. Lines that fail are removed; a document is rejected when removed lines held
+phrases with few other words. Lines that fail are removed; a document is rejected when removed lines held
 more than ``max_lost`` of the characters in its words, or when it fails the base rules
 (fewer than 20 words, or over 30 % of them in repeated windows of eight words).
 
@@ -31,6 +31,8 @@ MAX_SYMBOLS = 0.1
 MAX_BARS = 0.2
 #: or exclamation marks per word.
 MAX_SHOUTS = 0.5
+#: Boilerplate phrases count in lines with at most so many words for each phrase found.
+PHRASE_WORDS = 20
 #: Lines of fewer words need an end mark.
 FRAGMENT_WORDS = 4
 
@@ -87,7 +89,8 @@ def line_features(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     shouts = sums(byte_class(b"!")[data], bounds)
     marked = pc.match_substring_regex(pc.ascii_trim_whitespace(lines), f"[{_escaped(END_MARKS)}]$")
     ended = marked.to_numpy(zero_copy_only=False)
-    boiler = pc.match_substring_regex(lines, BOILERPLATE).to_numpy(zero_copy_only=False)
+    phrases = pc.count_substring_regex(lines, BOILERPLATE).to_numpy()
+    boiler = (phrases > 0) & (n_words <= PHRASE_WORDS * phrases)
     fails = (
         (symbols > MAX_SYMBOLS * chars)
         | ((bars >= 2) & (bars > MAX_BARS * n_words))
