@@ -1,3 +1,5 @@
+import textwrap
+
 import duckdb
 import pytest
 
@@ -47,6 +49,21 @@ def test_licence_file_split_over_lines(spark):
     assert scan(spark, [("x/COPYING", broken), ("x/y", "z")])["x/y"].license == "BSD-3-Clause"
 
 
+def test_wrapped_headers(spark):
+    code = "\n\nsome code of the module\n" + "x = compute(y)\n" * 200
+    rows, expected = [], {}
+    for k, (name, text) in enumerate(licences.TEMPLATES):
+        for mark in ("# ", " * ", "// "):
+            path = f"{k}/{mark.strip()}x".replace("//", "s")
+            header = textwrap.fill(text, 72, initial_indent=mark, subsequent_indent=mark)
+            rows.append((path, "#!/bin/sh\n" + header + code))
+            expected[path] = (name, "own", path)
+    rows.append(("none/x", "free software of the public, and the terms\nof use and a copy" + code))
+    found = scan(spark, rows)
+    assert found.pop("none/x").license is None
+    assert {p: (r.license, r.origin, r.from_path) for p, r in found.items()} == expected
+
+
 def test_ties_repeats_and_nulls(spark):
     rows = [("d/b.txt", MIT), ("d/a.txt", GPL), ("d/a.txt", GPL), ("d/z", "nothing"), (None, GPL), (None, None), ("e/z", "nothing")]
     found = licences.scan(spark.createDataFrame(rows, "path string, text string")).collect()

@@ -1,12 +1,14 @@
 """Licence scan: sparse TF-IDF cosine of lines and licence files to templates, then inheritance.
 
-Every line of every file is compared with the templates, and licence files (by name) also
-as a whole. The space has the templates' terms as axes; a term weighs its count times
+Every line of every file and every run of up to ``MOST_LINES`` neighbouring lines, in which a
+wrapped header lies, is compared with the templates, and licence files (by name) also as a
+whole. A run counts where it scores higher than all that it contains. The space has the templates' terms as axes; a term weighs its count times
 ``ln((1 + files) / (1 + files with it)) + 1``, counted over all files. Only lines with an
 anchor term are compared: the terms of a template outside its anchors hold less than the
-threshold of its length, so a line without anchors can't reach it.
+threshold of its length, so a line without anchors can't reach it. In the same way files and
+runs are left out whose terms hold less than that of every template.
 
-A file with a line above the threshold has that licence itself. A file that mostly is a
+A file with a line or run above the threshold has that licence itself. A file that mostly is a
 licence, or is named like one, is the licence file of its directory, and files without a
 licence of their own take the one of the nearest directory above them.
 
@@ -29,6 +31,8 @@ from vidpulse.session import stage
 THRESHOLD = 0.75
 #: Share of its words in licence lines that makes a file a licence file.
 FILE_SHARE = 0.3
+#: Lines of a run at most: the longest template takes four at 72 columns, seven at 40.
+MOST_LINES = 8
 FILE_NAME = r"(?i)(^|/)(un)?(licen[cs]e|copying|notice)([.-][^/]*)?$"
 PLACES = 9
 
@@ -94,25 +98,57 @@ def anchors(vectors: list[dict[str, float]], threshold: float) -> list[str]:
     return sorted(found)
 
 
+def within_reach(text: Column, vectors: list[dict[str, float]], threshold: float) -> Column:
+    """Whether the text's terms hold enough of some template's length for the threshold."""
+    part = lambda term, w: F.struct(F.lit(term).alias("term"), F.lit(w * w).alias("square"))
+    templates = F.array(*(F.array(*(part(t, w) for t, w in sorted(v.items()))) for v in vectors))
+    terms = F.array(*map(F.lit, sorted({t for v in vectors for t in v})))
+    cut = (threshold * 0.999) ** 2
+    held = lambda own, t: F.aggregate(t, F.lit(0.0), lambda a, p: a + F.when(F.array_contains(own, p["term"]), p["square"]).otherwise(0.0))
+    # As an element of an array, the text's terms are found once, not for every template.
+    return F.exists(F.array(F.array_intersect(words(text), terms)), lambda own: F.exists(templates, lambda t: held(own, t) >= cut))
+
+
+def runs(lines: Column, fits) -> Column:
+    """``start, size, line, parts`` of the lines and the runs of lines that fit."""
+
+    def at(own: Column, k: Column) -> Column:
+        longest = F.least(F.lit(MOST_LINES), F.size(own) - k + 1)
+        parts = F.transform(F.sequence(F.lit(1), longest), lambda n: F.slice(own, k, n))
+        made = F.transform(parts, lambda x: F.struct(k.alias("start"), F.size(x).alias("size"), F.array_join(x, " ").alias("line"), x.alias("parts")))
+        return F.filter(made, lambda x: fits(x["line"]))
+
+    every = F.transform(F.array(lines), lambda own: F.flatten(F.transform(F.sequence(F.lit(1), F.size(own)), lambda k: at(own, k))))
+    return F.flatten(every)
+
+
+def improving(hits: DataFrame) -> DataFrame:
+    """The hits that score higher than every hit inside them."""
+    inside = hits.filter(F.col("start") > 0).select("path", "body", "start", "size", "score")
+    inside = inside.withColumn("before", F.explode(F.sequence(F.lit(0), F.lit(MOST_LINES) - F.col("size"))))
+    inside = inside.withColumn("around", F.explode(F.sequence(F.col("before") + F.col("size"), F.lit(MOST_LINES))))
+    inside = inside.filter(F.col("around") > F.col("size"))
+    keys = ["path", "body", "start", "size"]
+    inside = inside.select("path", "body", (F.col("start") - F.col("before")).alias("start"), F.col("around").alias("size"), "score")
+    inside = inside.groupBy(*keys).agg(F.max("score").alias("inside"))
+    return hits.join(inside, keys, "left").filter(F.col("inside").isNull() | (F.col("score") > F.col("inside"))).drop("inside")
+
+
 def compare(lines: DataFrame, idf: dict[str, float], vectors, templates, threshold: float) -> DataFrame:
-    """``line, license, score`` of the distinct lines that reach the threshold."""
+    """``key, license, score`` of the lines that reach the threshold, given as ``key, used``: their terms."""
     spark = lines.sparkSession
     axes = [(t, idf[t], k, name, v[t]) for k, ((name, _), v) in enumerate(zip(templates, vectors)) for t in v]
     # One row per term of each template: fixed by the templates, so its size is bounded.
     axes = spark.createDataFrame(axes, "term string, idf double, template int, license string, part double")
-    own = lines.select("line", F.explode(F.array_intersect(words(F.col("line")), F.array(*map(F.lit, sorted(idf))))).alias("term"))
-    used = words(F.col("line"))
-    counts = lines.withColumn("own", used).select("line", F.explode("own").alias("term"))
-    counts = counts.join(own.select("line", "term"), ["line", "term"], "left_semi")
-    counts = counts.groupBy("line", "term").agg(F.count("*").alias("n"))
+    counts = lines.select("key", F.explode("used").alias("term")).groupBy("key", "term").agg(F.count("*").alias("n"))
     values = F.broadcast(axes.select("term", "idf").distinct())
     counts = counts.join(values, "term").withColumn("w", F.col("n") * F.col("idf"))
-    length = counts.groupBy("line").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
-    dot = counts.join(F.broadcast(axes.drop("idf")), "term").groupBy("line", "template", "license").agg(F.sum(F.col("w") * F.col("part")).alias("dot"))
+    length = counts.groupBy("key").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
+    dot = counts.join(F.broadcast(axes.drop("idf")), "term").groupBy("key", "template", "license").agg(F.sum(F.col("w") * F.col("part")).alias("dot"))
     score = F.round(F.col("dot") / F.col("length"), PLACES)
-    scored = dot.join(length, "line").select("line", "license", score.alias("score")).filter(F.col("score") >= threshold)
+    scored = dot.join(length, "key").select("key", "license", score.alias("score")).filter(F.col("score") >= threshold)
     best = F.min(F.struct((-F.col("score")).alias("below"), "license")).alias("best")
-    return scored.groupBy("line").agg(best).select("line", "best.license", (-F.col("best.below")).alias("score"))
+    return scored.groupBy("key").agg(best).select("key", "best.license", (-F.col("best.below")).alias("score"))
 
 
 def scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, path: str = "path", text: str = "text") -> DataFrame:
@@ -128,19 +164,28 @@ def scan(files: DataFrame, threshold: float = THRESHOLD, templates=TEMPLATES, pa
     idf, vectors = weights({r["term"]: r["count"] for r in counted}, total, templates)
     marks = F.array(*map(F.lit, anchors(vectors, threshold)))
 
-    likely = rows.filter(F.arrays_overlap(words(F.col("text")), marks))
+    likely = rows.filter(F.arrays_overlap(words(F.col("text")), marks)).filter(within_reach(F.col("text"), vectors, threshold))
+    fits = lambda x: F.arrays_overlap(words(x), marks) & within_reach(x, vectors, threshold)
     named = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False))
-    whole = F.when(named, F.array(F.translate("text", "\n", " ")))
-    lines = F.concat(F.split("text", "\n"), F.coalesce(whole, F.array().cast("array<string>")))
-    lines = F.array_distinct(F.filter(lines, lambda x: F.arrays_overlap(words(x), marks)))
+    joined = F.translate("text", "\n", " ")
+    whole = F.struct(F.lit(0).alias("start"), F.lit(0).alias("size"), joined.alias("line"), F.array(joined).alias("parts"))
+    found = F.concat(runs(F.split("text", "\n"), fits), F.filter(F.array(whole), lambda x: named))
     size = lambda x: F.size(F.array_remove(words(x), ""))
-    units = likely.select("path", named.alias("named"), size(F.col("text")).alias("all"), F.explode(lines).alias("line"))
-    units = stage(units.withColumn("size", size(F.col("line"))), "lines")
+    body = F.xxhash64("text").alias("body")
+    units = likely.select("path", body, named.alias("named"), size(F.col("text")).alias("all"), F.explode(found).alias("unit"))
+    # Terms travel under a digest of their line, not under its whole text.
+    used = F.filter(words(F.col("unit.line")), lambda x: F.array_contains(F.array(*map(F.lit, terms)), x)).alias("used")
+    units = units.select("path", "body", "named", "all", "unit.start", "unit.size", "unit.parts", F.sha2("unit.line", 256).alias("key"), used)
+    units = stage(units, "lines")
 
-    scored = stage(compare(units.select("line").distinct(), idf, vectors, templates, threshold), "scored")
+    scored = stage(compare(units.select("key", "used").distinct(), idf, vectors, templates, threshold), "scored")
+    hits = improving(stage(units.drop("used").join(scored, "key").drop("key"), "hits"))
     best = F.min(F.struct((-F.col("score")).alias("below"), "license")).alias("best")
-    share = F.sum(F.least("size", "all")) / F.max("all")
-    own = units.join(scored, "line").groupBy("path").agg(best, (F.max("named") | (share >= FILE_SHARE)).alias("is_file"))
+    # Equal lines of a text count once in its share.
+    own = hits.select("path", "body", "named", "all", "license", "score", F.explode("parts").alias("part"))
+    own = own.groupBy("path", "body", "part").agg(best, F.max("named").alias("named"), F.max("all").alias("all"))
+    share = F.sum(F.least(size(F.col("part")), "all")) / F.max("all")
+    own = own.groupBy("path").agg(F.min("best").alias("best"), (F.max("named") | (share >= FILE_SHARE)).alias("is_file"))
     own = stage(own.select("path", "best.license", (-F.col("best.below")).alias("score"), "is_file"), "own")
 
     folder = F.when(F.instr("path", "/") > 0, F.regexp_replace("path", "/[^/]*$", "")).otherwise(F.lit(""))
