@@ -28,6 +28,7 @@ ODD_TEXTS = [
     "a" * 3000,
     "word " * 20_000,
     "ab" * 200 + " !!!???...",
+    "\u023a x\u023e\u023e yȺy ẞ",
 ]
 
 

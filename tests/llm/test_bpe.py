@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from vidpulse.llm import bpe
 from vidpulse.llm.common import tokenizer_path
 from vidpulse.llm.queries import QUERIES
-from vidpulse.llm.wordbpe import encoder
+from vidpulse.llm.wordbpe import FAST_END, encoder
 
 
 @settings(max_examples=150, deadline=None)
@@ -21,6 +21,22 @@ def test_any_text_has_the_library_s_ids(text):
     assert ids[: counts[0]].tolist() == own.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_every_character_of_the_fast_path(path, library):
+    texts = [t for c in map(chr, range(FAST_END + 64)) for t in (c, c + c, f"ab{c}cd", f"Ab{c} {c}X", f"a1 {c}'s")]
+    ids, counts = encoder(path).encode(pa.array(texts))
+    ends = np.cumsum(counts)
+    for text, a, b in zip(texts, ends - counts, ends):
+        assert ids[a:b].tolist() == library.encode(text, add_special_tokens=False).ids, ascii(text)
+        assert encoder(path).words(text) == bpe_words(library, text), ascii(text)
+
+
+def bpe_words(library, text):
+    """The library's split, its byte characters read back."""
+    own = encoder(tokenizer_path())
+    found = library.pre_tokenizer.pre_tokenize_str(library.normalizer.normalize_str(text))
+    return [bytes(own.byte_of[c] for c in word).decode() for word, _ in found]
+
+
 def test_lexicon_holds_each_word_under_its_ids_and_shares_suffixes(path):
     words = sorted({a + b for a in ("walk", "talk", "", "x", "é") for b in ("ing", "ed", "s", "ings")})
     ids = [[i, i + 1] for i in range(len(words))]

@@ -4,8 +4,8 @@ The vocabulary file is one of the ``tokenizers`` library: NFC, white space and
 lower-casing, a split into words, then merges within each word that end in a suffix.
 Words never depend on their neighbours, so the distinct words of a slice of texts are
 encoded once, in numpy, all words one merge further per step. The library itself does
-what is rare: characters beyond U+024F, very long words, and a check of one text per
-task against its own result.
+what is rare: characters beyond U+024F or whose lower-case form is none of the same
+width below that, very long words, and a check of one text per task against its own result.
 """
 
 from __future__ import annotations
@@ -95,7 +95,8 @@ class WordEncoder:
         self._probe_classes()
         names = "|".join(re.escape(x) for x in self.specials)
         self.special = re.compile(f"({names})") if names else None
-        self.exotic = re.compile(f"[^\\x00-{chr(FAST_END - 1)}]")
+        alone = "".join(map(re.escape, self.lonely))
+        self.exotic = re.compile(f"[^\\x00-{chr(FAST_END - 1)}]|[{alone}]")
 
     def _probe_classes(self) -> None:
         """Ask the library what each character below ``FAST_END`` is, and write its split for ``re``."""
@@ -114,8 +115,19 @@ class WordEncoder:
         self.kind = np.full(FAST_END, 3, np.uint8)
         for kind, chars in ((0, spaces), (1, letters), (2, numbers)):
             self.kind[list(map(ord, chars))] = kind
-        odd = "".join(f"\\x{{{ord(c):x}}}" for c in spaces if c not in " \t\n\v\f\r")
-        self.slow = f"[^\\x00-\\x{{{FAST_END - 1:x}}}]|['\\x{{130}}{odd}]|<\\|"
+        # Lower-case forms are looked up by place in ``kind`` and by width in bytes.
+        self.lonely = [c for c in map(chr, range(FAST_END)) if not self._fits(c, normal)]
+        odd = {*self.lonely, *(c for c in spaces if c not in " \t\n\v\f\r")}
+        odd = "".join(f"\\x{{{ord(c):x}}}" for c in sorted(odd))
+        self.slow = f"[^\\x00-\\x{{{FAST_END - 1:x}}}]|['{odd}]|<\\|"
+
+    @staticmethod
+    def _fits(c: str, normal) -> bool:
+        """Whether lower-casing keeps ``c`` one character of its width below ``FAST_END``, as the library has it."""
+        low = c.lower()
+        if len(low) != 1 or ord(low) >= FAST_END or len(low.encode()) != len(c.encode()):
+            return False
+        return c.isspace() or ord(c) < 32 or normal.normalize_str(f"a{c}a") == f"a{low}a"
 
     def words(self, text: str) -> list[str]:
         """The words of a text as the library would split them; special tokens stand alone."""
