@@ -1,19 +1,24 @@
 """Files of token ids under an adaptive context-mixing range coder.
 
 A file is a run of segments and an index of its documents. A segment ranks its ids by
-frequency and cuts them into blocks. Every block starts from the same empty model, has
-its own checksums and can be read alone; because blocks are independent, all blocks of
-a segment are coded side by side in numpy, one id of each per step.
-
-Model of a block. Order 2 and order 1 each predict the id that followed the same two ids
-(the same id) last time, with a confidence; order 0 is an adaptive distribution of the
-magnitude of the id's rank, even within a magnitude. The mixture of the three has a gate
-for each order's confidence that follows how often the order is right, and drives a
-carry-less range coder of 64 bits. All arithmetic is on integers.
+frequency, stores the tables that its blocks start from and cuts its ids into blocks. Every
+block is reset to those tables, has its own checksums and can be read alone; because blocks
+are independent, all blocks of a segment are coded side by side in numpy, one id of each
+per step.
+
+Model of a block: the mixture ``gate * [id = guess] + (1 - gate) * class(id | before) * share(id)``.
+Order 2 guesses the id that followed the same two ids last time in this block; its gate
+adapts to how often guesses of its confidence were right, before and just now. Order 1 is
+the distribution of the id's class after the id before, and order 0 the id's share of its
+class, both counted over the segment; classes are ranges of ranks of about equal mass. An
+id that is the guess has the sum of both parts. The mixture drives a carry-less range coder
+of 64 bits, and all arithmetic is on integers.
 
 Defined results: a null text counts as empty, so its document is the end id alone; null
-``doc_id`` come first and stay null; repeated rows are written one after the other; an
-empty table writes no file and gives no rows. Only ``doc_id`` and the text are read.
+``doc_id`` come first and stay null, and rows of one id are in the order of their texts, which
+also parts them among tasks; repeated rows are written one after the other; a very long text may
+span segments, not files; an empty table writes no file and gives no rows. Only ``doc_id``
+and the text are read.
 """
 
 from __future__ import annotations
@@ -33,102 +38,140 @@ from vidpulse.llm.wordbpe import encoder
 from vidpulse.session import stage
 
 END_ID = 1
-MAGIC, SEGMENT, INDEX = b"CMID0001", b"SEGM", b"INDX"
+MAGIC, SEGMENT, INDEX = b"CMID0002", b"SEGM", b"INDX"
 #: Ids of a segment and of a block; short segments have shorter blocks.
 SEGMENT_IDS = 6 << 20
-MAX_BLOCK, MIN_BLOCK, LANES = 1024, 256, 4096
+MAX_BLOCK, MIN_BLOCK, LANES = 1024, 512, 3072
+#: Ids from which a file is closed and the next one begun, and text bytes of a task.
+FILE_IDS = 48 << 20
+TASK_BYTES = 256 << 20
 #: Each task compares one text of this many with the tokenizers library.
 CHECK_EVERY = 4096
 
-MAGNITUDES = 8
+#: Classes of ids, ids that are contexts of their own, and ids of a segment for each of these.
+CLASSES, CONTEXTS, CONTEXT_IDS = 32, 1024, 2048
+#: Bits of a gate and of a class's probability; ids share a class in ``share_bits``.
+GATE_BITS, CLASS_BITS = 10, 11
 SLOTS = 512
+#: Adaptive rate, and what a gate tends to when its guess is wrong or right.
+RATE, WRONG, RIGHT = 4, 4, 1000
+STEPS = 64
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 WORD = np.uint64(16)
 
-#: Ranks of each magnitude, and rank + 1 of its first.
-COUNTS = 3 * 4 ** np.arange(MAGNITUDES, dtype=np.int64)
-FIRSTS = 4 ** np.arange(MAGNITUDES, dtype=np.int64)
-#: Adaptive rates, and what a gate (of 1 << 16) tends to when its order is wrong or right.
-RATE = 5
-WRONG, RIGHT = 512, 53_248
-#: What each boundary of the magnitudes' distribution (of 1 << 15) tends to after one of them.
-SHARE = 64
-_EDGE = np.arange(MAGNITUDES + 1)
-TENDS = np.where(
-    _EDGE > np.arange(MAGNITUDES)[:, None], (1 << 15) - (MAGNITUDES - _EDGE) * SHARE, _EDGE * SHARE
-).astype(np.int32)
-TENDS = np.concatenate([TENDS, np.zeros((1, MAGNITUDES + 1), np.int32)])
-NEVER = MAGNITUDES
-
 
 def block_size(n: int) -> int:
     return min(MAX_BLOCK, max(MIN_BLOCK, n // LANES))
 
 
-class Model:
-    """The state of many blocks, one per lane; ``predict`` and ``learn`` alternate.
+def scaled(counts: np.ndarray, bits: int) -> np.ndarray:
+    """Each row of ``counts`` as whole numbers of at least 1 that add up to ``1 << bits``."""
+    total = np.maximum(counts.sum(1, keepdims=True), 1)
+    room = (1 << bits) - counts.shape[1]
+    parts = counts * room // total + 1
+    parts[np.arange(len(parts)), counts.argmax(1)] += (1 << bits) - parts.sum(1)
+    return parts
+
 
-    The mixture is ``gate2 * [id = pred2] + gate1 * [id = pred1] + rest * order0(id)``.
-    Gates belong to the orders' confidences (order 1's also to the magnitude of the id
-    before) and move with every id, as the distribution of order 0 does.
+class Tables:
+    """What a segment's blocks start from: classes, shares of ids, classes after an id.
+
+    ``kinds`` ids in ``classes`` ranges that begin at ``firsts``; ``shares`` of each id add up
+    to ``1 << bits`` in a class; ``after`` has a row for each context, of ``1 << CLASS_BITS``.
     """
 
-    def __init__(self, lanes: int, magnitude: np.ndarray):
-        width = MAGNITUDES + 1
-        self.magnitude, lane = magnitude, np.arange(lanes)
-        self.order0 = np.tile(((_EDGE << 15) // MAGNITUDES).astype(np.int32), (lanes, 1))
-        self.two_before, self.one_before = (np.zeros(lanes * SLOTS, np.int32) for _ in range(2))
-        self.gate2, self.gate1 = np.full(lanes * 16, 4096, np.int32), np.full(lanes * 32, 4096, np.int32)
-        self.one, self.two = np.zeros(lanes, np.int64), np.zeros(lanes, np.int64)
-        self.slots, self.flat = lane * SLOTS, lane * width
-        self.row16, self.row32 = lane * 16, lane * 32
-        self.part = np.empty((lanes, width), np.int32)
-
-    def predict(self) -> None:
-        """Set the predictions and the shares of 1 << 16: ``[0, share2)``, ``[share2, rest)``, the rest."""
-        hashed = self.one * 40503
-        self.slot1 = self.slots + ((hashed >> 4) & (SLOTS - 1))
-        hashed += self.two * 30011
-        self.slot2 = self.slots + ((hashed >> 5) & (SLOTS - 1))
-        self.entry2, self.entry1 = self.two_before.take(self.slot2), self.one_before.take(self.slot1)
-        self.pred2, self.pred1 = self.entry2 >> 2, self.entry1 >> 2
-        self.trust2, self.trust1 = self.entry2 & 3, self.entry1 & 3
-        self.at2 = self.row16 + (self.trust2 * 4 + self.trust1)
-        self.at1 = self.row32 + (self.magnitude.take(self.one) * 4 + self.trust1)
-        self.share2, self.open1 = self.gate2.take(self.at2).astype(np.int64), self.gate1.take(self.at1)
-        self.rest = self.share2 + (((1 << 16) - self.share2) * self.open1 >> 16)
-
-    def edges(self, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where the share of a magnitude begins and ends."""
-        at, own, left = self.flat + kind, self.order0.reshape(-1), (1 << 16) - self.rest
-        return self.rest + (own.take(at) * left >> 15), self.rest + (own.take(at + 1) * left >> 15)
-
-    def learn(self, hit2: np.ndarray, hit1: np.ndarray, kind: np.ndarray, ids: np.ndarray) -> None:
-        """``kind`` is the magnitude where neither order was right."""
-        gate = self.share2.astype(np.int32)
-        gate += (np.where(hit2, np.int32(RIGHT), np.int32(WRONG)) - gate) >> RATE
-        self.gate2[self.at2] = gate
-        tends = np.where(hit1, np.int32(RIGHT), np.where(hit2, self.open1, np.int32(WRONG)))
-        self.gate1[self.at1] = self.open1 + ((tends - self.open1) >> RATE)
-        np.take(TENDS, kind, 0, out=self.part, mode="clip")
-        self.part -= self.order0
-        self.part >>= RATE
-        self.part *= (kind != NEVER)[:, None]
-        self.order0 += self.part
-        entry = (ids << 2).astype(np.int32)
-        self.two_before[self.slot2] = revised(self.entry2, self.trust2, hit2, entry)
-        self.one_before[self.slot1] = revised(self.entry1, self.trust1, self.pred1 == ids, entry)
-        self.two, self.one = self.one, ids
-
-
-def revised(entry, trust, right, fresh):
-    """A prediction's entry after it was right or wrong: trust grows to 3, or falls, then the id changes."""
-    return np.where(right, entry + (trust < 3), np.where(trust > 0, entry - 1, fresh))
-
-
-def magnitudes(n: int) -> np.ndarray:
-    """The magnitude of each rank below ``n``: rank + 1 in powers of four."""
-    return ((np.frexp(np.arange(1, n + 1, dtype=np.float64))[1] - 1) >> 1).astype(np.int64)
+    def __init__(self, firsts: np.ndarray, shares: np.ndarray, after: np.ndarray, bits: int):
+        kinds = len(shares)
+        self.bits, self.total = bits, CLASS_BITS + bits
+        self.class_of = np.repeat(np.arange(len(firsts)), np.diff(np.append(firsts, kinds)))
+        self.shares, self.after, self.firsts = shares, after, firsts
+        before = np.cumsum(shares) - shares
+        self.before = before - (self.class_of << bits)
+        self.contexts, self.classes = after.shape
+        self.width = np.ascontiguousarray(after.reshape(-1))
+        self.edge = (np.cumsum(after, 1) - after).reshape(-1)
+
+    @classmethod
+    def of(cls, ranks: np.ndarray, counts: np.ndarray) -> Tables:
+        """From a segment's ranks and how often each occurs, most frequent first."""
+        n, kinds = len(ranks), len(counts)
+        middle = np.cumsum(counts) - counts / 2
+        bands = np.minimum(middle * CLASSES // n, CLASSES - 1).astype(np.int64)
+        firsts = np.flatnonzero(np.diff(bands, prepend=-1))
+        sizes = np.diff(np.append(firsts, kinds))
+        bits = max(12, int(sizes.max() - 1).bit_length() + 1)
+        class_of = np.repeat(np.arange(len(firsts)), sizes)
+        shares = np.concatenate([scaled(counts[None, a : a + k], bits)[0] for a, k in zip(firsts, sizes)])
+        own = min(CONTEXTS, kinds, n // CONTEXT_IDS)
+        pairs = np.minimum(ranks[:-1], own).astype(np.int64) * len(firsts) + class_of[ranks[1:]]
+        seen = np.bincount(pairs, minlength=(own + 1) * len(firsts)).reshape(own + 1, len(firsts))
+        return cls(firsts, shares, scaled(seen, CLASS_BITS), bits)
+
+    def pack(self) -> bytes:
+        head = struct.pack("<IIII", len(self.shares), self.classes, self.contexts, self.bits)
+        return head + b"".join(x.astype("<u4").tobytes() for x in (self.firsts, self.shares, self.after))
+
+    @classmethod
+    def unpack(cls, data: bytes) -> Tables:
+        kinds, classes, contexts, bits = struct.unpack_from("<IIII", data)
+        values = np.frombuffer(data, "<u4", offset=16).astype(np.int64)
+        firsts, shares, after = np.split(values, [classes, classes + kinds])
+        return cls(firsts, shares, after.reshape(contexts, classes), bits)
+
+    def context(self, before: np.ndarray) -> np.ndarray:
+        """The first place of the row of ``after`` that follows each id."""
+        return np.minimum(before, self.contexts - 1) * self.classes
+
+    def interval(self, ids: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(start, size)`` of ids of ``1 << total``, by orders 1 and 0."""
+        at = context + self.class_of.take(ids)
+        width = self.width.take(at)
+        start = (self.edge.take(at) << self.bits) + self.before.take(ids) * width
+        return start, self.shares.take(ids) * width
+
+    def prepare(self) -> None:
+        """Tables from a place to the class and the id there, for decoding."""
+        self.class_at = np.repeat(np.tile(np.arange(self.classes, dtype=np.uint8), self.contexts), self.width)
+        self.id_at = np.repeat(np.arange(len(self.shares), dtype=np.uint16), self.shares)
+
+    def find(self, place: np.ndarray, context: np.ndarray, row: np.ndarray) -> np.ndarray:
+        """The id whose interval holds ``place``; ``row`` is the context's number times ``1 << CLASS_BITS``."""
+        kind = self.class_at.take(row + (place >> self.bits)).astype(np.int64)
+        at = context + kind
+        share = (place - (self.edge.take(at) << self.bits)) // self.width.take(at)
+        return self.id_at.take((kind << self.bits) + share).astype(np.int64)
+
+
+def guess_slots(one: np.ndarray, two: np.ndarray) -> np.ndarray:
+    return (one * 40503 + two * 30011 >> 5) & (SLOTS - 1)
+
+
+class Guess:
+    """Order 2 of many blocks, one per lane: the guessed ids and the gates of their confidence."""
+
+    def __init__(self, lanes: int):
+        self.entries = np.zeros(lanes * SLOTS, np.int32)
+        self.gates = np.full(lanes * 8, 1 << (GATE_BITS - 5), np.int64)
+        self.lane = np.arange(lanes, dtype=np.int64)
+        self.first, self.row = self.lane * SLOTS, self.lane * 8
+        self.hit = np.zeros(lanes, np.int64)
+
+    def predict(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``(guessed ids, gates)``."""
+        self.slot = self.first + slots
+        self.entry = self.entries.take(self.slot)
+        self.trust = self.entry & 3
+        self.at = self.row + self.hit
+        self.at += self.trust
+        self.gate = self.gates.take(self.at)
+        return (self.entry >> 2).astype(np.int64), self.gate
+
+    def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
+        """Gates move; trust grows to 3 while right, falls when wrong, and then the guess changes."""
+        self.gates[self.at] = self.gate + ((hit * (RIGHT - WRONG) + WRONG - self.gate) >> RATE)
+        fresh = np.where(self.trust > 0, self.entry - 1, ids << 2)
+        self.entries[self.slot] = np.where(hit, self.entry + (self.trust < 3), fresh)
+        self.hit = hit * 4
 
 
 class RangeEncoder:
@@ -138,11 +181,11 @@ class RangeEncoder:
         self.words = np.zeros((lanes, steps + 64), np.uint16)
         self.used = np.zeros(lanes, np.int64)
 
-    def put(self, start: np.ndarray, size: np.ndarray) -> None:
-        """Narrow each lane to ``start`` and ``size`` of ``1 << 31``."""
-        self.range >>= np.uint64(31)
-        self.low += self.range * start.astype(np.uint64)
-        self.range *= size.astype(np.uint64)
+    def put(self, start: np.ndarray, size: np.ndarray, bits: int) -> None:
+        """Narrow each lane to ``start`` and ``size`` of ``1 << bits``."""
+        self.range >>= np.uint64(bits)
+        self.low += self.range * start.view(np.uint64)
+        self.range *= size.view(np.uint64)
         live = None
         while True:
             low, span = (self.low, self.range) if live is None else (self.low[live], self.range[live])
@@ -184,14 +227,14 @@ class RangeDecoder:
             self.code = (self.code << WORD) | self.words[:, k]
         self.used = np.full(len(payloads), 4, np.int64)
 
-    def point(self) -> np.ndarray:
-        """Where in ``1 << 31`` each lane's code lies."""
-        self.range >>= np.uint64(31)
-        return np.minimum((self.code - self.low) // self.range, np.uint64((1 << 31) - 1)).astype(np.int64)
+    def point(self, bits: int) -> np.ndarray:
+        """Where in ``1 << bits`` each lane's code lies."""
+        self.range >>= np.uint64(bits)
+        return np.minimum((self.code - self.low) // self.range, np.uint64((1 << bits) - 1)).view(np.int64)
 
     def take(self, start: np.ndarray, size: np.ndarray) -> None:
-        self.low += self.range * start.astype(np.uint64)
-        self.range *= size.astype(np.uint64)
+        self.low += self.range * start.view(np.uint64)
+        self.range *= size.view(np.uint64)
         live = None
         while True:
             low, span = (self.low, self.range) if live is None else (self.low[live], self.range[live])
@@ -211,82 +254,80 @@ class RangeDecoder:
             self.range[live] = span[on] << WORD
 
 
-def even_share(size: np.ndarray, kind: np.ndarray) -> np.ndarray:
-    """``(size << 15) // COUNTS[kind]``; dividing by the one number 3 is much faster."""
-    return ((size << 15) >> (2 * kind)) // 3
-
-
-def code_blocks(ranks: np.ndarray, kinds: int) -> list[bytes]:
-    """The payload of each row of ``ranks``."""
+def code_blocks(ranks: np.ndarray, tables: Tables) -> list[bytes]:
+    """The payload of each row of ``ranks``; what depends on no state is worked out for many steps at once."""
     lanes, steps = ranks.shape
-    magnitude = magnitudes(kinds)
-    model, coder = Model(lanes, magnitude), RangeEncoder(lanes, steps)
-    for own in np.ascontiguousarray(ranks.T):
-        model.predict()
-        kind = magnitude.take(own)
-        hit2 = model.pred2 == own
-        hit1 = (model.pred1 == own) & ~hit2
-        start, end = model.edges(kind)
-        unit = even_share(end - start, kind)
-        start = (start << 15) + (own + 1 - FIRSTS.take(kind)) * unit
-        hit = hit2 | hit1
-        if hit.any():
-            begin = np.where(hit2, 0, model.share2)
-            unit = np.where(hit, (np.where(hit2, model.share2, model.rest) - begin) << 15, unit)
-            start = np.where(hit, begin << 15, start)
-            kind = np.where(hit, NEVER, kind)
-        coder.put(start, unit)
-        model.learn(hit2, hit1, kind, own)
+    guess, coder, bits = Guess(lanes), RangeEncoder(lanes, steps), GATE_BITS + tables.total
+    one = two = np.zeros(lanes, np.int64)
+    for first in range(0, steps, STEPS):
+        some = np.ascontiguousarray(ranks[:, first : first + STEPS].T).astype(np.int64)
+        before = np.concatenate([two[None], one[None], some])
+        starts, sizes = tables.interval(some, tables.context(before[1:-1]))
+        slots = guess_slots(before[1:-1], before[:-2])
+        for own, start, size, slot in zip(some, starts, sizes, slots):
+            guessed, gate = guess.predict(slot)
+            hit, rest = (guessed == own).astype(np.int64), (1 << GATE_BITS) - gate
+            gate = gate << tables.total
+            start *= rest
+            start += (guessed < own) * gate
+            size *= rest
+            size += hit * gate
+            coder.put(start, size, bits)
+            guess.learn(own, hit)
+        two, one = before[-2], before[-1]
     return coder.payloads()
 
 
-def decode_blocks(payloads: list[bytes], steps: int, kinds: int) -> np.ndarray:
+def decode_blocks(payloads: list[bytes], steps: int, tables: Tables) -> np.ndarray:
     lanes = len(payloads)
-    model, coder = Model(lanes, magnitudes(kinds)), RangeDecoder(payloads)
+    tables.prepare()
+    guess, coder, bits = Guess(lanes), RangeDecoder(payloads), GATE_BITS + tables.total
     out = np.empty((steps, lanes), np.int32)
+    one = two = np.zeros(lanes, np.int64)
     for k in range(steps):
-        model.predict()
-        point = coder.point()
-        place = point >> 15
-        hit2 = place < model.share2
-        hit1 = (place < model.rest) & ~hit2
-        # The last magnitude whose share begins at or before ``place``.
-        reach = (((place - model.rest + 1) << 15) - 1) // ((1 << 16) - model.rest)
-        kind = (model.order0[:, 1:-1] <= reach[:, None]).sum(1)
-        start, end = model.edges(kind)
-        unit = even_share(end - start, kind)
-        rest = np.minimum((point - (start << 15)) // unit, COUNTS.take(kind) - 1)
-        own = FIRSTS.take(kind) + rest - 1
-        start = (start << 15) + rest * unit
-        hit = hit2 | hit1
-        if hit.any():
-            begin = np.where(hit2, 0, model.share2)
-            unit = np.where(hit, (np.where(hit2, model.share2, model.rest) - begin) << 15, unit)
-            start = np.where(hit, begin << 15, start)
-            own = np.where(hit2, model.pred2, np.where(hit1, model.pred1, own))
-            kind = np.where(hit, NEVER, kind)
-        if own.max() >= kinds:
+        context = tables.context(one)
+        guessed, gate = guess.predict(guess_slots(one, two))
+        if guessed.max() >= len(tables.shares):
             raise ValueError("a block decodes to an id that its segment does not have")
-        coder.take(start, unit)
-        model.learn(hit2, hit1, kind, own)
+        point, rest = coder.point(bits), (1 << GATE_BITS) - gate
+        gate = gate << tables.total
+        start, size = tables.interval(guessed, context)
+        start *= rest
+        size *= rest
+        size += gate
+        after = point >= start + size
+        hit = ((point >= start) & ~after).astype(np.int64)
+        # Both are below 1 << 53, so the quotient of doubles has the right whole part.
+        place = ((point - after * gate) / rest).astype(np.int64)
+        row = np.minimum(one, tables.contexts - 1) << CLASS_BITS
+        np.minimum(place, (1 << tables.total) - 1, out=place)
+        own = np.where(hit, guessed, tables.find(place, context, row))
+        other, width = tables.interval(own, context)
+        start = np.where(hit, start, other * rest + after * gate)
+        size = np.where(hit, size, width * rest)
+        coder.take(start, size)
+        guess.learn(own, hit)
+        two, one = one, own
         out[k] = own
     return out.T
 
 
 def write_segment(out, ids: np.ndarray) -> None:
-    """Rank table, block table and blocks of one run of ids (below 65,536 distinct ones)."""
-    kinds, inverse, counts = np.unique(ids, return_inverse=True, return_counts=True)
-    order = np.argsort(-counts, kind="stable")
-    place = np.empty(len(kinds), np.int64)
-    place[order] = np.arange(len(kinds))
-    ranks = place[inverse]
+    """Rank table, model tables, block table and blocks of one run of ids (below 65,537 distinct ones)."""
+    counts = np.bincount(ids)
+    kinds = np.flatnonzero(counts)
+    kinds = kinds[np.argsort(-counts[kinds], kind="stable")]
+    place = np.zeros(len(counts), np.int32)
+    place[kinds] = np.arange(len(kinds))
+    ranks = place[ids]
     size = min(block_size(len(ids)), len(ids))
     blocks = -(-len(ids) // size)
-    padded = np.zeros(blocks * size, np.int64)
+    padded = np.zeros(blocks * size, np.int32)
     padded[: len(ids)] = ranks
-    payloads = code_blocks(padded.reshape(blocks, size), len(kinds))
+    tables = Tables.of(ranks, counts[kinds])
+    payloads = code_blocks(padded.reshape(blocks, size), tables)
     raw = ids.astype("<u4")
-    table = zlib.compress(kinds[order].astype("<u4").tobytes(), 1)
+    table = zlib.compress(kinds.astype("<u4").tobytes() + tables.pack(), 6)
     head = struct.pack("<QIIII", len(ids), size, blocks, len(kinds), len(table))
     rows = b"".join(
         struct.pack("<III", len(p), zlib.crc32(p), zlib.crc32(raw[k * size : (k + 1) * size])) for k, p in enumerate(payloads)
@@ -317,8 +358,9 @@ def read_segment(source) -> np.ndarray:
         wanted.append(of_ids)
         if zlib.crc32(payloads[-1]) != of_payload:
             raise ValueError("a block is damaged")
-    ranks = decode_blocks(payloads, size, kinds).reshape(-1)[:n]
-    ids = np.frombuffer(zlib.decompress(table), "<u4")[ranks]
+    table = zlib.decompress(table)
+    ranks = decode_blocks(payloads, size, Tables.unpack(table[4 * kinds :])).reshape(-1)[:n]
+    ids = np.frombuffer(table, "<u4", kinds)[ranks]
     for k, check in enumerate(wanted):
         if zlib.crc32(ids[k * size : (k + 1) * size]) != check:
             raise ValueError("a block decodes to other ids")
@@ -342,51 +384,77 @@ def read_index(source) -> tuple[list, np.ndarray]:
     return [v if k else None for k, v in zip(known.tolist(), values.tolist())], np.frombuffer(data, "<i8", n, 9 * n)
 
 
-def write_files(docs: DataFrame, path: str, end_id: int = END_ID, text: str = "text") -> DataFrame:
-    """Write all documents in ascending ``doc_id``, one file per range of ids.
-
-    Returns the files: ``path, part, documents, ids, bytes``. A task that is run again
-    writes another file, and only files of this table count.
+class FileWriter:
+    """One file of ids: documents are added, segments go out as they fill."""
+
+    def __init__(self, name: str):
+        fs, local = file_system(name)
+        self.name, self.out = name, fs.open_output_stream(local)
+        self.out.write(MAGIC)
+        self.doc_ids, self.counts, self.held, self.waiting, self.total = [], [], [], 0, 0
+
+    def add(self, doc_ids: list, counts: np.ndarray, ids: np.ndarray) -> None:
+        self.doc_ids += doc_ids
+        self.counts += counts.tolist()
+        self.held.append(ids)
+        self.waiting += len(ids)
+        self.total += len(ids)
+        while self.waiting >= SEGMENT_IDS:
+            whole = np.concatenate(self.held)
+            write_segment(self.out, whole[:SEGMENT_IDS])
+            self.held, self.waiting = [whole[SEGMENT_IDS:]], self.waiting - SEGMENT_IDS
+
+    def close(self) -> dict:
+        if self.waiting:
+            write_segment(self.out, np.concatenate(self.held))
+        write_index(self.out, self.doc_ids, self.counts)
+        length = self.out.tell()
+        self.out.close()
+        return {"path": self.name, "documents": len(self.doc_ids), "ids": self.total, "bytes": length}
+
+
+def write_files(
+    docs: DataFrame, path: str, end_id: int = END_ID, text: str = "text", file_ids: int = FILE_IDS
+) -> DataFrame:
+    """Write all documents in ascending ``doc_id``, files of at most ``file_ids`` ids and one slice more.
+
+    Returns the files: ``path, part, number, documents, ids, bytes``, in the order of
+    part and number. The number of tasks follows from the texts' bytes. A task that is run
+    again writes other files, and only files of this table count.
     """
-    folder = new_folder(docs.sparkSession, "ids")
+    spark = docs.sparkSession
+    folder = new_folder(spark, "ids")
 
     def run(batches):
-        own, fs = encoder(path), None
-        doc_ids, counts, held, size, total, seen, out = [], [], [], 0, 0, 0, None
-        name = f"{folder}/part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.ids"
+        own, part, number, seen, out = encoder(path), TaskContext.get().partitionId(), 0, 0, None
+
+        def closed():
+            row = {**out.close(), "part": part, "number": number}
+            return pa.RecordBatch.from_pylist([row]).select(["path", "part", "number", "documents", "ids", "bytes"])
+
         for batch in batches:
             for rows in slices(batch, text):
-                if out is None:
-                    fs, local = file_system(name)
-                    out = fs.open_output_stream(local)
-                    out.write(MAGIC)
+                out = out or FileWriter(f"{folder}/part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids")
                 texts = texts_of(rows, text)
                 ids, n = own.encode(texts)
                 if seen // CHECK_EVERY != (seen + len(texts)) // CHECK_EVERY or not seen:
                     own.check(texts[0].as_py(), ids[: n[0]])
                 seen += len(texts)
-                held.append(np.insert(ids, np.cumsum(n), end_id).astype(np.uint16 if own.size <= 1 << 16 else np.uint32))
-                size += len(held[-1])
-                total += len(held[-1])
-                doc_ids += rows.column("doc_id").to_pylist()
-                counts += (n + 1).tolist()
-                while size >= SEGMENT_IDS:
-                    whole = np.concatenate(held)
-                    write_segment(out, whole[:SEGMENT_IDS])
-                    held, size = [whole[SEGMENT_IDS:]], size - SEGMENT_IDS
-        if out is None:
-            return
-        if size:
-            write_segment(out, np.concatenate(held))
-        write_index(out, doc_ids, counts)
-        length = out.tell()
-        out.close()
-        part = TaskContext.get().partitionId()
-        yield pa.RecordBatch.from_pylist([{"path": name, "part": part, "documents": len(doc_ids), "ids": total, "bytes": length}])
-
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text).repartitionByRange("doc_id")
-    ordered = ordered.sortWithinPartitions("doc_id", text)
-    return stage(ordered.mapInArrow(run, "path string, part long, documents long, ids long, bytes long"), "files")
+                kind = np.uint16 if own.size <= 1 << 16 else np.uint32
+                out.add(rows.column("doc_id").to_pylist(), n + 1, np.insert(ids, np.cumsum(n), end_id).astype(kind))
+                if out.total >= file_ids:
+                    yield closed()
+                    out, number = None, number + 1
+        if out:
+            yield closed()
+
+    size = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // TASK_BYTES))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text)
+    # The beginning of the text parts rows of one id, such as null, in the order of their texts.
+    ordered = keyed.repartitionByRange(tasks, "doc_id", F.substring(text, 1, 64)).sortWithinPartitions("doc_id", text)
+    schema = "path string, part long, number long, documents long, ids long, bytes long"
+    return stage(ordered.mapInArrow(run, schema), "files")
 
 
 def segments_of(path: str):
@@ -450,7 +518,7 @@ def read_files(spark: SparkSession, files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     # One row per file, which bounds the window; each file is then one task's.
-    before = F.sum("ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))
-    based = files.select("path", "part", F.coalesce(before, F.lit(0)).alias("base"))
-    dealt = based.repartitionByRange(max(1, files.count()), "part")
+    before = F.sum("ids").over(Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1))
+    based = files.select("path", "part", "number", F.coalesce(before, F.lit(0)).alias("base"))
+    dealt = based.repartitionByRange(max(1, files.count()), "part", "number")
     return dealt.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
