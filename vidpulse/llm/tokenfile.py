@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vidpulse.llm.common import file_system, new_folder, slices, texts_of
-from vidpulse.llm.wordbpe import encoder
+from vidpulse.llm.wordbpe import MetWords, encoder
 from vidpulse.session import stage
 
 END_ID = 1
@@ -55,7 +55,7 @@ GATE_BITS, CLASS_BITS = 10, 11
 SLOTS = 512
 #: Adaptive rate, and what a gate tends to when its guess is wrong or right.
 RATE, WRONG, RIGHT = 4, 4, 1000
-STEPS = 64
+STEPS, WORDS_A_STEP = 64, 8
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 WORD = np.uint64(16)
 
@@ -175,11 +175,18 @@ class Guess:
 
 
 class RangeEncoder:
-    def __init__(self, lanes: int, steps: int):
+    def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, 2**64 - 1, np.uint64)
-        self.words = np.zeros((lanes, steps + 64), np.uint16)
-        self.used = np.zeros(lanes, np.int64)
+        self.done: list[list[bytes]] = [[] for _ in range(lanes)]
+        self.words = np.empty(lanes * WORDS_A_STEP * STEPS, np.uint16)
+        self.first, self.used = np.arange(lanes) * WORDS_A_STEP * STEPS, np.zeros(lanes, np.int64)
+
+    def collect(self) -> None:
+        """Put the words aside; due every ``STEPS`` steps, each gives at most ``WORDS_A_STEP``."""
+        for own, row, n in zip(self.done, self.words.reshape(len(self.done), -1), self.used.tolist()):
+            own.append(row[:n].astype("<u2").tobytes())
+        self.used[:] = 0
 
     def put(self, start: np.ndarray, size: np.ndarray, bits: int) -> None:
         """Narrow each lane to ``start`` and ``size`` of ``1 << bits``."""
@@ -198,20 +205,18 @@ class RangeEncoder:
                 span = np.where(short, (~low + np.uint64(1)) & (BOTTOM - np.uint64(1)), span)
             on = np.flatnonzero(out)
             live = on if live is None else live[on]
-            if self.used[live].max() >= self.words.shape[1]:
-                self.words = np.concatenate([self.words, np.zeros_like(self.words)], 1)
-            self.words[live, self.used[live]] = (low[on] >> np.uint64(48)).astype(np.uint16)
+            self.words[self.first[live] + self.used[live]] = low[on] >> np.uint64(48)
             self.used[live] += 1
             self.low[live] = low[on] << WORD
             self.range[live] = span[on] << WORD
 
     def payloads(self) -> list[bytes]:
         for _ in range(4):
-            self.words = np.concatenate([self.words, np.zeros((len(self.used), 1), np.uint16)], 1)
-            self.words[np.arange(len(self.used)), self.used] = (self.low >> np.uint64(48)).astype(np.uint16)
+            self.words[self.first + self.used] = self.low >> np.uint64(48)
             self.used += 1
             self.low <<= WORD
-        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.words, self.used.tolist())]
+        self.collect()
+        return [b"".join(own) for own in self.done]
 
 
 class RangeDecoder:
@@ -257,7 +262,7 @@ class RangeDecoder:
 def code_blocks(ranks: np.ndarray, tables: Tables) -> list[bytes]:
     """The payload of each row of ``ranks``; what depends on no state is worked out for many steps at once."""
     lanes, steps = ranks.shape
-    guess, coder, bits = Guess(lanes), RangeEncoder(lanes, steps), GATE_BITS + tables.total
+    guess, coder, bits = Guess(lanes), RangeEncoder(lanes), GATE_BITS + tables.total
     one = two = np.zeros(lanes, np.int64)
     for first in range(0, steps, STEPS):
         some = np.ascontiguousarray(ranks[:, first : first + STEPS].T).astype(np.int64)
@@ -275,6 +280,7 @@ def code_blocks(ranks: np.ndarray, tables: Tables) -> list[bytes]:
             coder.put(start, size, bits)
             guess.learn(own, hit)
         two, one = before[-2], before[-1]
+        coder.collect()
     return coder.payloads()
 
 
@@ -427,6 +433,7 @@ def write_files(
 
     def run(batches):
         own, part, number, seen, out = encoder(path), TaskContext.get().partitionId(), 0, 0, None
+        met = MetWords(own.merge)
 
         def closed():
             row = {**out.close(), "part": part, "number": number}
@@ -436,7 +443,7 @@ def write_files(
             for rows in slices(batch, text):
                 out = out or FileWriter(f"{folder}/part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids")
                 texts = texts_of(rows, text)
-                ids, n = own.encode(texts)
+                ids, n = own.encode(texts, met.ids)
                 if seen // CHECK_EVERY != (seen + len(texts)) // CHECK_EVERY or not seen:
                     own.check(texts[0].as_py(), ids[: n[0]])
                 seen += len(texts)

@@ -286,6 +286,32 @@ class WordEncoder:
             raise ValueError("ids differ from the tokenizers library's")
 
 
+class MetWords:
+    """Ids of the distinct words that a task has met, at most ``most`` of them; others are merged each time."""
+
+    def __init__(self, merge, most: int = 65_536):
+        self.merge, self.most = merge, most
+        self.words = pa.array([], pa.string())
+        self.pool, self.starts, self.lengths = np.empty(0, np.int32), np.empty(0, np.int64), np.empty(0, np.int64)
+
+    def ids(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``(ids, start, length)`` as of ``merge``."""
+        place = pc.fill_null(pc.index_in(words, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        new = place < 0
+        rest = words.filter(pa.array(new))
+        merged, at, n = self.merge(rest)
+        starts, lengths = np.empty(len(words), np.int64), np.empty(len(words), np.int64)
+        starts[~new], lengths[~new] = self.starts[place[~new]], self.lengths[place[~new]]
+        at = at + len(self.pool)
+        starts[new], lengths[new] = at, n
+        pool = np.concatenate([self.pool, merged])
+        if len(self.words) + len(rest) <= self.most:
+            self.words = pa.concat_arrays([self.words, rest])
+            self.pool = pool
+            self.starts, self.lengths = np.concatenate([self.starts, at]), np.concatenate([self.lengths, n])
+        return pool, starts, lengths
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str) -> WordEncoder:
     """One encoder for each Python worker."""
