@@ -109,7 +109,8 @@ def _strict(df: DataFrame, time_type: str) -> DataFrame:
     return cast_silver(kept.withColumn("watch_ratio", watched), time_type)
 
 
-def _clamp(df: DataFrame, time_type: str) -> DataFrame:
+def clamped(df: DataFrame, time_type: str) -> DataFrame:
+    """Typed rows with the watch time cut at the duration; rows without ids, time or length are left out."""
     typed = coerce_types(df, time_type)
     kept = typed.dropna(subset=["event_time", "user_id", "video_id", "watch_time", "duration"]).filter(
         (F.col("duration") > 0) & (F.col("watch_time") >= 0)
@@ -118,7 +119,11 @@ def _clamp(df: DataFrame, time_type: str) -> DataFrame:
     with_ratio = watched.withColumn(
         "watch_ratio", clamp(ratio(F.col("watch_time"), F.col("duration")), 0.0, 1.0)
     )
-    return dedup_logs(with_ratio.select(*LOG_COLUMNS))
+    return with_ratio.select(*LOG_COLUMNS)
+
+
+def _clamp(df: DataFrame, time_type: str) -> DataFrame:
+    return dedup_logs(clamped(df, time_type))
 
 
 def _feature(df: DataFrame, time_type: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -97,18 +98,40 @@ def with_request_id(requests: DataFrame, order: Sequence[str] = ARRIVAL) -> Data
     return with_global_rank(requests, list(order), "request_id")
 
 
-def with_running_stats(log: DataFrame, **options: int) -> DataFrame:
-    """Hit ratio and mean latency after each request, by ``request_id``."""
-    sums = {
-        "_hits": F.when(F.col("status") == CACHE_HIT, 1).otherwise(0).cast("bigint"),
-        "_latency": F.col("latency_ms").cast("bigint"),
-        "_requests": F.lit(1).cast("bigint"),
+class Served(NamedTuple):
+    """What a request log came to so far: requests, hits and milliseconds."""
+
+    requests: int = 0
+    hits: int = 0
+    latency_ms: int = 0
+
+
+def _counted_columns() -> dict[str, Column]:
+    return {
+        "requests": F.lit(1).cast("bigint"),
+        "hits": F.when(F.col("status") == CACHE_HIT, 1).otherwise(0).cast("bigint"),
+        "latency_ms": F.col("latency_ms").cast("bigint"),
     }
+
+
+def totals_after(log: DataFrame, base: Served = Served()) -> Served:
+    """``base`` and the requests of ``log`` together."""
+    row = log.agg(*(F.sum(c).alias(n) for n, c in _counted_columns().items())).first()
+    return Served(*((b + (x or 0)) for b, x in zip(base, row)))
+
+
+def with_running_stats(log: DataFrame, base: Served = Served(), **options: int) -> DataFrame:
+    """Hit ratio and mean latency after each request, by ``request_id``.
+
+    ``base`` is what requests before the log's first one came to; ``request_id`` begins at 1.
+    """
+    sums = {f"_{n}": c for n, c in _counted_columns().items()}
     running = with_running_sums(log, "request_id", sums, **options)
+    requests, hits, latency = (F.col(f"_{n}") + F.lit(b) for n, b in zip(Served._fields, base))
     return running.select(
         *log.columns,
-        F.round(F.col("_hits") / F.col("_requests"), 6).alias("current_cache_hit_ratio"),
-        F.round(F.col("_latency") / F.col("_requests"), 4).alias("current_avg_latency_ms"),
+        F.round(hits / requests, 6).alias("current_cache_hit_ratio"),
+        F.round(latency / requests, 4).alias("current_avg_latency_ms"),
     )
 
 

@@ -443,6 +443,12 @@ ORACLE_SQL: dict[str, str] = {
         ("video_log",),
         f"""
 SELECT CAST(video_id AS INT) % 3 AS "partition", event_id AS "offset", {MESSAGE_FIELDS}
+FROM video_log ORDER BY 1, 2 LIMIT 10""",
+    ),
+    "topic_peek_files": _with(
+        ("video_log",),
+        f"""
+SELECT CAST(video_id AS INT) % 3 AS "partition", event_id AS "offset", {MESSAGE_FIELDS}
 FROM video_log ORDER BY 1, 2 LIMIT 10""",
     ),
     "scan_pruned_limit": _with(
@@ -539,6 +545,14 @@ FROM (SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey %
         """
 SELECT DISTINCT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, least(watch_time, duration) AS watch_time,
        duration, least(watch_time, duration) / duration AS watch_ratio, coalesce(is_click, 1) AS is_click, is_like, is_share
+FROM dirty_log WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL AND user_id IS NOT NULL AND video_id IS NOT NULL
+  AND watch_time >= 0 AND duration > 0""",
+    ),
+    "clamp_drain": _with(
+        ("dirty_log",),
+        """
+SELECT DISTINCT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, least(watch_time, duration) AS watch_time,
+       duration, least(watch_time, duration) / duration AS watch_ratio, coalesce(is_click, 1) AS is_click, is_like, is_share
 FROM dirty_log WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL AND user_id IS NOT NULL AND video_id IS NOT NULL
   AND watch_time >= 0 AND duration > 0""",
     ),
@@ -553,6 +567,15 @@ FROM dirty_log WHERE TRY_CAST(event_time AS TIMESTAMP) IS NOT NULL AND user_id I
     "video_features_big": _with(("big_features",), f"SELECT {FEATURES} FROM big_features"),
     "unique_users": _with(("day_cells",), "SELECT video_id, window_start, views_count, unique_users FROM day_cells"),
     "growth_rate": _with(("features",), "SELECT video_id, window_start, views_count, growth_rate FROM features"),
+    "growth_drain": _with(
+        ("features",),
+        """
+SELECT video_id, window_start, views_count, growth_rate FROM features
+WHERE window_end <= (SELECT max(event_time) - INTERVAL 10 MINUTE FROM strict_log)""",
+    ),
+    "unique_users_rollup": _with(("day_cells",), "SELECT video_id, window_start, views_count, unique_users FROM day_cells"),
+    "video_features_rollup": _with(("big_features",), f"SELECT {FEATURES} FROM big_features"),
+    "hot_incremental": _with(("predictions",), f"SELECT {PREDICTIONS} FROM predictions"),
     "top_features": _with(
         ("features",),
         f"SELECT {FEATURES} FROM features ORDER BY views_count DESC, features.growth_rate DESC, video_id, window_start LIMIT 20",
@@ -647,6 +670,10 @@ UNION ALL SELECT 'cache_decision=' || cache_decision, count(*) FROM decided GROU
         ("served",),
         f"SELECT event_id + 1 AS request_id, status, latency_ms, {_running('event_id')} FROM served",
     ),
+    "running_stats_drain": _with(
+        ("served",),
+        f"SELECT event_id + 1 AS request_id, status, latency_ms, {_running('event_id')} FROM served",
+    ),
     "replay_policy": _with(
         ("served",),
         f"""

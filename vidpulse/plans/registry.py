@@ -8,18 +8,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidpulse.operators import caching, cleaning, features, profiling, replay, sampling, scoring
+from vidpulse.operators import caching, cleaning, features, panes, profiling, replay, sampling, scoring
+from vidpulse.operators.incremental import HotStore
 from vidpulse.operators.order import approx_quantile, exact_quantiles, with_global_rank
 from vidpulse.plans import inputs
 from vidpulse.plans.inputs import DAY, NTZ, table
 from vidpulse.schemas import HOT, HOT_QUANTILE, LOG_COLUMNS, REQUEST_SCAN_ROWS, STATIC_THRESHOLD, WATCHLIST_QUANTILE
 from vidpulse.session import hadoop_path, shared_folder, stage
 from vidpulse.sources import topic
+from vidpulse.sources.manifest import peek_files
 from vidpulse.sources.sinks import write_topic
 from vidpulse.sources.tables import read_table
 from vidpulse.sources.tables import replay as replay_log
 from vidpulse.sources.tables import scan
-from vidpulse.streaming.medallion import run_bronze, run_silver
+from vidpulse.streaming.features import stream_cells
+from vidpulse.streaming.medallion import append_available, drain, run_bronze, run_silver
+from vidpulse.streaming.stateful import (
+    read_running_stats,
+    running_stats_each_batch,
+    stream_clamped,
+    stream_growth,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 PLACES = 10
@@ -77,11 +86,17 @@ def parse_messages(spark, d):
 # --- streams ------------------------------------------------------------------
 
 
-def _drained(spark, d):
-    """Bronze and silver after two drains of a topic that grew in between."""
-    fs, root = hadoop_path(spark, f"{shared_folder(spark)}/medallion-{uuid.uuid4().hex}")
+def _folder(spark, label):
+    """A new shared folder, removed when the session's JVM ends."""
+    fs, root = hadoop_path(spark, f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}")
     fs.mkdirs(root)
     fs.deleteOnExit(root)
+    return str(root)
+
+
+def _drained(spark, d):
+    """Bronze and silver after two drains of a topic that grew in between."""
+    root = _folder(spark, "medallion")
     paths = {n: f"{root}/{n}" for n in ("topic", "bronze", "silver", "bronze-state", "silver-state")}
     messages = inputs.broken_topic(spark, d).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
     for part in (F.col("offset") % 2 == 0, F.col("offset") % 2 == 1):
@@ -102,6 +117,73 @@ def silver_drain(spark, d):
     return silver.withColumn("event_time", F.col("event_time").cast(NTZ))
 
 
+@query
+def topic_peek_files(spark, d):
+    """The same as ``topic_peek`` from files, of which only those with the first offsets are opened."""
+    root = _folder(spark, "topic")
+    messages = inputs.topic(spark, d).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp"))
+    messages.drop("event_id").repartitionByRange(6, "partition", "offset").write.parquet(f"{root}/topic")
+    return peek_files(spark, f"{root}/topic", 10)
+
+
+def _halves(spark, rows, label):
+    """``rows`` in two files, the earlier half of the time first, and a stream over them."""
+    root = _folder(spark, label)
+    middle = F.lit("2024-01-16").cast("timestamp")
+
+    def stream():
+        return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+
+    def fill(first):
+        half = rows.filter((F.col("event_time") < middle) if first else (F.col("event_time") >= middle))
+        half.coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    return root, stream, fill
+
+
+def _timed(logs):
+    return logs.withColumn("event_time", F.col("event_time").cast("timestamp"))
+
+
+@query
+def growth_drain(spark, d):
+    """Growth of the windows that two drains closed, with the state of the first used by the second."""
+    root, stream, fill = _halves(spark, _timed(inputs.strict_log(spark, d)), "growth")
+    for first in (True, False):
+        fill(first)
+        append_available(stream_cells(stream(), DAY), f"{root}/cells", f"{root}/cells-state")
+        cells = read_table(spark, f"{root}/cells").schema
+        grown = stream_growth(spark.readStream.schema(cells).parquet(f"{root}/cells"))
+        append_available(grown, f"{root}/grown", f"{root}/grown-state")
+    found = read_table(spark, f"{root}/grown")
+    return found.select("video_id", F.col("window_start").cast(NTZ).alias("window_start"), "views_count", "growth_rate")
+
+
+@query
+def running_stats_drain(spark, d):
+    """Statistics after each request, over two drains; the second goes on from the totals of the first."""
+    served = _timed(_served(spark, d)).select("event_id", "event_time", "status", "latency_ms")
+    root, stream, _ = _halves(spark, served, "requests")
+    rows = stage(served, "served")
+    middle = rows.count() // 2
+    for part in (F.col("event_id") < middle, F.col("event_id") >= middle):
+        rows.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        drain(running_stats_each_batch(stream(), f"{root}/log", f"{root}/state", ["event_id"]))
+    return read_running_stats(spark, f"{root}/log").drop("event_id", "event_time")
+
+
+@query
+def clamp_drain(spark, d):
+    """The clamp cleaner over two drains of the dirty log, with copies in both."""
+    dirty = inputs.dirty_log(spark, d)
+    root = _folder(spark, "clamp")
+    for part in (F.col("event_id") % 2 == 0, F.col("event_id") % 2 == 1):
+        dirty.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/in")
+        logs = spark.readStream.schema(dirty.schema).parquet(f"{root}/in")
+        append_available(stream_clamped(logs, "400 days"), f"{root}/out", f"{root}/state")
+    return read_table(spark, f"{root}/out").withColumn("event_time", F.col("event_time").cast(NTZ))
+
+
 # --- columns and cleaning -----------------------------------------------------
 
 
@@ -200,6 +282,22 @@ def unique_users(spark, d):
     return features.unique_users(inputs.strict_log(spark, d), DAY)
 
 
+@query
+def unique_users_rollup(spark, d):
+    """Users per day, from half-hour panes and not from the log."""
+    half_hours = stage(panes.make_panes(inputs.strict_log(spark, d)), "panes")
+    cells = panes.compose_cells(half_hours, DAY)
+    return cells.select("video_id", "window_start", "views_count", "unique_users")
+
+
+@query
+def video_features_rollup(spark, d):
+    """Features of 30 days, from day panes of the large log."""
+    logs = cleaning.clean_logs(inputs.big_log(spark, d), "feature", NTZ)
+    days = stage(panes.make_panes(logs, DAY), "panes")
+    return rounded(panes.compose_features(days, "30 days"))
+
+
 @query
 def growth_rate(spark, d):
     grown = features.video_features(inputs.strict_log(spark, d), DAY)
@@ -225,6 +323,17 @@ def hot_max_p99(spark, d):
     return rounded(inputs.predictions(spark, d))
 
 
+@query
+def hot_incremental(spark, d):
+    """Labels after two batches of cells, of which the second reads the first one's tail only."""
+    store = HotStore(spark, _folder(spark, "hot-store"))
+    half_hours = stage(panes.make_panes(inputs.strict_log(spark, d)), "panes")
+    early = F.col("pane_start") < F.lit("2024-01-16").cast(NTZ)
+    for k, part in enumerate((early, ~early)):
+        store.add(panes.compose_cells(half_hours.filter(part), DAY), k)
+    return rounded(store.predictions())
+
+
 @query
 def hot_minmax_p99(spark, d):
     return rounded(inputs.predictions(spark, d, scaling="minmax"))

@@ -67,6 +67,8 @@ FEATURE_COLUMNS = [
     "engagement_count",
 ]
 
+CELL_COLUMNS = [c for c in FEATURE_COLUMNS if c != "growth_rate"]
+
 SPLIT_FEATURE_COLUMNS = [
     *FEATURE_COLUMNS,
     "like_count",

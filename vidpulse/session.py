@@ -6,6 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -60,19 +61,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-#: Paths staged inside each open scope, the innermost last.
-_scopes: list[list[str]] = []
+#: Paths staged inside the innermost open scope of the running thread, None outside of scopes.
+#: Micro-batches run on threads of their own, so no scope sees tables of another stream.
+_scope: ContextVar[list[str] | None] = ContextVar("scope", default=None)
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Tables that ``stage`` writes inside are removed at the end; results must be written before."""
     own: list[str] = []
-    _scopes.append(own)
+    outer = _scope.set(own)
     try:
         yield
     finally:
-        _scopes.remove(own)
+        _scope.reset(outer)
         for path in own:
             fs, jpath = hadoop_path(spark, path)
             fs.delete(jpath, True)
@@ -89,8 +91,9 @@ def stage(df: DataFrame, label: str, **options: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].append(path)
+    staged = _scope.get()
+    if staged is not None:
+        staged.append(path)
     df.write.options(**options).parquet(path)
     fs, jpath = hadoop_path(spark, path)
     fs.deleteOnExit(jpath)

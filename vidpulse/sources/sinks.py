@@ -9,6 +9,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from vidpulse.schemas import MAX_OFFSETS_PER_TRIGGER
 from vidpulse.session import hadoop_path
 
 
@@ -97,6 +98,7 @@ def write_topic(
         )
         writer.options(**options).save()
     else:
-        writer.options(**options).mode("append").save(topic)
+        # A micro-batch reads whole files, so a file holds no more than a batch may take.
+        writer.option("maxRecordsPerFile", MAX_OFFSETS_PER_TRIGGER).options(**options).mode("append").save(topic)
     errors = rejects.get.get("errors", 0) if rejects is not None else 0
     return RunReport(rows.get.get("rows", 0), time.monotonic() - began, errors)

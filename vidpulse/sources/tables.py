@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from vidpulse.session import hadoop_path
+from vidpulse.sources.versions import resolve
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -28,8 +29,9 @@ def require_path(spark: SparkSession, path: str) -> str:
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
+    """The table at ``path``; of a published one the version that is current now."""
     reader = spark.read.format(fmt)
-    return (reader.schema(schema) if schema is not None else reader).load(require_path(spark, path))
+    return (reader.schema(schema) if schema is not None else reader).load(resolve(spark, require_path(spark, path)))
 
 
 def read_csv(

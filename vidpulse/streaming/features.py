@@ -87,10 +87,10 @@ def rescore_each_batch(
             features = stage(grown_cells(written), "features")
             publish(score_hot(features, **score_options), predictions_path, allow_empty=True)
 
-    return _each_batch(cells, handle, checkpoint)
+    return each_batch(cells, handle, checkpoint)
 
 
-def _each_batch(
+def each_batch(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str
 ) -> StreamingQuery:
     return (

@@ -13,6 +13,7 @@ from vidpulse.schemas import BRONZE
 from vidpulse.sources.sinks import RunReport
 from vidpulse.sources.tables import read_table
 from vidpulse.sources.topic import read_topic, to_bronze
+from vidpulse.streaming.progress import KEPT_BATCHES, READ, WRITTEN, counted, keep, missing, records_of, totals
 
 
 def write_stream(
@@ -48,12 +49,21 @@ def drain(query: StreamingQuery) -> None:
 def append_available(
     df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", partition_by: str | None = None
 ) -> RunReport:
-    """Append all available input and report the rows the table gained."""
+    """Append all available input and report the rows this run added, as the stream counted them.
+
+    The records of its batches are kept beside the checkpoint. A count of rows read that
+    the caller put into ``df`` goes with them.
+    """
     spark = df.sparkSession
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", KEPT_BATCHES)
     began = time.monotonic()
-    before = table_rows(spark, path, fmt)
-    drain(write_stream(df, path, checkpoint, fmt, partition_by=partition_by))
-    return RunReport(table_rows(spark, path, fmt) - before, time.monotonic() - began)
+    query = write_stream(counted(df, WRITTEN), path, checkpoint, fmt, partition_by=partition_by)
+    drain(query)
+    records = records_of(query)
+    keep(spark, checkpoint, records)
+    return RunReport(
+        sum(r.written for r in records), time.monotonic() - began, sum(r.rejected for r in records)
+    )
 
 
 def table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
@@ -101,11 +111,16 @@ def run_silver(
     **source_options,
 ) -> RunReport:
     """Strict cleaning of what is new in bronze. ``rows`` is what silver gained,
-    ``errors`` the bronze rows that so far did not pass. ``by_day`` partitions the
-    table by ``event_date``, so that later jobs read only the days they need."""
-    cleaned = clean_logs(read_bronze_stream(spark, bronze, fmt, **source_options))
+    ``errors`` the bronze rows that so far did not pass, over all runs; both come from the
+    stream's own counts, and from the tables only where records of batches are missing.
+    ``by_day`` partitions the table by ``event_date``, so that later jobs read only the days they need."""
+    source = counted(read_bronze_stream(spark, bronze, fmt, **source_options), READ)
+    cleaned = clean_logs(source)
     if by_day:
         cleaned = cleaned.withColumn("event_date", F.to_date("event_time"))
     report = append_available(cleaned, path, checkpoint, fmt, "event_date" if by_day else None)
-    rejected = table_rows(spark, bronze, fmt) - table_rows(spark, path, fmt)
-    return RunReport(report.rows, report.seconds, errors=rejected)
+    if missing(spark, checkpoint):
+        read, written = table_rows(spark, bronze, fmt), table_rows(spark, path, fmt)
+    else:
+        read, written = totals(spark, checkpoint)
+    return RunReport(report.rows, report.seconds, errors=read - written)
