@@ -1,6 +1,9 @@
+import re
+import unicodedata
 import zlib
 
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from vidpulse.llm import language
@@ -40,6 +43,38 @@ def test_judge(content):
     assert judge(None) == judge("") == judge("12 -- 3_") == ("und", 0.0)
 
 
+@pytest.mark.parametrize("text", ["²½", "Ⅷ 12 ¾", "①②", "_²_"])
+def test_numerals_are_no_letters(content, text):
+    judge = language.Classifier(content).judge
+    assert judge(text) == ("und", 0.0) and judge(f"{text} {SENTENCES['de']}")[0] == "de"
+
+
+def plainly(content, text):
+    """The smallest sum of frames, one frame for each piece, each compressor made anew."""
+    if text is None or not any(unicodedata.category(c).startswith("L") for c in text):
+        return "und", 0.0
+    spaced = "".join(c if ord(c) > 127 or c.isalpha() else " " for c in text.lower())
+    raw = re.sub("[ ]+", " ", spaced).strip(" ").encode()
+    sizes = {}
+    for lang, own in content.items():
+        made = zstandard.ZstdCompressor(
+            level=language.LEVEL, dict_data=zstandard.ZstdCompressionDict(own, dict_type=zstandard.DICT_TYPE_RAWCONTENT),
+            write_checksum=False, write_content_size=False, write_dict_id=False,
+        )
+        sizes[lang] = sum(len(made.compress(raw[i : i + language.PIECE])) for i in range(0, len(raw), language.PIECE))
+    best, second = sorted(sizes.values())[:2]
+    return next(lang for lang, n in sizes.items() if n == best), 1 - best / second
+
+
+def test_predictions_against_a_plain_loop(spark, sf_dir, odd_docs):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    learned = language.learn(docs)
+    for table in (docs, odd_docs):
+        found = sorted((str(r.doc_id), r.lang_pred, round(r.score, 12)) for r in language.predict(table, learned).collect())
+        expected = [(r.doc_id, *plainly(learned, r.text)) for r in table.collect()]
+        assert found == sorted((str(i), lang, round(score, 12)) for i, lang, score in expected)
+
+
 def test_no_and_one_language():
     assert language.Classifier({}).judge("abc") == ("und", 0.0)
     assert language.Classifier({"en": b"abc"}).judge("abc") == ("en", 1.0)

@@ -107,6 +107,42 @@ def test_numbers_of_any_grouping(value):
         assert OWN.apply(value + " 2024")[0] == text[5:-1] + " 2024" and text[5:8] == value[:3]
 
 
+@pytest.mark.parametrize(
+    "same",
+    [
+        ("Anna.B@Example.com", "anna.b@example.com", "ANNA.B@EXAMPLE.com"),
+        ("ÀB.ß1@Müller.de", "àb.ß1@müller.de"),
+        ("+1 (415) 555-2671", "(415) 555-2671", "415-555-2671", "415.555.2671", "+1 415 555 2671", "+14155552671"),
+        ("+44 20 7946 0958", "+44 (20) 7946-0958", "+442079460958"),
+        ("4111 1111 1111 1111", "4111111111111111", "4111-1111-1111-1111"),
+        ("2024-01-02", "2024/01/02", "02/01/2024", "02.01.2024", "2024-01-02T10:00:00Z"),
+        ("DE89370400440532013000", "DE89 3704 0044 0532 0130 00"),
+    ],
+)
+def test_layouts_and_cases_of_a_value_are_linked(same):
+    def plain(text):
+        day = re.search(r"(\d{4})[-/.](\d\d)[-/.](\d\d)|(\d\d)[-/.](\d\d)[-/.](\d{4})", text)
+        if day:
+            return tuple(x for x in (day.groups()[:3] if day[1] else day.groups()[:2:-1]) if x)
+        bare = re.sub(r"[^\w@]", "", text).lower()
+        return bare[-10:] if bare.isdigit() and len(bare) in (10, 11, 12) else bare
+
+    assert len({plain(OWN.apply(x)[0]) for x in same}) == 1
+    assert all(OWN.apply(x)[0] != x for x in same)
+    assert len({plain(x) for x in same}) == 1
+
+
+def test_no_secret_no_pseudonyms(spark):
+    with pytest.raises(ValueError, match=pii.KEY_SETTING):
+        pii.secret_of(spark)
+    assert pii.secret_of(spark, "trial") == "trial"
+    spark.conf.set(pii.KEY_SETTING, "own")
+    try:
+        assert pii.secret_of(spark, "trial") == "own"
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+
+
 def test_query_leaves_no_personal_value_and_no_clean_text_changes(spark, sf_dir):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
     rows = QUERIES["op9_pii"](spark, sf_dir).collect()

@@ -15,6 +15,7 @@ row everything is ``und``. A language without a letter in its texts is not learn
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import pyarrow as pa
 import zstandard
@@ -36,11 +37,17 @@ NEAR = 0.1
 #: A text is rejected when the margin is below this.
 MIN_MARGIN = 0.002
 
-LETTER = re.compile(r"[^\W\d_]")
+#: Candidates for letters; numerals and superscripts among them are no letters (Unicode category L).
+WORDY = re.compile(r"[^\W\d_]")
 #: ASCII characters other than letters become spaces.
 PLAIN = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in range(256))
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is of category L, which the sample's ``\\p{L}`` means too."""
+    return any(unicodedata.category(m[0])[0] == "L" for m in WORDY.finditer(text))
+
+
 def letters(text: str) -> bytes:
     """The lower-cased text with single spaces for all that is no letter in ASCII."""
     return b" ".join(text.lower().encode().translate(PLAIN).split())
@@ -86,7 +93,7 @@ def dictionaries(texts: dict[str, list[str]], size: int = DICTIONARY_BYTES) -> d
     Contents that nearly agree in length get the same one, so that none wins by a few bytes;
     full ones stay whole, and none loses more than the share ``NEAR``.
     """
-    whole = {lang: letters(" ".join(own))[:size] for lang, own in texts.items() if any(map(LETTER.search, own))}
+    whole = {lang: letters(" ".join(own))[:size] for lang, own in texts.items() if any(map(has_letter, own))}
     lengths = [len(x) for x in whole.values()]
     even = {n: n if n == size else min(m for m in lengths if m >= n * (1 - NEAR)) for n in lengths}
     return {lang: own[: even[len(own)]] for lang, own in whole.items()}
@@ -110,7 +117,7 @@ class Classifier:
 
     def judge(self, text: str | None) -> tuple[str, float]:
         """``(language, margin)``."""
-        if text is None or not self.languages or not LETTER.search(text):
+        if text is None or not self.languages or not has_letter(text):
             return UNKNOWN, 0.0
         raw = letters(text)
         pieces = [raw[i : i + PIECE] for i in range(0, len(raw), PIECE)]

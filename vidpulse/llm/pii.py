@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame
 from vidpulse.llm.common import slices
 
 ROUNDS = 8
-#: Setting that holds the secret; without it pseudonyms can be undone by anyone.
+#: Setting that holds the secret.
 KEY_SETTING = "spark.vidpulse.pii.key"
-DEFAULT_KEY = "vidpulse-pseudonyms"
+#: For trials on made-up data only: it is public, so anyone can undo what it made.
+TRIAL_KEY = "vidpulse-pseudonyms"
 
 
 def feistel(value: int, bits: int, secret: bytes, tweak: bytes, undo: bool = False) -> int:
@@ -111,12 +112,12 @@ def card(found: str, move: Permute) -> str | None:
 
 
 def phone(found: str, move: Permute) -> str | None:
-    """The last ten digits; a country's code before them stays."""
+    """The last ten digits; a country's code before them stays. Without one, the grouping is that of code 1."""
     d = only_digits(found)
     if not 10 <= len(d) <= 13:
         return None
     head, body = d[:-10], d[-10:]
-    return refill(found, head + str(move(int(body), 10**10, f"phone{head}")).zfill(10))
+    return refill(found, head + str(move(int(body), 10**10, f"phone{head or 1}")).zfill(10))
 
 
 #: Digits after a country's code, 0 where there is no one length; of others the longest run counts.
@@ -208,11 +209,23 @@ def letters(found: str, move: Permute, kind: str) -> str:
     return "".join(reversed(out))
 
 
+def lowered(found: str) -> str:
+    """In lower case where the alphabets have both cases."""
+    return "".join(c.lower() if c.lower() in PLACE else c for c in found)
+
+
+def cased(fresh: str, layout: str) -> str:
+    """``fresh`` with capitals where ``layout`` has them; letters without a capital stay."""
+    pairs = zip(fresh, layout)
+    return "".join(f.upper() if c != c.lower() and f.upper() in PLACE else f for f, c in pairs)
+
+
 def email(found: str, move: Permute) -> str | None:
-    """The name and the host without its last label."""
+    """The name and the host without its last label, as one value in every case."""
     name, host = found.rsplit("@", 1)
     host, last = host.rsplit(".", 1)
-    return f"{letters(name, move, 'mail')}@{letters(host, move, 'host')}.{last}"
+    fresh = (cased(letters(lowered(x), move, kind), x) for x, kind in ((name, "mail"), (host, "host")))
+    return "@".join(fresh) + f".{last}"
 
 
 def iban(found: str, move: Permute) -> str | None:
@@ -393,8 +406,12 @@ class Pseudonyms:
         return "".join(out) + numbers(text[at:]), counts
 
 
-def secret_of(spark) -> str:
-    return spark.conf.get(KEY_SETTING, None) or DEFAULT_KEY
+def secret_of(spark, trial: str | None = None) -> str:
+    """The session's secret, else ``trial``, which the caller has to name; raises without either."""
+    secret = spark.conf.get(KEY_SETTING, None) or trial
+    if not secret:
+        raise ValueError(f"set {KEY_SETTING}: pseudonyms without a secret can be undone by anyone")
+    return secret
 
 
 def pseudonymise(docs: DataFrame, secret: str, text: str = "text") -> DataFrame:

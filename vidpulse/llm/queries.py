@@ -67,7 +67,7 @@ def op7_quality(spark, d):
 
 @query
 def op9_pii(spark, d):
-    return pii.pseudonymise(table(spark, d, "documents"), pii.secret_of(spark))
+    return pii.pseudonymise(table(spark, d, "documents"), pii.secret_of(spark, pii.TRIAL_KEY))
 
 
 @query
