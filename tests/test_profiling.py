@@ -60,3 +60,13 @@ def test_ratio_profile(spark):
     df = spark.createDataFrame([(5, 10), (30, 10), (7, 0), (0, 4)], "play_time_ms bigint, duration_ms bigint")
     row = profiling.ratio_profile(df).first()
     assert (row["count"], row["over_one"], row["null_ratio"], row["max"]) == (3, 1, 1, 3.0)
+
+
+def test_fingerprints_tell_nulls_and_places_apart(spark):
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("a", None, 1.0), (None, None, None), (None, None, None), ("", None, 1.0), ("a", "a", 0.0), ("a", "a", -0.0)]
+    df = spark.createDataFrame(rows, "x string, y string, z double")
+    found = profiling.duplicate_profile(df).first()
+    assert (found["rows"], found["duplicates"]) == (8, 3)
+    plan = profiling.duplicate_profile(df)._jdf.queryExecution().executedPlan().toString()
+    exchange = next(x for x in plan.splitlines() if "Exchange hashpartitioning" in x)
+    assert exchange.count("_groupingexpression") == 2 and "x#" not in exchange

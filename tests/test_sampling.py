@@ -80,3 +80,14 @@ def test_synthetic_log(spark):
     assert row[12] <= 0 and row[13] >= 0 and row[14] <= 1
     again = sampling.generate_logs(spark.range(20_000).repartition(5))
     assert df.exceptAll(again).count() == 0
+
+
+def test_a_cut_that_lets_through_too_few_is_made_good(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    rows = spark.range(20_000).select(F.col("id").alias("k"))
+    want = sorted(r.k for r in sampling.sample_n(rows, 300, "k").collect())
+    monkeypatch.setattr(sampling, "SLACK", -3)
+    assert sorted(r.k for r in sampling.sample_n(rows, 300, "k").collect()) == want
+    assert len(want) == 300 and sampling.sample_n(rows, 30_000, "k").count() == 20_000
+    assert sampling.sample_n(rows, 0, "k").count() == 0

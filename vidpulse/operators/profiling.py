@@ -124,9 +124,21 @@ def null_profile(df: DataFrame) -> DataFrame:
     return _long(row, entries).filter(F.col("nulls") > 0)
 
 
+def fingerprint(columns: Sequence[str]) -> list[Column]:
+    """Two 64-bit hashes of a row, in which nulls count by their place."""
+    parts = [x for c in columns for x in (F.col(c).isNull(), F.col(c))]
+    return [F.xxhash64(F.lit(seed), *parts) for seed in (1, 2)]
+
+
 def duplicate_profile(df: DataFrame) -> DataFrame:
-    """Rows that repeat an earlier row, and their share in percent."""
-    distinct = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """Rows that repeat an earlier row, and their share in percent.
+
+    Rows are told apart by fingerprints of 128 bits, which each task counts before 16
+    bytes and a count of each go out. Two different rows share one with a probability of
+    about rows ** 2 / 2 ** 129.
+    """
+    first, second = fingerprint(df.columns)
+    distinct = df.groupBy(first.alias("_a"), second.alias("_b")).agg(F.count(F.lit(1)).alias("_n"))
     extra = F.coalesce(F.sum(F.col("_n") - 1), F.lit(0))
     total = F.coalesce(F.sum("_n"), F.lit(0))
     return distinct.agg(

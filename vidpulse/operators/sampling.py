@@ -6,6 +6,8 @@ of partitions and survive a retried task.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -14,13 +16,29 @@ from vidpulse.operators.order import ranked_rows, take_smallest
 from vidpulse.session import stage
 
 
+#: A first cut lets through so many standard deviations more rows than wanted.
+SLACK = 8
+
+
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows without replacement: the n smallest md5(seed, key).
 
-    All rows when there are fewer. ``key`` should identify a row.
+    All rows when there are fewer. ``key`` should identify a row. Draws are even by
+    construction, so a cut a little above n / rows lets through about n rows in one pass, and
+    only these are ranked. Should it let through fewer, the whole table is ranked.
     """
-    drawn = df.withColumn("_draw", draw60(seed, F.col(key))).withColumn("_md5", md5_key(seed, F.col(key)))
-    return take_smallest(drawn, n, ["_draw", "_md5", key]).select(*df.columns)
+    drawn = df.withColumn("_draw", draw60(seed, F.col(key)))
+    order = ["_draw", "_md5", key]
+
+    def smallest(rows: DataFrame) -> DataFrame:
+        return take_smallest(rows.withColumn("_md5", md5_key(seed, F.col(key))), n, order).select(*df.columns)
+
+    rows = df.count()
+    slack = n + SLACK * math.sqrt(n) + SLACK * SLACK
+    if n <= 0 or slack >= rows:
+        return smallest(drawn)
+    near = stage(drawn.filter(F.col("_draw") < int((1 << 60) * slack / rows)), "draws")
+    return smallest(near if near.count() >= n else drawn)
 
 
 def sample_if_larger(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame | None:
