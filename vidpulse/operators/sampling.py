@@ -47,8 +47,8 @@ def sample_if_larger(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFra
 
 
 def sample_keys(df: DataFrame, column: str, n: int, seed: int = 42) -> DataFrame:
-    """``n`` distinct values of a column."""
-    return sample_n(df.select(column).distinct(), n, column, seed)
+    """``n`` distinct values of a column; the distinct values are worked out once."""
+    return sample_n(stage(df.select(column).distinct(), "keys"), n, column, seed)
 
 
 def draw_rows(df: DataFrame, n: int, order: list[str], seed: int | str = 42, most: bool = False) -> DataFrame:

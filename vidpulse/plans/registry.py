@@ -532,7 +532,7 @@ def running_stats(spark, d):
     log = _served(spark, d).select(
         (F.col("event_id") + 1).alias("request_id"), "status", "latency_ms"
     )
-    return replay.with_running_stats(log)
+    return replay.with_running_stats(stage(log, "request-log"))
 
 
 @query
