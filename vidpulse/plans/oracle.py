@@ -775,3 +775,5 @@ FROM (SELECT count(*) AS n FROM dirty_log GROUP BY event_id, {LOG})""",
     ),
     "category_counts": "SELECT c_mktsegment, count(*) AS rows FROM customer GROUP BY 1",
 }
+
+ORACLE_SQL["silver_rewritten_drain"] = ORACLE_SQL["silver_drain"]

@@ -22,7 +22,7 @@ from vidpulse.sources.tables import read_table
 from vidpulse.sources.tables import replay as replay_log
 from vidpulse.sources.tables import scan
 from vidpulse.streaming.features import stream_cells
-from vidpulse.streaming.medallion import append_available, drain, run_bronze, run_silver
+from vidpulse.streaming.medallion import append_available, drain, read_silver, run_bronze, run_silver
 from vidpulse.streaming.stateful import (
     read_running_stats,
     running_stats_each_batch,
@@ -117,6 +117,30 @@ def silver_drain(spark, d):
     return silver.withColumn("event_time", F.col("event_time").cast(NTZ))
 
 
+def _rewrite_files(spark, path):
+    """The rows of a folder's files in other files, in another order; the old files go."""
+    fs, root = hadoop_path(spark, path)
+    old = [s.getPath() for s in fs.listStatus(root) if s.getPath().getName().endswith(".parquet")]
+    rows = stage(spark.read.parquet(*(str(p) for p in old)), "rewritten")
+    rows.repartitionByRange(3, F.desc("offset")).write.mode("append").parquet(path)
+    for file in old:
+        fs.delete(file, False)
+
+
+@query
+def silver_rewritten_drain(spark, d):
+    """The same as ``silver_drain`` where all files of bronze are rewritten before the second drain."""
+    root = _folder(spark, "rewritten")
+    bronze, silver = f"{root}/bronze", f"{root}/silver"
+    messages = topic.to_bronze(inputs.broken_topic(spark, d).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")))
+    for part in (0, 1):
+        if part:
+            _rewrite_files(spark, bronze)
+        messages.filter(F.col("offset") % 2 == part).coalesce(2).write.mode("append").parquet(bronze)
+        run_silver(spark, bronze, silver, f"{root}/silver-state", rewritten=True)
+    return read_silver(spark, silver).withColumn("event_time", F.col("event_time").cast(NTZ))
+
+
 @query
 def topic_peek_files(spark, d):
     """The same as ``topic_peek`` from files, of which only those with the first offsets are opened."""

@@ -4,16 +4,29 @@ from __future__ import annotations
 
 import time
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from vidpulse.operators.cleaning import clean_logs
 from vidpulse.schemas import BRONZE
+from vidpulse.session import stage, staging
 from vidpulse.sources.sinks import RunReport
 from vidpulse.sources.tables import read_table
 from vidpulse.sources.topic import read_topic, to_bronze
-from vidpulse.streaming.progress import KEPT_BATCHES, READ, WRITTEN, counted, keep, missing, records_of, totals
+from vidpulse.streaming.features import each_batch
+from vidpulse.streaming.offsets import OffsetLedger
+from vidpulse.streaming.progress import (
+    KEPT_BATCHES,
+    READ,
+    WRITTEN,
+    BatchRecord,
+    counted,
+    keep,
+    missing,
+    records_of,
+    totals,
+)
 
 
 def write_stream(
@@ -75,14 +88,22 @@ def table_rows(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
 
 
 def read_bronze_stream(
-    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None
+    spark: SparkSession, path: str, fmt: str = "parquet", max_files: int | None = None, rewritten: bool = False
 ) -> DataFrame:
-    """Bronze as a stream; a table that is rewritten does not stop it."""
+    """Bronze as a stream; a table that is rewritten does not stop it, but its rewritten rows come again.
+
+    With ``rewritten`` a table of files is read by what lies in its folder and not by the
+    log of the stream that filled it, which doesn't name files that others put there. A file
+    that is gone when its batch runs is passed over: its rows come with the files that replaced it.
+    """
     reader = spark.readStream.format(fmt)
     if fmt == "delta":
         return reader.option("ignoreChanges", "true").load(path)
     reader = reader.schema(BRONZE)
-    return (reader.option("maxFilesPerTrigger", max_files) if max_files else reader).load(path)
+    reader = reader.option("maxFilesPerTrigger", max_files) if max_files else reader
+    if rewritten:
+        return reader.option("ignoreMissingFiles", "true").load(f"{path}/*.{fmt}")
+    return reader.load(path)
 
 
 def run_bronze(
@@ -108,12 +129,20 @@ def run_silver(
     *,
     fmt: str = "parquet",
     by_day: bool = False,
+    rewritten: bool = False,
     **source_options,
 ) -> RunReport:
     """Strict cleaning of what is new in bronze. ``rows`` is what silver gained,
     ``errors`` the bronze rows that so far did not pass, over all runs; both come from the
     stream's own counts, and from the tables only where records of batches are missing.
-    ``by_day`` partitions the table by ``event_date``, so that later jobs read only the days they need."""
+    ``by_day`` partitions the table by ``event_date``, so that later jobs read only the days they need.
+    ``rewritten`` is for a bronze whose files others rewrite (merge, sort, delete columns): messages
+    are told by their offsets, and silver is a table of micro-batches for ``read_silver``."""
+    if rewritten:
+        source = read_bronze_stream(spark, bronze, fmt, rewritten=True, **source_options)
+        report = silver_each_batch(source, path, checkpoint, by_day)
+        read, written = totals(spark, checkpoint)
+        return RunReport(report.rows, report.seconds, errors=read - written)
     source = counted(read_bronze_stream(spark, bronze, fmt, **source_options), READ)
     cleaned = clean_logs(source)
     if by_day:
@@ -124,3 +153,41 @@ def run_silver(
     else:
         read, written = totals(spark, checkpoint)
     return RunReport(report.rows, report.seconds, errors=read - written)
+
+
+def silver_each_batch(bronze: DataFrame, path: str, checkpoint: str, by_day: bool = False) -> RunReport:
+    """Strict cleaning of the messages of bronze that were not cleaned before, by partition and offset.
+
+    Each micro-batch writes its rows under its id, then its offsets beside the checkpoint,
+    then its record; one that runs again replaces them. ``read_silver`` reads the table.
+    """
+    spark = bronze.sparkSession
+    ledger = OffsetLedger(spark, f"{checkpoint.rstrip('/')}-offsets")
+    done: list[BatchRecord] = []
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
+        read, written = Observation(), Observation()
+        rows = F.count(F.lit(1)).alias("rows")
+        with staging(spark):
+            # One reading of the files, which may be rewritten at any time, serves rows and offsets.
+            batch = stage(batch, "batch")
+            fresh = ledger.unread(batch, batch_id)
+            cleaned = clean_logs(fresh.observe(read, rows))
+            if by_day:
+                cleaned = cleaned.withColumn("event_date", F.to_date("event_time"))
+            writer = cleaned.observe(written, rows).write.mode("overwrite")
+            (writer.partitionBy("event_date") if by_day else writer).parquet(f"{path}/batch_id={batch_id}")
+            ledger.add(batch, batch_id)
+        figures = [o.get.get("rows", 0) for o in (read, written)]
+        done.append(BatchRecord(batch_id, *figures, time.monotonic() - began, time.time()))
+        keep(spark, checkpoint, done[-1:])
+
+    began = time.monotonic()
+    drain(each_batch(bronze, handle, checkpoint))
+    return RunReport(sum(r.written for r in done), time.monotonic() - began, sum(r.rejected for r in done))
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``silver_each_batch`` wrote, without their batch."""
+    return read_table(spark, path).drop("batch_id")
