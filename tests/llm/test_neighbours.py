@@ -83,3 +83,62 @@ def test_levels_grow_with_the_data():
     probed = hashing.probe(hashing.on_sphere(x, True), 0, hashing.probes)
     assert (probed == own[:, None]).any(1).all() and probed.max() < hashing.cells
     assert all(len(set(row)) == hashing.probes for row in probed.tolist())
+
+
+@pytest.mark.parametrize("part", [131_072, 200])
+def test_equal_scores_go_to_smaller_ids(spark, part, monkeypatch):
+    """Vectors of small whole numbers, most of whose products are equal, in one region or several."""
+    monkeypatch.setattr(neighbours, "PART", part)
+    draw = np.random.default_rng(5)
+    x = draw.integers(-1, 2, (3000, 8)).astype(np.float32)
+    x = x[(x != 0).any(1)]
+    ids = draw.permutation(len(x)) * 3
+    frame = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id long, embedding array<float>")
+    frame = frame.repartition(5)
+    got = found(neighbours.nearest(frame, F.col("vec_id") % 300 == 0, k=10))
+    assert got == brute(ids, x.astype(np.float64), [i for i in ids if i % 300 == 0], 10)
+
+
+def test_regions_and_parts_change_nothing(spark, monkeypatch):
+    draw = np.random.default_rng(8)
+    x = (draw.normal(size=(20, 16))[draw.integers(0, 20, 6000)] + 0.5 * draw.normal(size=(6000, 16))).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    results = []
+    for part, lot in ((131_072, 1_048_576), (500, 7)):
+        monkeypatch.setattr(neighbours, "PART", part)
+        monkeypatch.setattr(neighbours, "QUERY_PART", lot)
+        results.append(found(neighbours.nearest(frame, F.col("vec_id") % 100 == 0, k=10, probes=6)))
+    assert results[0] == results[1]
+
+
+def test_cut_of_a_cell_keeps_the_smaller_class():
+    near = np.repeat(np.eye(4), 50, axis=0)
+    owner = np.random.default_rng(6).permutation(200)
+    ((row, classes, score),) = neighbours.best_of_cell(np.eye(4)[:2], near, owner, 3)
+    for q in (0, 1):
+        assert sorted(classes[row == q]) == sorted(owner[50 * q : 50 * q + 50])[:4] and (score == 1).all()
+
+
+def test_recall_of_random_vectors_at_size():
+    """The hardest case, vectors without clusters: what the probed cells hold of the true neighbours."""
+    draw = np.random.default_rng(7)
+    x = draw.standard_normal((200_000, 64), np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    asks = x[:60]
+    score = asks @ x.T
+    score[np.arange(60), np.arange(60)] = -9
+    top = np.argpartition(-score, 20, axis=1)[:, :20]
+    hashing = neighbours.Hashing(len(x), 64, 1.0, True)
+    met = np.zeros(top.shape, bool)
+    for t in range(neighbours.TABLES):
+        probed = hashing.probe(asks.astype(np.float64), t, hashing.probes)
+        cells = hashing.cell(x[top.reshape(-1)].astype(np.float64), t).reshape(top.shape)
+        met |= (cells[:, :, None] == probed[:, None, :]).any(2)
+    assert met.mean() >= 0.93
+
+
+def test_share_of_probed_cells_follows_one_rule():
+    for n in (1, 100, 4096, 10_256, 10**5, 10**7, 10**9):
+        hashing = neighbours.Hashing(n, 64, 1.0, True)
+        share = min(1.0, (neighbours.MET / n) ** 0.5)
+        assert hashing.cells * share <= hashing.probes <= hashing.cells * share + 1

@@ -5,12 +5,16 @@ vector, and the signed axis nearest to it is its cell. Each table has rotations
 own. Where cells of one rotation would hold too many vectors, further rotations add
 levels, so that cells shrink as the data grow. A query probes the cells whose axes lie
 nearest to it in every table; all vectors in them are compared exactly, in double
-precision, on the original vectors.
+precision, on the original vectors. One rule says how many cells at every size: the share
+``sqrt(MET / vectors)`` of them, all where there are fewer vectors than ``MET``.
 
 Equal vectors are one class with its ``k + 1`` smallest ids, which is all that a result
-can hold of them. Cells with many vectors or queries are cut into parts, and every part
-of the one side meets every part of the other, so no task holds a whole hot cell. What a
-part emits is its ``k + 1`` best classes of each query; more can never be needed.
+can hold of them. Neighbouring cells make a region of about ``PART`` vectors. A vector goes
+to its region once a table, and so does a query, with the list of its cells there, however
+many these are. A task holds the vectors of one region and streams the queries past them.
+Regions with many vectors or queries are cut into parts, and every part of the one side
+meets every part of the other, so no task holds a whole hot region. What a part emits is
+its ``k + 1`` best classes of each query, equal ones by id; more can never be needed.
 Queries that find fewer than ``k`` neighbours in their cells probe all cells.
 
 Vectors of different lengths are brought onto the sphere by one more coordinate, which
@@ -35,13 +39,16 @@ from vidpulse.session import stage
 
 K = 20
 TABLES = 4
-#: Cells a query probes in each table at least, and the vectors it should meet there.
-PROBES = 24
-LEAST_MET = 4096
+#: Vectors of a table up to which a query meets all; of more it meets the share ``sqrt(MET / vectors)``.
+MET = 4096
 #: Vectors per cell that further levels aim at.
 CELL = 512
-#: Vectors and queries of a part of a cell.
-PART, QUERY_PART = 4096, 512
+#: Vectors of a part of a region, which a task holds, and queries that it streams past them.
+PART, QUERY_PART = 131_072, 1_048_576
+#: Bytes of a part's vectors, which make parts of long vectors smaller.
+PART_BYTES = 1 << 25
+#: Numbers that one step of a task works on.
+STEP = 1 << 22
 ROUNDS = 3
 #: Relative difference of lengths from which vectors are brought onto the sphere.
 EVEN = 1e-4
@@ -86,9 +93,9 @@ class Hashing:
         self.width = 1 << (dimension + (not even) - 1).bit_length()
         self.levels = level_widths(n, self.width)
         self.cells = int(np.prod([2 * w for w in self.levels]))
-        # Finer cells each hold less of a neighbourhood, so their number grows with them.
-        probes = PROBES * int(np.ceil(np.sqrt(self.cells / (2 * self.width))))
-        self.probes = min(self.cells, max(probes, -(-self.cells * LEAST_MET // max(1, n))))
+        self.probes = int(np.ceil(self.cells * min(1.0, np.sqrt(MET / max(1, n)))))
+        self.part = max(1, min(PART, PART_BYTES // (8 * dimension)))
+        self.regions = min(self.cells, max(1, -(-n // self.part)))
 
     def on_sphere(self, x: np.ndarray, query: bool) -> np.ndarray:
         out = np.zeros((len(x), self.width))
@@ -122,6 +129,9 @@ class Hashing:
                 score, cells = np.take_along_axis(score, best, 1), np.take_along_axis(cells, best, 1)
         return cells
 
+    def region(self, cells: np.ndarray) -> np.ndarray:
+        return cells * self.regions // self.cells
+
 
 def matrix(column: pa.Array) -> np.ndarray:
     """A list column of equal lengths as rows of doubles."""
@@ -136,59 +146,122 @@ def usable(vec: Column) -> Column:
 
 
 def hashed(rows: DataFrame, hashing: Hashing, tables: int, probes: int | None) -> DataFrame:
-    """``rows`` once per table and cell: their own cell, or for queries the probed ones."""
+    """``rows`` once per table and region: with their own cell, or for queries with the probed ones.
+
+    Queries that probe every cell name none.
+    """
+    finest = 2 * max(hashing.levels)
+    step = 4096 if probes is None else max(1, STEP // (max(probes, 1) * finest))
+
+    def places(x: np.ndarray, t: int) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+        """Row, region and cells of each row to send."""
+        if probes is None:
+            cells = hashing.cell(x, t)
+            return np.arange(len(x)), hashing.region(cells), pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1), pa.int32()), cells)
+        if probes >= hashing.cells:
+            at, region = np.repeat(np.arange(len(x)), hashing.regions), np.tile(np.arange(hashing.regions), len(x))
+            return at, region, pa.ListArray.from_arrays(pa.array(np.zeros(len(at) + 1), pa.int32()), pa.array([], pa.int64()))
+        cells = np.sort(hashing.probe(x, t, probes), axis=1)
+        row, region = np.repeat(np.arange(len(x)), probes), hashing.region(cells.reshape(-1))
+        starts = np.flatnonzero(np.r_[True, (row[1:] != row[:-1]) | (region[1:] != region[:-1])])
+        ends = pa.array(np.r_[starts, len(row)], pa.int32())
+        return row[starts], region[starts], pa.ListArray.from_arrays(ends, cells.reshape(-1))
 
     def run(batches):
-        for batch in batches:
-            x = hashing.on_sphere(matrix(batch.column("vec")), probes is not None)
-            for t in range(tables):
-                cells = hashing.cell(x, t)[:, None] if probes is None else hashing.probe(x, t, probes)
-                at = np.repeat(np.arange(len(x)), cells.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(at), t, np.int64)),
-                        pa.array(cells.reshape(-1)),
-                        batch.column("class").take(pa.array(at)),
-                        batch.column("vec").take(pa.array(at)),
-                    ],
-                    ["tab", "cell", "class", "vec"],
-                )
+        for whole in batches:
+            for batch in (whole.slice(a, step) for a in range(0, whole.num_rows, step)):
+                x = hashing.on_sphere(matrix(batch.column("vec")), probes is not None)
+                for t in range(tables):
+                    at, region, cells = places(x, t)
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(at), t, np.int64)),
+                            pa.array(region.astype(np.int64)),
+                            cells,
+                            batch.column("class").take(pa.array(at)),
+                            batch.column("vec").take(pa.array(at)),
+                        ],
+                        ["tab", "region", "cells", "class", "vec"],
+                    )
 
     kind = rows.schema["vec"].dataType.simpleString()
-    return rows.select("class", "vec").mapInArrow(run, f"tab long, cell long, class long, vec {kind}")
-
-
-def compared(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
-    """``(query, class, score)``: the best ``k + 1`` classes of each query in each part of a cell."""
-    cell = ["tab", "cell"]
-    asked = queries.groupBy(*cell).agg(F.ceil(F.count("*") / QUERY_PART).alias("lots"))
-    held = index.groupBy(*cell).agg(F.ceil(F.count("*") / PART).alias("parts"))
-    cuts = stage(asked.join(held, cell), "cells")
+    return rows.select("class", "vec").mapInArrow(run, f"tab long, region long, cells array<long>, class long, vec {kind}")
+
+
+def first_places(query: np.ndarray, classes: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Which rows are among the ``k + 1`` best of their query, equal scores by class."""
+    order = np.lexsort((classes, -score, query))
+    ranked = query[order]
+    starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+    place = np.arange(len(order)) - np.repeat(starts, np.diff(np.r_[starts, len(order)]))
+    return order[place <= k]
+
+
+def best_of_cell(ask: np.ndarray, near: np.ndarray, owner: np.ndarray, k: int):
+    """``(row of ask, class, score)`` of the ``k + 1`` best vectors of a cell for each query."""
+    longest = np.sqrt((near * near).sum(1).max())
+    for a in range(0, len(ask), max(1, STEP // len(near))):
+        own = ask[a : a + max(1, STEP // len(near))]
+        score = own @ near.T
+        if score.shape[1] > k + 1:
+            cut = np.partition(score, -(k + 1), axis=1)[:, -(k + 1)]
+            # The product may differ in its last bits from the sums that decide below.
+            slack = 1e-12 * longest * np.sqrt((own * own).sum(1))
+            row, column = np.nonzero(score >= (cut - slack)[:, None])
+        else:
+            row, column = (x.reshape(-1) for x in np.indices(score.shape))
+        step = max(1, STEP // near.shape[1])
+        exact = np.concatenate([(own[row[i : i + step]] * near[column[i : i + step]]).sum(1) for i in range(0, len(row), step)])
+        kept = first_places(row, owner[column], exact, k)
+        yield a + row[kept], owner[column[kept]], exact[kept]
+
+
+class Block:
+    """The vectors of a part of a region, by cell."""
+
+    def __init__(self, cells: np.ndarray, classes: np.ndarray, vectors: np.ndarray):
+        order = np.argsort(cells, kind="stable")
+        self.classes, self.vectors = classes[order], vectors[order]
+        self.cells, starts = np.unique(cells[order], return_index=True)
+        self.ends = np.r_[starts, len(order)]
+
+    def answer(self, asker: np.ndarray, ask: np.ndarray, counts: np.ndarray, cells: np.ndarray, k: int) -> pa.RecordBatch | None:
+        """The ``k + 1`` best classes of each query in its cells, of which it names ``counts``; none for all."""
+        everywhere = np.flatnonzero(counts == 0)
+        row = np.r_[np.repeat(np.arange(len(ask)), counts), np.repeat(everywhere, len(self.cells))]
+        cells = np.r_[cells, np.tile(self.cells, len(everywhere))]
+        at = np.minimum(np.searchsorted(self.cells, cells), len(self.cells) - 1)
+        met = self.cells[at] == cells
+        row, at = row[met], at[met]
+        order = np.argsort(at, kind="stable")
+        row, at = row[order], at[order]
+        found = []
+        cuts = np.r_[np.flatnonzero(np.r_[True, at[1:] != at[:-1]]), len(at)] if len(at) else np.zeros(1, int)
+        for a, b in zip(cuts, cuts[1:]):
+            lo, hi = self.ends[at[a]], self.ends[at[a] + 1]
+            for own, classes, score in best_of_cell(ask[row[a:b]], self.vectors[lo:hi], self.classes[lo:hi], k):
+                found.append((row[a:b][own], classes, score))
+        if not found:
+            return None
+        row, classes, score = (np.concatenate(x) for x in zip(*found))
+        kept = first_places(row, classes, score, k)
+        return pa.RecordBatch.from_arrays([pa.array(asker[row[kept]]), pa.array(classes[kept]), pa.array(score[kept])], ["query", "class", "score"])
+
+
+def compared(index: DataFrame, queries: DataFrame, part: int, k: int) -> DataFrame:
+    """``(query, class, score)``: the best ``k + 1`` classes of each query over the cells it probes."""
+    region = ["tab", "region"]
+    asked = queries.groupBy(*region).agg(F.ceil(F.count("*") / QUERY_PART).alias("lots"))
+    held = index.groupBy(*region).agg(F.ceil(F.count("*") / part).alias("parts"))
+    cuts = stage(asked.join(held, region), "regions")
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.col(n) - 1))
     of = lambda n: F.pmod(F.xxhash64("class"), F.col(n))
-    index = index.join(cuts, cell).select(*cell, of("parts").alias("part"), every("lots").alias("lot"), F.lit(False).alias("ask"), "class", "vec")
-    queries = queries.join(cuts, cell).select(*cell, every("parts").alias("part"), of("lots").alias("lot"), F.lit(True).alias("ask"), "class", "vec")
-    keys = ["tab", "cell", "part", "lot"]
-
-    def best(asking, block):
-        if not asking or not block:
-            return
-        ask = np.concatenate([x for _, x in asking])
-        asker = np.concatenate([c for c, _ in asking])
-        near, owner = np.concatenate([x for _, x in block]), np.concatenate([c for c, _ in block])
-        for at in range(0, len(ask), 256):
-            score = ask[at : at + 256] @ near.T
-            if score.shape[1] > k + 1:
-                chosen = np.argpartition(-score, k, axis=1)[:, : k + 1]
-            else:
-                chosen = np.broadcast_to(np.arange(score.shape[1]), score.shape)
-            row = np.repeat(np.arange(len(score)), chosen.shape[1])
-            column = chosen.reshape(-1)
-            exact = (ask[at + row] * near[column]).sum(1)
-            yield pa.RecordBatch.from_arrays([pa.array(asker[at + row]), pa.array(owner[column]), pa.array(exact)], ["query", "class", "score"])
+    index = index.join(cuts, region).select(*region, of("parts").alias("part"), every("lots").alias("lot"), F.lit(False).alias("ask"), "cells", "class", "vec")
+    queries = queries.join(cuts, region).select(*region, every("parts").alias("part"), of("lots").alias("lot"), F.lit(True).alias("ask"), "cells", "class", "vec")
+    keys = ["tab", "region", "part", "lot"]
 
     def run(batches):
-        key, sides = None, ([], [])
+        key, held, block = None, [], None
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -196,17 +269,24 @@ def compared(index: DataFrame, queries: DataFrame, k: int) -> DataFrame:
             asks = batch.column("ask").to_numpy(zero_copy_only=False)
             changed = (names[1:] != names[:-1]).any(1) | (asks[1:] != asks[:-1])
             cuts = [0, *(np.flatnonzero(changed) + 1).tolist(), len(names)]
-            classes, vectors = batch.column("class").to_numpy(), matrix(batch.column("vec"))
             for a, b in zip(cuts, cuts[1:]):
-                own = tuple(names[a])
-                if own != key:
-                    yield from best(*sides)
-                    key, sides = own, ([], [])
-                sides[0 if asks[a] else 1].append((classes[a:b], vectors[a:b]))
-        yield from best(*sides)
+                rows = batch.slice(a, b - a)
+                if tuple(names[a]) != key:
+                    key, held, block = tuple(names[a]), [], None
+                lists, classes, vectors = rows.column("cells"), rows.column("class").to_numpy(), matrix(rows.column("vec"))
+                cells = lists.flatten().to_numpy()
+                if not asks[a]:
+                    held.append((cells, classes, vectors))
+                    continue
+                if block is None and held:
+                    block, held = Block(*(np.concatenate(x) for x in zip(*held))), []
+                if block is not None:
+                    answer = block.answer(classes, vectors, lists.value_lengths().to_numpy(), cells, k)
+                    if answer is not None:
+                        yield answer
 
     both = index.unionByName(queries).repartition(*keys).sortWithinPartitions(*keys, "ask")
-    found = both.select(*keys, "ask", "class", "vec").mapInArrow(run, "query long, class long, score double")
+    found = both.select(*keys, "ask", "cells", "class", "vec").mapInArrow(run, "query long, class long, score double")
     found = found.groupBy("query", "class").agg(F.max("score").alias("score"))
     order = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     return found.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= k + 1).drop("place")
@@ -239,13 +319,15 @@ def nearest(
     asking = rows.filter("asks").select("id", "vec").distinct()
     asking = stage(asking.join(classes.select("vec", "class"), "vec").select(F.col("id").alias("query_id"), "class"), "queries")
     asked = classes.join(asking.select("class").distinct(), "class", "left_semi")
-    index = hashed(classes, hashing, tables, None)
-    found = stage(compared(index, hashed(asked, hashing, tables, probes or hashing.probes), k), "found")
+    probes = min(probes or hashing.probes, hashing.cells)
+    tables = 1 if probes == hashing.cells else tables
+    found = compared(hashed(classes, hashing, tables, None), hashed(asked, hashing, tables, probes), hashing.part, k)
+    found = stage(found, "found")
     held = classes.select("class", F.size("ids").alias("held"))
     counts = found.join(held, "class").groupBy("query").agg(F.sum("held").alias("held")).filter(F.col("held") > k)
     short = asked.join(counts.select(F.col("query").alias("class")), "class", "left_anti")
-    if hashing.probes < hashing.cells and not short.isEmpty():
-        whole = compared(hashed(classes, hashing, 1, None), hashed(short, hashing, 1, hashing.cells), k)
+    if probes < hashing.cells and not short.isEmpty():
+        whole = compared(hashed(classes, hashing, 1, None), hashed(short, hashing, 1, hashing.cells), hashing.part, k)
         found = stage(found.unionByName(whole).groupBy("query", "class").agg(F.max("score").alias("score")), "found")
 
     members = found.join(classes.select("class", "ids"), "class").select("query", "score", F.explode("ids").alias("vec_id"))
