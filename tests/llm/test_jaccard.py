@@ -65,7 +65,7 @@ def near_copies():
     return rows + [(100, rows[0][1]), (100, None), (101, ""), (300, None)]
 
 
-@pytest.mark.parametrize("kwargs", [{}, {"chunk_grams": 200, "split_run": 3}, {"chunk_grams": 40}])
+@pytest.mark.parametrize("kwargs", [{}, {"chunk_grams": 200, "split_run": 3}, {"chunk_grams": 40}, {"chunk_rows": 3}, {"chunk_rows": 2, "chunk_grams": 60}])
 def test_small_cases_in_one_and_many_chunks(spark, kwargs):
     docs = spark.createDataFrame(near_copies(), "doc_id long, text string").repartition(4)
     assert found(jaccard.jaccard_components(docs, **kwargs)) == brute(near_copies())

@@ -15,8 +15,8 @@ multiplied, and within them pairs that their sizes rule out are left out:
 3. Candidates are multiplied in blocks: the pivot's row with all rows, and the rows it
    isn't linked with with the whole block. Overlap counts add up over the columns, and what
    stays under the bound of both sizes is dropped. A spanning set of the links leaves the
-   block. Large blocks are cut into chunks that all get the pivot; rows that it isn't linked
-   with then meet the other chunks, too. This is done twice: first every document with its
+   block. Blocks of many n-grams or rows are cut into chunks that all get the pivot; rows that it
+   isn't linked with then meet the other chunks, too, in lots of the same size. This is done twice: first every document with its
    smallest pivot alone, which joins most groups; then all candidates that are still apart.
 4. Links become components by minimum labels and pointer jumping.
 
@@ -57,8 +57,8 @@ PAIRED = 32
 SHARED_STEP = 50
 #: N-grams that a task counts at a time.
 COUNT_BUFFER = 4 << 20
-#: N-grams in a chunk of a block, and documents of a column from which its run is split.
-CHUNK_GRAMS = 1 << 20
+#: N-grams and rows in a chunk of a block, and documents of a column from which its run is split.
+CHUNK_GRAMS, CHUNK_ROWS = 1 << 20, 1024
 SPLIT_RUN = 50_000
 
 ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x85EBCA77C2B2AE63], np.uint64)
@@ -416,16 +416,20 @@ def _edge_batch(a, b, chunk, far) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip((a, b, chunk, far), kinds)], ["a", "b", "chunk", "far"])
 
 
-def link_edges(docs: DataFrame, members: DataFrame, threshold: int, chunk_grams: int, text: str = "text") -> DataFrame:
+def link_edges(
+    docs: DataFrame, members: DataFrame, threshold: int, chunk_grams: int, chunk_rows: int, text: str = "text"
+) -> DataFrame:
     """``(a, b)``: links between representatives that span every linked group.
 
-    ``members`` has ``(pivot, doc_id, n)`` with representatives' ids, pivots included.
+    ``members`` has ``(pivot, doc_id, n)`` with representatives' ids, pivots included. Blocks
+    are cut into chunks, and the rows that meet other chunks into lots, both by n-grams and rows.
     """
-    sizes = members.groupBy("pivot").agg(F.ceil(F.sum("n") / chunk_grams).alias("chunks"))
+    pieces = F.greatest(F.ceil(F.sum("n") / chunk_grams), F.ceil(F.count("*") / chunk_rows))
+    sizes = members.groupBy("pivot").agg(pieces.alias("chunks"))
     dealt = members.join(sizes, "pivot").withColumn("flag", F.col("doc_id") == F.col("pivot"))
     every = F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)
     one = F.array(F.pmod(F.xxhash64("doc_id"), F.col("chunks")))
-    dealt = dealt.select("pivot", "chunks", "doc_id", "flag", F.explode(F.when(F.col("flag"), every).otherwise(one)).alias("chunk"))
+    dealt = dealt.select("pivot", "chunks", "doc_id", "n", "flag", F.explode(F.when(F.col("flag"), every).otherwise(one)).alias("chunk"))
     dealt = stage(dealt, "blocks")
     # Members grow with the documents, so their texts are joined in the same way at every size.
     texts = docs.select("doc_id", text).hint("merge")
@@ -450,7 +454,9 @@ def link_edges(docs: DataFrame, members: DataFrame, threshold: int, chunk_grams:
 
     # Rows that a pivot of several chunks isn't linked with meet every other chunk.
     lots = dealt.filter("chunks > 1")
-    far = far.distinct().withColumn("lot", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(64)))
+    far = stage(far.distinct().join(lots.filter(~F.col("flag")).select("pivot", "doc_id", "n"), ["pivot", "doc_id"]), "far")
+    far = far.join(far.groupBy("pivot").agg(pieces.alias("lots")), "pivot")
+    far = far.withColumn("lot", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.col("lots"))).select("pivot", "doc_id", "own", "lot")
     pairs = lots.select("pivot", "chunk").distinct().join(far.select("pivot", "lot").distinct(), "pivot")
     rows = pairs.join(lots.filter(~F.col("flag")), ["pivot", "chunk"]).select("pivot", "chunk", "lot", "doc_id", F.lit(False).alias("flag"))
     asking = pairs.join(far, ["pivot", "lot"]).filter("own != chunk")
@@ -499,6 +505,7 @@ def jaccard_components(
     text: str = "text",
     chunk_grams: int = CHUNK_GRAMS,
     split_run: int = SPLIT_RUN,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every row."""
     spark = docs.sparkSession
@@ -520,7 +527,7 @@ def jaccard_components(
 
     smallest = F.min(F.struct("pivot_n", "pivot", "n")).alias("s")
     nearest = found.groupBy("doc_id").agg(smallest).select("doc_id", "s.*")
-    edges = link_edges(docs, blocks(nearest), threshold, chunk_grams, text)
+    edges = link_edges(docs, blocks(nearest), threshold, chunk_grams, chunk_rows, text)
 
     label = components(edges)
     of_pivot = label.select(F.col("doc_id").alias("pivot"), F.col("component_id").alias("y"))
@@ -529,7 +536,7 @@ def jaccard_components(
     apart = placed.filter("not paired").groupBy("pivot").agg(F.max(F.col("x") != F.col("y")).alias("apart")).filter("apart")
     lots = placed.filter("not paired").join(apart, "pivot", "left_semi")
     rest = placed.filter("paired and x <> y").unionByName(lots).select("pivot", "doc_id", "pivot_n", "n")
-    edges = edges.unionByName(link_edges(docs, blocks(stage(rest, "apart")), threshold, chunk_grams, text))
+    edges = edges.unionByName(link_edges(docs, blocks(stage(rest, "apart")), threshold, chunk_grams, chunk_rows, text))
 
     # Classes of one doc_id are one document's.
     shared = sized.groupBy("doc_id").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x < y")
