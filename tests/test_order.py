@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from vidpulse.operators import order
 from vidpulse.operators.order import (
     approx_quantile,
     exact_quantiles,
@@ -153,3 +154,13 @@ def test_first_rows_are_sorted_at_every_size(spark):
     text = df.select(F.col("a").cast("string").alias("a"), "id")
     rows = [tuple(r) for r in take_smallest(text, 40, ["a"]).collect()]
     assert rows == sorted(tuple(r) for r in text.collect())[:40]
+
+
+@pytest.mark.parametrize("n", [1, 5, 11, 20, 27, 30, 99])
+def test_best_rows_of_any_number(spark, monkeypatch, n):
+    values = [None, None, float("nan"), float("nan"), float("inf"), float("-inf"), 2.0] + [float(i % 4) for i in range(20)]
+    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "v double, i int")
+    expected = df.orderBy(F.col("v").desc_nulls_last(), "i").limit(n).collect()
+    monkeypatch.setattr(order, "REPORT_ROWS", 4)
+    found = order.take_best(df, n, "v", ["i"])
+    assert list(map(str, found.collect())) == list(map(str, expected))

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -24,6 +26,51 @@ def test_describe_text(spark):
     assert (rows["y"]["count"], rows["y"]["unique"], rows["y"]["top"]) == (0, 0, None)
 
 
+def plain_text_profile(column, values):
+    held = [v for v in values if v is not None]
+    counts = Counter(held)
+    top = min(counts, key=lambda v: (-counts[v], v), default=None)
+    return {"column": column, "count": len(held), "unique": len(counts), "top": top, "freq": counts.get(top)}
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 4096])
+def test_describe_text_against_plain_counts(spark, monkeypatch, buckets):
+    monkeypatch.setattr(profiling, "BUCKETS", buckets)
+    monkeypatch.setattr(profiling, "FIRST_BUCKETS", 2)
+    rng = np.random.default_rng(5)
+    columns = {
+        "keys": [f"k{i}" for i in range(3000)],
+        "pairs": [f"p{i // 2}" for i in range(3000)],
+        "heavy": ["x" if rng.random() < 0.4 else f"v{i}" for i in range(3000)],
+        "tied": [f"t{i % 5}" for i in range(3000)],
+        "odd": [None if i % 3 else ("" if i % 2 else "ü") for i in range(3000)],
+        "none": [None] * 3000,
+    }
+    rows = list(zip(*columns.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+    found = {r["column"]: r.asDict() for r in profiling.describe_text(df).collect()}
+    assert found == {c: plain_text_profile(c, v) for c, v in columns.items()}
+    near = {r["column"]: r.asDict() for r in profiling.describe_text(df, exact_unique=False).collect()}
+    for name, row in near.items():
+        exact = found[name]
+        assert abs(row.pop("unique") - exact["unique"]) <= 0.1 * exact["unique"]
+        assert row == {k: v for k, v in exact.items() if k != "unique"}
+
+
+def test_a_frequent_value_spares_the_others_the_count(spark):
+    values = spark.range(20_000).select(F.when(F.col("id") % 4 == 0, "x").otherwise(F.col("id").cast("string")).alias("v"))
+    sizes = profiling._bucket_sizes(profiling._text_pairs(values, ["v"])).collect()
+    assert len(sizes) <= profiling.BUCKETS
+    assert [r["rows"] for r in sizes if r["rows"] >= 5000] == [max(r["rows"] for r in sizes)]
+
+
+def test_describe_text_of_no_rows(spark):
+    df = spark.createDataFrame([], "a string, b string")
+    for exact in (True, False):
+        found = {r["column"]: r.asDict() for r in profiling.describe_text(df, exact_unique=exact).collect()}
+        assert found == {c: {"column": c, "count": 0, "unique": 0, "top": None, "freq": None} for c in "ab"}
+
+
 def test_nulls_and_duplicates(spark):
     df = spark.createDataFrame([(1, None), (1, None), (2, "x"), (None, "x")], "a int, b string")
     assert {r["column"]: r["nulls"] for r in profiling.null_profile(df).collect()} == {"a": 1, "b": 2}
@@ -50,8 +97,6 @@ def test_rates_range_days_and_shape(spark):
     assert {r["flag"]: r["percent"] for r in profiling.interaction_rates(df).collect()} == {
         "is_click": 66.67, "is_like": 33.33,
     }
-    assert profiling.column_types(df) == [("is_click", "int"), ("is_like", "int")]
-    assert profiling.head(df, 2).count() == 2
     counts = profiling.table_counts({"a": df, "b": df.limit(1)}).collect()
     assert [(r["table_name"], r["rows"], r["columns"]) for r in counts] == [("a", 3, 2), ("b", 1, 2)]
 

@@ -22,8 +22,7 @@ def test_sample_has_the_exact_size_and_is_repeatable(spark):
     other = sampling.sample_n(logs(spark), 1234, "event_id", 7)
     assert other.intersect(plain).count() < 800
     assert sampling.sample_n(logs(spark), 5000, "event_id").count() == 3000
-    assert sampling.sample_if_larger(logs(spark), 5000, "event_id") is None
-    assert sampling.sample_if_larger(logs(spark), 5, "event_id").count() == 5
+    assert sampling.sample_n(logs(spark), 5, "event_id").count() == 5
 
 
 def test_sample_of_copies_keeps_its_size(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from vidpulse.functions import finite_or_null, lenient
 from vidpulse.operators.order import exact_quantiles, with_global_rank
-from vidpulse.operators.scoring import by_score, hot_only
+from vidpulse.operators.scoring import best_scores, by_score, hot_only
 from vidpulse.schemas import (
     CACHE,
     DECISION_REASONS,
@@ -148,13 +148,13 @@ def top_cached(all_hot: DataFrame, n: int = 20) -> DataFrame:
     """The n best HOT records."""
     if n < 1:
         raise ValueError("n must be at least 1")
-    return all_hot.orderBy(*by_score()).limit(n).select(*TOP_CACHED_COLUMNS)
+    return best_scores(all_hot, n).select(*TOP_CACHED_COLUMNS)
 
 
 def top_decided(recommendations: DataFrame, n: int = 20) -> DataFrame:
     """Chart table: the best CACHE rows."""
     cached = recommendations.filter(F.col("cache_decision") == CACHE)
-    return cached.orderBy(*by_score()).limit(n).select("video_id", "window_start", "hot_score")
+    return best_scores(cached.select("video_id", "window_start", "hot_score"), n)
 
 
 def all_hot(predictions: DataFrame) -> DataFrame:

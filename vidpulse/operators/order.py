@@ -26,6 +26,7 @@ FINISH_ROWS = 10_000  # rows in question that are counted by value in the last p
 RANGE_ROWS = 250_000  # rows of one sorted range of a global rank
 MAX_RANGES = 20_000  # ranges of a global rank; their starts enter the plan as one literal
 BLOCK_ROWS = 10_000  # consecutive rows of a running sum that are added up together
+REPORT_ROWS = 10_000  # first rows that one task merges; of more, only a filter is left
 MAX_BLOCKS = 1_000_000  # blocks of a running sum; their totals (about 40 bytes) are broadcast
 
 
@@ -251,6 +252,23 @@ def _first(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
     return df.filter(number < cut).unionByName(_first(df.filter(number == cut), missing, keys[1:]))
 
 
+def take_best(df: DataFrame, n: int, by: str, ties: Sequence[Column | str]) -> DataFrame:
+    """The ``n`` rows with the greatest ``by`` (nulls last), best first; equal ones in the order of ``ties``.
+
+    Up to ``REPORT_ROWS`` every task keeps its own n best and one task merges them. For more,
+    rows below the n-th best value are filtered out, and only the others are ranked, so
+    no task gathers them; ``df`` is written once for that.
+    """
+    order = [F.col(by).desc_nulls_last(), *ties]
+    if n <= REPORT_ROWS:
+        return df.orderBy(*order).limit(n)
+    rows = stage(df, "best")
+    valid = _bounds(rows, [by])[by].valid
+    if n < valid:
+        rows = rows.filter(F.col(by) >= F.lit(kth_smallest(rows, by, valid - n)))
+    return with_global_rank(rows, order, "_place").filter(F.col("_place") <= n).orderBy("_place").drop("_place")
+
+
 def with_global_rank(
     df: DataFrame, order: Sequence[Column | str], name: str = "rank", partitions: int | None = None
 ) -> DataFrame:

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vidpulse.functions import clamp, ratio
 from vidpulse.operators.order import exact_quantiles
+from vidpulse.session import stage
 
+#: Hash buckets of a column's values, and how many of the largest are counted first.
+BUCKETS = 4_096
+FIRST_BUCKETS = 16
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
 
@@ -47,14 +51,6 @@ def table_counts(tables: dict[str, DataFrame]) -> DataFrame:
     return result
 
 
-def column_types(df: DataFrame) -> list[tuple[str, str]]:
-    return df.dtypes
-
-
-def head(df: DataFrame, n: int = 5) -> DataFrame:
-    return df.limit(n)
-
-
 def describe_numeric(
     df: DataFrame,
     columns: Sequence[str] | None = None,
@@ -92,29 +88,68 @@ def describe_numeric(
     return _long(row, [F.col(f"d{i}") for i in range(len(names))])
 
 
-def describe_text(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Count, distinct values, the most frequent value and its frequency.
+def _text_pairs(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """(column, value) of every value that is not null, as text."""
+    pairs = (F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names)
+    return df.select(F.inline(F.array(*pairs))).filter(F.col("value").isNotNull())
+
+
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("value"), F.lit(BUCKETS)).cast("int").alias("bucket")
+
 
-    All columns are turned into (column, value) rows inside the task that reads
-    them and counted together; each task sends one row per distinct value. Equal
-    frequencies go to the smaller value.
+def _bucket_sizes(pairs: DataFrame) -> DataFrame:
+    return pairs.groupBy("column", _bucket()).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def frequent_values(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """``column, top, freq``: the most frequent value of each column; equal frequencies go to the smaller value.
+
+    Exact in three passes. The first counts rows per hash bucket, so a task sends at most
+    ``BUCKETS`` rows for a column. The second counts the values of the ``FIRST_BUCKETS``
+    largest buckets. A value can't be more frequent than its bucket, so the third counts
+    only buckets that hold as many rows as the best value so far: none or few where a value
+    stands out, all where no value does. A column without a value has no row.
+    """
+    pairs = _text_pairs(df, names)
+    sizes = stage(_bucket_sizes(pairs), "buckets")
+    # A column has at most BUCKETS rows here, whatever the table holds.
+    largest = Window.partitionBy("column").orderBy(F.col("rows").desc(), "bucket")
+    placed = sizes.withColumn("place", F.row_number().over(largest))
+
+    def best(buckets: DataFrame) -> DataFrame:
+        # At most BUCKETS pairs of numbers for a column.
+        chosen = pairs.withColumn("bucket", _bucket()).join(F.broadcast(buckets), ["column", "bucket"], "left_semi")
+        counted = chosen.groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
+        first = F.min(F.struct((-F.col("n")).alias("below"), F.col("value").alias("top"))).alias("first")
+        return counted.groupBy("column").agg(first).select("column", "first.*")
+
+    found = stage(best(placed.filter(F.col("place") <= FIRST_BUCKETS).select("column", "bucket")), "frequent")
+    rest = placed.filter(F.col("place") > FIRST_BUCKETS).join(F.broadcast(found), "column")
+    rest = rest.filter(F.col("rows") >= -F.col("below")).select("column", "bucket")
+    first = F.min(F.struct("below", "top")).alias("first")
+    both = found.unionByName(best(rest)).groupBy("column").agg(first)
+    return both.select("column", "first.top", (-F.col("first.below")).alias("freq"))
+
+
+def describe_text(df: DataFrame, columns: Sequence[str] | None = None, exact_unique: bool = True) -> DataFrame:
+    """Count, distinct values, the most frequent value and its frequency (see ``frequent_values``).
+
+    Distinct values are counted by fingerprints of 128 bits, 16 bytes for each distinct value
+    of a task; without ``exact_unique`` by a sketch of bounded size with some 5 % of error.
     """
     names = list(columns or [c for c in df.columns if c not in numeric_columns(df)])
-    pairs = df.select(
-        F.explode(
-            F.array(
-                *(F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in names)
-            )
-        ).alias("p")
-    ).select("p.*")
-    counted = pairs.groupBy("column", "value").agg(F.count("value").alias("n"))
-    best = F.min(F.when(F.col("value").isNotNull(), F.struct((-F.col("n")).alias("n"), "value")))
-    return counted.groupBy("column").agg(
-        F.sum("n").alias("count"),
-        F.count("value").alias("unique"),
-        best["value"].alias("top"),
-        (-best["n"]).alias("freq"),
-    )
+    held = [F.struct(F.lit(c).alias("column"), F.count(c).alias("count")).alias(f"d{i}") for i, c in enumerate(names)]
+    counts = _long(df.agg(*held), [F.col(f"d{i}") for i in range(len(names))])
+    pairs = _text_pairs(df, names)
+    if exact_unique:
+        first, second = fingerprint(["value"])
+        distinct = pairs.groupBy("column", first.alias("_a"), second.alias("_b")).agg(F.lit(1).alias("_one"))
+        unique = distinct.groupBy("column").agg(F.count(F.lit(1)).alias("unique"))
+    else:
+        unique = pairs.groupBy("column").agg(F.approx_count_distinct("value").alias("unique"))
+    rows = counts.join(unique, "column", "left").join(frequent_values(df, names), "column", "left")
+    return rows.select("column", "count", F.coalesce("unique", F.lit(0)).alias("unique"), "top", "freq")
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from vidpulse.functions import time_text
 from vidpulse.operators.order import ranked_rows, with_global_rank, with_running_sums
 from vidpulse.operators.sampling import draw_rows
-from vidpulse.operators.scoring import by_score
+from vidpulse.operators.scoring import best_scores
 from vidpulse.schemas import (
     CACHE,
     CACHE_HIT,
@@ -55,7 +55,7 @@ def top_videos(policy: DataFrame, k: int = 5) -> DataFrame:
     """The k best videos of a policy."""
     if k < 1:
         raise ValueError("k must be at least 1")
-    return policy.orderBy(*by_score()).limit(k)
+    return best_scores(policy, k)
 
 
 def serve_requests(requests: DataFrame, policy: DataFrame) -> DataFrame:

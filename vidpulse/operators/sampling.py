@@ -41,11 +41,6 @@ def sample_n(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame:
     return smallest(near if near.count() >= n else drawn)
 
 
-def sample_if_larger(df: DataFrame, n: int, key: str, seed: int = 42) -> DataFrame | None:
-    """The sample, or None when the table has fewer than ``n`` rows."""
-    return None if df.count() < n else sample_n(df, n, key, seed)
-
-
 def sample_keys(df: DataFrame, column: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` distinct values of a column; the distinct values are worked out once."""
     return sample_n(stage(df.select(column).distinct(), "keys"), n, column, seed)

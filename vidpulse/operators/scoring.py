@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidpulse.functions import finite_or_null
-from vidpulse.operators.order import approx_quantile, exact_quantiles
+from vidpulse.operators.order import approx_quantile, exact_quantiles, take_best
 from vidpulse.schemas import HOT, HOT_COLUMNS, HOT_QUANTILE, NOT_HOT, PREDICTION_COLUMNS, ScoreWeights
 from vidpulse.sources.tables import require_columns
 
@@ -134,18 +134,25 @@ def hot_only(predictions: DataFrame) -> DataFrame:
     return predictions.filter(F.col("hot_label") == HOT).select(*HOT_COLUMNS)
 
 
+#: Order of rows of the same score.
+SCORE_TIES = ("video_id", "window_start")
+
+
 def by_score() -> list[Column]:
     """Best score first; ties by video and window."""
-    return [F.col("hot_score").desc_nulls_last(), F.col("video_id"), F.col("window_start")]
+    return [F.col("hot_score").desc_nulls_last(), *map(F.col, SCORE_TIES)]
+
+
+def best_scores(rows: DataFrame, n: int) -> DataFrame:
+    """The n rows of the best score."""
+    return take_best(rows, n, "hot_score", SCORE_TIES)
 
 
 def top_hot(predictions: DataFrame, n: int = 20, only_hot: bool = True) -> DataFrame:
     rows = hot_only(predictions) if only_hot else predictions.select(*HOT_COLUMNS)
-    return rows.orderBy(*by_score()).limit(n)
+    return best_scores(rows, n)
 
 
 def top_features(features: DataFrame, n: int = 20) -> DataFrame:
     """Preview by views, then growth."""
-    return features.orderBy(
-        F.col("views_count").desc(), F.col("growth_rate").desc(), "video_id", "window_start"
-    ).limit(n)
+    return take_best(features, n, "views_count", [F.col("growth_rate").desc(), *SCORE_TIES])

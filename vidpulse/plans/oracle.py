@@ -515,6 +515,15 @@ SELECT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, watch
 FROM dirty_log WHERE user_id IS NOT NULL AND video_id IS NOT NULL AND duration > 0 AND watch_time >= 0
   AND watch_time <= duration""",
     ),
+    "csv_clean_strict": _with(
+        ("dirty_log",),
+        """
+SELECT TRY_CAST(event_time AS TIMESTAMP) AS event_time, user_id, video_id, watch_time, duration,
+       watch_time / duration AS watch_ratio, is_click, is_like, is_share
+FROM dirty_log WHERE user_id IS NOT NULL AND video_id IS NOT NULL AND duration > 0 AND watch_time >= 0
+  AND watch_time <= duration""",
+    ),
+    "csv_published": _with(("video_log",), "SELECT * FROM video_log"),
     "clean_strict_text": _with(
         ("dirty_log",),
         """
@@ -538,8 +547,21 @@ FROM source_log WHERE event_id % 101 <> 0 AND duration_ms > 0""",
 FROM (SELECT CASE WHEN o_orderkey % 97 = 0 THEN 'NaN'::DOUBLE WHEN o_orderkey % 89 = 0 THEN 'inf'::DOUBLE
                   WHEN o_orderkey % 83 = 0 THEN '-inf'::DOUBLE ELSE o_totalprice END AS price FROM orders)""",
     "rank_many_ranges": "SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place FROM orders",
-    "hot_quantile_approx": "SELECT true AS within",
-    "hot_max_approx": "SELECT true AS within",
+    "hot_quantile_approx": _with(
+        ("predictions",),
+        f"""
+SELECT any_value(n) AS rows, {_r("max(hot_score) FILTER (place = greatest(1, 989 * n // 1000))")} AS low,
+       {_r("max(hot_score) FILTER (place = least(n, (991 * n + 999) // 1000))")} AS high, true AS within
+FROM (SELECT hot_score, row_number() OVER (ORDER BY hot_score) AS place, count(*) OVER () AS n FROM predictions)""",
+    ),
+    "hot_max_approx": _with(
+        ("predictions",),
+        f"""
+SELECT count(*) AS rows, count(*) FILTER (score > high) AS hot_above, count(*) FILTER (score < low) AS other_below
+FROM (SELECT score, max(score) FILTER (place = greatest(1, 989 * n // 1000)) OVER () AS low,
+             max(score) FILTER (place = least(n, (991 * n + 999) // 1000)) OVER () AS high
+      FROM (SELECT {_r("hot_score")} AS score, row_number() OVER (ORDER BY hot_score) AS place, count(*) OVER () AS n FROM predictions))""",
+    ),
     "clean_clamp": _with(
         ("dirty_log",),
         """
@@ -720,6 +742,14 @@ FROM (SELECT video_id, 0 AS added FROM video_log UNION ALL SELECT video_id, 1 FR
             _text_profile("o_orderdate", "(SELECT CAST(o_orderdate AS DATE) AS o_orderdate FROM orders)"),
         ]
     ),
+    "describe_text_keys": "\nUNION ALL ".join(
+        _text_profile(c, "(SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,"
+                      " CASE WHEN o_orderkey % 4 > 0 THEN CAST(o_custkey AS VARCHAR) ELSE '-1' END AS often FROM orders)")
+        for c in ("o_orderkey", "o_custkey", "often")
+    ),
+    "top_many": """
+SELECT l_orderkey, l_linenumber, l_extendedprice FROM lineitem
+ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber LIMIT 40000""",
     "null_profile": _with(
         ("dirty_log",),
         "SELECT * FROM (" + "\nUNION ALL ".join(

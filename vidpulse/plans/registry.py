@@ -10,15 +10,15 @@ from pyspark.sql import functions as F
 
 from vidpulse.operators import caching, cleaning, features, panes, profiling, replay, sampling, scoring
 from vidpulse.operators.incremental import HotStore
-from vidpulse.operators.order import approx_quantile, exact_quantiles, with_global_rank
+from vidpulse.operators.order import approx_quantile, exact_quantiles, kth_values, take_best, with_global_rank
 from vidpulse.plans import inputs
 from vidpulse.plans.inputs import DAY, NTZ, table
 from vidpulse.schemas import HOT, HOT_QUANTILE, LOG_COLUMNS, REQUEST_SCAN_ROWS, STATIC_THRESHOLD, WATCHLIST_QUANTILE
 from vidpulse.session import hadoop_path, shared_folder, stage
 from vidpulse.sources import topic
 from vidpulse.sources.manifest import peek_files
-from vidpulse.sources.sinks import write_topic
-from vidpulse.sources.tables import read_table
+from vidpulse.sources.sinks import publish, write_table, write_topic
+from vidpulse.sources.tables import read_csv, read_csv_text, read_table
 from vidpulse.sources.tables import replay as replay_log
 from vidpulse.sources.tables import scan
 from vidpulse.streaming.features import stream_cells
@@ -66,6 +66,24 @@ def replay_head(spark, d):
     return replay_log(inputs.video_log(spark, d), 5000)
 
 
+@query
+def csv_published(spark, d):
+    """The log published as CSV over an older version of it, read with its schema."""
+    path = f"{_folder(spark, 'csv')}/log"
+    logs = inputs.video_log(spark, d)
+    publish(logs.filter(F.col("event_id") % 2 == 0), path, fmt="csv")
+    publish(logs, path, fmt="csv")
+    return read_csv(spark, path, logs.schema)
+
+
+@query
+def csv_clean_strict(spark, d):
+    """The dirty log from CSV, every field as text, through the strict cleaner."""
+    path = f"{_folder(spark, 'csv')}/log"
+    write_table(inputs.dirty_log(spark, d), path, fmt="csv")
+    return cleaning.clean_logs(read_csv_text(spark, path), "strict", NTZ)
+
+
 @query
 def to_messages(spark, d):
     return inputs.topic(spark, d).select(
@@ -398,30 +416,34 @@ def rank_many_ranges(spark, d):
     return with_global_rank(orders, [F.desc("o_totalprice"), "o_orderkey"], "place", max(1, orders.count() // 1000))
 
 
-def _rank_error(df, name, cut, q):
-    """How far the rank of a cut is from the wanted one, as a share of the rows."""
-    below, upto, n = df.agg(F.count_if(F.col(name) < cut), F.count_if(F.col(name) <= cut), F.count(name)).first()
-    return max(0.0, below - q * n, q * n - upto) / n
+def _rank_bounds(df):
+    """Rows, and the scores one thousandth of the rows below and above the HOT quantile."""
+    n, per_mille = df.count(), round(1000 * HOT_QUANTILE)
+    low, high = max(1, (per_mille - 1) * n // 1000), min(n, -(-(per_mille + 1) * n // 1000))
+    return n, *kth_values(df, [("hot_score", low - 1), ("hot_score", high - 1)])
 
 
 @query
 def hot_quantile_approx(spark, d):
-    """Whether the sketch's cut lies within its rank error."""
-    scored, _ = scoring.hot_scores(inputs.day_features(spark, d))
+    """The scores at the ends of the sketch's rank error, and whether its cut lies between them."""
+    scored = stage(scoring.hot_scores(inputs.day_features(spark, d))[0].select("hot_score"), "scored")
     cut = approx_quantile(scored, "hot_score", HOT_QUANTILE, 0.001)
-    return spark.range(1).select(F.lit(_rank_error(scored, "hot_score", cut, HOT_QUANTILE) <= 0.001).alias("within"))
+    rows, low, high = _rank_bounds(scored)
+    ends = spark.createDataFrame([(rows, low, high, low <= cut <= high)], "rows bigint, low double, high double, within boolean")
+    return ends.withColumns({c: F.round(c, PLACES) for c in ("low", "high")})
 
 
 @query
 def hot_max_approx(spark, d):
-    """Whether the share of HOT rows lies within the sketch's rank error, and all other rows score less."""
+    """HOT rows above the sketch's rank error and other rows below it: all that there are."""
     rows = stage(inputs.predictions(spark, d, threshold="approx"), "approx")
-    cut, most = rows.agg(
-        F.min(F.when(F.col("predicted_hot") == 1, F.col("hot_score"))),
-        F.max(F.when(F.col("predicted_hot") == 0, F.col("hot_score"))),
-    ).first()
-    within = most < cut and _rank_error(rows, "hot_score", cut, HOT_QUANTILE) <= 0.001
-    return spark.range(1).select(F.lit(within).alias("within"))
+    _, low, high = _rank_bounds(rows)
+    score, hot = F.round("hot_score", PLACES), F.col("predicted_hot") == 1
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(hot & (score > F.round(F.lit(high), PLACES))).alias("hot_above"),
+        F.count_if(~hot & (score < F.round(F.lit(low), PLACES))).alias("other_below"),
+    )
 
 
 @query
@@ -641,6 +663,22 @@ def describe_text(spark, d):
     )
 
 
+@query
+def describe_text_keys(spark, d):
+    """Columns of many values: a key, a shared one, and one in which a value stands out."""
+    orders = table(spark, d, "orders")
+    often = F.when(F.col("o_orderkey") % 4 > 0, F.col("o_custkey")).otherwise(-1).cast("string")
+    keys = [F.col(c).cast("string").alias(c) for c in ("o_orderkey", "o_custkey")]
+    return profiling.describe_text(orders.select(*keys, often.alias("often")))
+
+
+@query
+def top_many(spark, d):
+    """More first rows than one task merges."""
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return take_best(lines, 40_000, "l_extendedprice", ["l_orderkey", "l_linenumber"])
+
+
 @query
 def null_profile(spark, d):
     return profiling.null_profile(inputs.dirty_log(spark, d))

@@ -26,6 +26,13 @@ class RunReport:
         return self.rows / self.seconds if self.seconds > 0 else 0.0
 
 
+#: Microseconds are kept; Spark's own formats end at milliseconds.
+CSV_TIMES = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 class EmptyResult(RuntimeError):
     """A publish was refused because the result has no rows."""
 
@@ -37,7 +44,7 @@ def write_table(
     began = time.monotonic()
     writer = df.observe(rows, F.count(F.lit(1)).alias("rows")).write.format(fmt).mode(mode)
     if fmt == "csv":
-        writer = writer.option("header", True)
+        writer = writer.option("header", True).options(**CSV_TIMES)
     (writer.partitionBy(partition_by) if partition_by else writer).save(path)
     return RunReport(rows.get.get("rows", 0), time.monotonic() - began)
 
