@@ -49,6 +49,25 @@ def test_licence_file_split_over_lines(spark):
     assert scan(spark, [("x/COPYING", broken), ("x/y", "z")])["x/y"].license == "BSD-3-Clause"
 
 
+TITLES = {
+    "AGPL-3.0": ("GNU AFFERO GENERAL PUBLIC LICENSE", "Version 3, 19 November 2007"),
+    "GPL-3.0": ("GNU GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"),
+    "GPL-2.0": ("GNU GENERAL PUBLIC LICENSE", "Version 2, June 1991"),
+    "LGPL-3.0": ("GNU LESSER GENERAL PUBLIC LICENSE", "Version 3, 29 June 2007"),
+    "LGPL-2.1": ("GNU LESSER GENERAL PUBLIC LICENSE", "Version 2.1, February 1999"),
+    "Apache-2.0": ("Apache License", "Version 2.0, January 2004"),
+}
+
+
+def test_texts_of_one_family_are_told_apart(spark):
+    rest = "\n\n Everyone is permitted to copy and distribute verbatim copies\n of this license document, but changing it is not allowed.\n"
+    rest += "\n  The licenses for most software and other practical works are designed\nto take away your freedom to share and change the works.\n" * 20
+    rows = [(f"{name}/COPYING", f"{' ' * 20}{one}\n{' ' * 23}{two}{rest}") for name, (one, two) in TITLES.items()]
+    rows += [(f"{name}/code.py", "x = 1") for name in TITLES]
+    found = scan(spark, rows)
+    assert {p: r.license for p, r in found.items()} == {p: p.split("/")[0] for p, _ in rows}
+
+
 def test_wrapped_headers(spark):
     code = "\n\nsome code of the module\n" + "x = compute(y)\n" * 200
     rows, expected = [], {}
