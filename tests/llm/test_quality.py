@@ -80,7 +80,7 @@ LAST = "By nightfall every barrel in the village was full to the brim."
 
 @pytest.mark.parametrize(
     "line",
-    ["Home | News | Sport | About", "a&&& b&&& c%%%", "BUY!! NOW!! CHEAP!!", "click here", "All rights reserved.", "next page"],
+    ["Home | News | Sport | About", "a&&& b&&& c%%%", "BUY!! NOW!! CHEAP!!", "click here", "All rights reserved.", "next page", "Tous droits réservés, la maison du port.", "En savoir plus : lire la suite de cet article.", "Diese Seite verwendet Cookies für Besucher.", "ALLE RECHTE VORBEHALTEN, der Verlag am Hafen.", "Lea nuestra política de privacidad antes de entrar.", "Síguenos en todas las redes."],
 )
 def test_bad_lines_are_removed(line):
     columns, cleaned = quality.judge(pa.array([f"{GOOD}\n{line}\n{MORE}\n\n{LAST}"]))
@@ -88,6 +88,12 @@ def test_bad_lines_are_removed(line):
     assert columns["kept"][0] and columns["n_removed_lines"][0] == 1
 
 
+def test_long_lines_keep_phrases_of_any_language():
+    line = "Le notaire lui fit lire la suite du testament, wo man weiterlesen konnte, y ella quiso leer más " + " ".join(["mot"] * 60) + "."
+    columns, cleaned = quality.judge(pa.array([f"{GOOD}\n{line}"]))
+    assert cleaned[0].as_py().endswith(line) and columns["n_removed_lines"][0] == 0
+
+
 def test_a_document_that_loses_too_much_goes():
     bad = "\n".join(f"w{i} | x{i} | y{i} | z{i}" for i in range(30))
     columns, _ = quality.judge(pa.array([f"{GOOD}\n{bad}"]))

@@ -43,7 +43,19 @@ BOILERPLATE = (
     r"(?i)(all rights reserved|terms of (use|service)|privacy policy|cookie (policy|settings|consent)"
     r"|use(s)? cookies|enable javascript|javascript is (disabled|required)|sign (in|up) (to|for|with)"
     r"|subscribe to (our|the)|newsletter|click here|read more|skip to (main )?content|lorem ipsum"
-    r"|follow us on|share (this )?on|page not found|powered by)"
+    r"|follow us on|share (this )?on|page not found|powered by"
+    # French
+    r"|tous droits réservés|politique de confidentialité|conditions (générales )?d['’]utilisation|mentions légales"
+    r"|(utilise|accepter) (tous )?(des |les )?cookies|active[rz] javascript|abonnez-vous|lire la suite|cliquez ici"
+    r"|connectez-vous|suivez-nous|aller au contenu|page introuvable|propulsé par"
+    # German
+    r"|alle rechte vorbehalten|datenschutzerklärung|nutzungsbedingungen|cookie-(einstellungen|richtlinie)"
+    r"|(verwendet|verwenden|akzeptieren) cookies|cookies akzeptieren|javascript aktivieren|jetzt abonnieren|weiterlesen"
+    r"|hier klicken|klicken sie hier|folgen sie uns|zum inhalt springen|seite nicht gefunden"
+    # Spanish
+    r"|todos los derechos reservados|política de (privacidad|cookies)|términos (de uso|del servicio|y condiciones)"
+    r"|aviso legal|(utiliza|utilizamos|aceptar) (las )?cookies|activ[ae]r? javascript|suscríbete|leer más|(haz|haga) clic aquí"
+    r"|inicia sesión|síguenos|saltar al contenido|página no encontrada)"
 )
 
 
