@@ -254,6 +254,18 @@ def iban_ends(found: str) -> list[int]:
     return [k for k, n in sorted(ends(found, " ", 15, 34), key=lambda x: x[1] != own)]
 
 
+def small_iban_ends(found: str) -> list[int]:
+    """In lower case only the length of a known country counts, since words may follow."""
+    own = IBAN_LENGTHS.get(found[:2].upper())
+    return [k for k, n in ends(found, " ", 15, 34) if n == own]
+
+
+def small_iban(found: str, move: Permute) -> str | None:
+    """As ``iban``, so both cases of a number are linked."""
+    fresh = iban(found.upper(), move)
+    return fresh and fresh.lower()
+
+
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
 DAYS = datetime.date(2100, 1, 1).toordinal() - FIRST_DAY
 
@@ -328,13 +340,32 @@ def key(found: str, move: Permute) -> str | None:
     return letters(found, move, "key")
 
 
+#: The name before a secret, up to its first character.
+NAMED = re.compile(r"""\w+["']?\s?[:=]\s?["']?""")
+
+
+def named_key(found: str, move: Permute) -> str | None:
+    """The secret behind its name and a colon or an equals sign; what is no letter or digit stays."""
+    start = NAMED.match(found).end()
+    return found[:start] + letters(found[start:], move, "key")
+
+
+def web_token(found: str, move: Permute) -> str | None:
+    """Three parts between dots; the first two go on beginning as encoded objects do."""
+    head, body, mark = found.split(".")
+    return ".".join([*(x[:3] + letters(x[3:], move, "token") for x in (head, body)), letters(mark, move, "token")])
+
+
 #: In this order: what an earlier one has taken, a later one does not see.
 FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
     ("email", r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)*\.[A-Za-z]{2,24}\b", email),
     ("key", r"\b(?:(?=[0-9a-f]*[a-f])(?=[0-9a-f]*[0-9])[0-9a-f]{32,128}|(?=[0-9A-F]*[A-F])(?=[0-9A-F]*[0-9])[0-9A-F]{32,128})\b", hex_key),
     ("key", r"(?<=\bAKIA)[0-9A-Z]{16}\b|(?<=\bghp_)[0-9A-Za-z]{36}\b|(?<=\bsk-)[0-9A-Za-z]{20,64}\b", key),
     ("key", r"(?:(?<=key=)|(?<=token=)|(?<=secret=)|(?<=password=)|(?<=passwd=)|(?<=pwd=))[0-9A-Za-z]{8,64}\b", key),
+    ("key", r"""(?<![A-Za-z0-9])(?:[Aa]pi|API)?(?:[Pp]assw(?:or)?d|PASSW(?:OR)?D|[Pp]wd|PWD|[Ss]ecret|SECRET|[Tt]oken|TOKEN|[Kk]ey|KEY)["']?\s?[:=]\s?["']?(?=[^\s"'&,;<>]{0,63}[0-9])[^\s"'&,;<>]{7,63}[0-9A-Za-z]""", named_key),
+    ("key", r"\beyJ[\w-]{8,4000}\.eyJ[\w-]{8,4000}\.[\w-]{8,4000}", web_token),
     ("iban", r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b", iban),
+    ("iban", r"\b[a-z]{2}[0-9]{2}(?: ?[a-z0-9]){11,30}\b", small_iban),
     ("date", r"(?<![\w./-])[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}(?!(?!T[0-9])[\w/-]|\.[0-9])", iso_date),
     ("date", r"(?<![\w./-])[0-9]{1,2}([-/.])[0-9]{1,2}\1[0-9]{4}(?!(?!T[0-9])[\w/-]|\.[0-9])", local_date),
     ("ip", r"(?<![\w.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z_]|\.[0-9])", ipv4),
@@ -346,10 +377,10 @@ FORMATS: tuple[tuple[str, str, Callable[[str, Permute], str | None]], ...] = (
 PATTERN = re.compile("|".join(f"(?P<f{k}>{p.replace(chr(92) + '1', f'(?P=m{k})').replace('([-/.])', f'(?P<m{k}>[-/.])')})" for k, (_, p, _) in enumerate(FORMATS) if k))
 EACH = [re.compile(p) for _, p, _ in FORMATS]
 #: Formats whose match may run on into what follows: the ends to try, in this order.
-ENDS = {card: card_ends, iban: iban_ends, foreign: foreign_ends}
+ENDS = {card: card_ends, iban: iban_ends, small_iban: small_iban_ends, foreign: foreign_ends}
 FIRST_GROUP = re.compile(r"\w+|\W")
 EMAIL = re.compile(FORMATS[0][1])
-HINT = re.compile(r"[0-9]")
+HINT = re.compile(r"[0-9=]")
 KINDS = tuple(dict.fromkeys(name for name, _, _ in FORMATS))
 
 
