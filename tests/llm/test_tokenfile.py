@@ -1,3 +1,4 @@
+import cProfile
 import io
 import zlib
 from pathlib import Path
@@ -35,6 +36,27 @@ def test_blocks_side_by_side(kinds):
         assert (there_and_back(ids.astype(np.uint32))[0] == ids).all()
 
 
+def test_coding_makes_few_calls_a_block():
+    """What Python does for single blocks is done once at their ends, not every few steps."""
+    ids = np.random.default_rng(4).zipf(1.2, (6000, 512)) % 3000
+    counts = np.sort(np.bincount(ids.reshape(-1), minlength=3000))[::-1] + 1
+    tables = tokenfile.Tables.of(ids.reshape(-1), counts)
+    calls = cProfile.Profile()
+    payloads = calls.runcall(tokenfile.code_blocks, ids, tables)
+    assert sum(x.callcount for x in calls.getstats()) < 8 * len(ids) + 100 * 512
+    assert (tokenfile.decode_blocks(payloads, 512, tables) == ids).all()
+
+
+def test_rows_of_words_grow():
+    """Ids that all but one table entry make unlikely take more words than a row begins with."""
+    counts = np.array([1 << 40] + [1] * 60_000)
+    tables = tokenfile.Tables.of(np.zeros(70_000, np.int64), counts)
+    ids = np.random.default_rng(5).integers(1, 60_001, (3, 1024))
+    payloads = tokenfile.code_blocks(ids, tables)
+    assert min(map(len, payloads)) > 2 * (2 * tokenfile.STEPS * tokenfile.WORDS_A_STEP + tokenfile.ROW_GAP)
+    assert (tokenfile.decode_blocks(payloads, 1024, tables) == ids).all()
+
+
 def test_repetition_is_predicted():
     draw = np.random.default_rng(1)
     phrase = draw.integers(0, 40_000, 40)

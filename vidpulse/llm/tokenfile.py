@@ -45,6 +45,8 @@ MAX_BLOCK, MIN_BLOCK, LANES = 1024, 512, 3072
 #: Ids from which a file is closed and the next one begun, and text bytes of a task.
 FILE_IDS = 48 << 20
 TASK_BYTES = 256 << 20
+#: Text bytes that are encoded at once: distinct words are merged once in each slice.
+SLICE_BYTES = 6 << 20
 #: Each task compares one text of this many with the tokenizers library.
 CHECK_EVERY = 4096
 
@@ -56,6 +58,8 @@ SLOTS = 512
 #: Adaptive rate, and what a gate tends to when its guess is wrong or right.
 RATE, WRONG, RIGHT = 4, 4, 1000
 STEPS, WORDS_A_STEP = 64, 8
+#: Words by which rows miss a power of two, so that lanes don't share lines of a cache.
+ROW_GAP = 32
 TOP, BOTTOM = np.uint64(1 << 48), np.uint64(1 << 40)
 WORD = np.uint64(16)
 
@@ -89,7 +93,7 @@ class Tables:
         self.before = before - (self.class_of << bits)
         self.contexts, self.classes = after.shape
         self.width = np.ascontiguousarray(after.reshape(-1))
-        self.edge = (np.cumsum(after, 1) - after).reshape(-1)
+        self.edge = (np.cumsum(after, 1) - after).reshape(-1) << bits
 
     @classmethod
     def of(cls, ranks: np.ndarray, counts: np.ndarray) -> Tables:
@@ -126,26 +130,49 @@ class Tables:
         """``(start, size)`` of ids of ``1 << total``, by orders 1 and 0."""
         at = context + self.class_of.take(ids)
         width = self.width.take(at)
-        start = (self.edge.take(at) << self.bits) + self.before.take(ids) * width
-        return start, self.shares.take(ids) * width
+        start = self.before.take(ids)
+        start *= width
+        start += self.edge.take(at)
+        width *= self.shares.take(ids)
+        return start, width
 
     def prepare(self) -> None:
         """Tables from a place to the class and the id there, for decoding."""
         self.class_at = np.repeat(np.tile(np.arange(self.classes, dtype=np.uint8), self.contexts), self.width)
         self.id_at = np.repeat(np.arange(len(self.shares), dtype=np.uint16), self.shares)
 
-    def find(self, place: np.ndarray, context: np.ndarray, row: np.ndarray) -> np.ndarray:
-        """The id whose interval holds ``place``; ``row`` is the context's number times ``1 << CLASS_BITS``."""
+    def locate(self, place: np.ndarray, context: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The id whose interval holds ``place``, and that interval as ``(id, start, size)``.
+
+        ``row`` is the context's number times ``1 << CLASS_BITS``.
+        """
         kind = self.class_at.take(row + (place >> self.bits)).astype(np.int64)
         at = context + kind
-        share = (place - (self.edge.take(at) << self.bits)) // self.width.take(at)
-        return self.id_at.take((kind << self.bits) + share).astype(np.int64)
+        start, width = self.edge.take(at), self.width.take(at)
+        # Both are below 1 << 53, so the quotient of doubles has the right whole part.
+        share = ((place - start) / width).astype(np.int64)
+        kind <<= self.bits
+        kind += share
+        ids = self.id_at.take(kind).astype(np.int64)
+        start += self.before.take(ids) * width
+        width *= self.shares.take(ids)
+        return ids, start, width
+
+    def find(self, place: np.ndarray, context: np.ndarray, row: np.ndarray) -> np.ndarray:
+        return self.locate(place, context, row)[0]
 
 
 def guess_slots(one: np.ndarray, two: np.ndarray) -> np.ndarray:
     return (one * 40503 + two * 30011 >> 5) & (SLOTS - 1)
 
 
+def _moves() -> tuple[np.ndarray, np.ndarray]:
+    """By ``hit``, then gate, the gate after it; by ``hit``, then trust, the change of an entry."""
+    gate = np.arange(1 << GATE_BITS)
+    gates = [gate + ((target - gate) >> RATE) for target in (WRONG, RIGHT)]
+    return np.concatenate(gates), np.array([0, -1, -1, -1, 1, 1, 1, 0], np.int32)
+
+
 class Guess:
     """Order 2 of many blocks, one per lane: the guessed ids and the gates of their confidence."""
 
@@ -155,6 +182,7 @@ class Guess:
         self.lane = np.arange(lanes, dtype=np.int64)
         self.first, self.row = self.lane * SLOTS, self.lane * 8
         self.hit = np.zeros(lanes, np.int64)
+        self.gate_after, self.entry_moves = _moves()
 
     def predict(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """``(guessed ids, gates)``."""
@@ -168,69 +196,89 @@ class Guess:
 
     def learn(self, ids: np.ndarray, hit: np.ndarray) -> None:
         """Gates move; trust grows to 3 while right, falls when wrong, and then the guess changes."""
-        self.gates[self.at] = self.gate + ((hit * (RIGHT - WRONG) + WRONG - self.gate) >> RATE)
-        fresh = np.where(self.trust > 0, self.entry - 1, ids << 2)
-        self.entries[self.slot] = np.where(hit, self.entry + (self.trust < 3), fresh)
-        self.hit = hit * 4
+        self.gates[self.at] = self.gate_after.take(self.gate + (hit << GATE_BITS))
+        self.hit = hit << 2
+        state = self.hit + self.trust
+        self.entry += self.entry_moves.take(state)
+        np.copyto(self.entry, ids << 2, where=state == 0, casting="same_kind")
+        self.entries[self.slot] = self.entry
+
+
+def _due(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(lanes whose first word is due, whether it is settled)``; else the range is too short to go on."""
+    settled = (low ^ (low + span)) < TOP
+    on = np.flatnonzero(settled | (span < BOTTOM))
+    return on, settled.take(on)
+
+
+def _cut(low: np.ndarray, span: np.ndarray, settled: np.ndarray) -> None:
+    """Short ranges end where the first word would change."""
+    if not settled.all():
+        short = np.flatnonzero(~settled)
+        span[short] = (~low[short] + np.uint64(1)) & (BOTTOM - np.uint64(1))
 
 
 class RangeEncoder:
     def __init__(self, lanes: int):
         self.low = np.zeros(lanes, np.uint64)
         self.range = np.full(lanes, 2**64 - 1, np.uint64)
-        self.done: list[list[bytes]] = [[] for _ in range(lanes)]
-        self.words = np.empty(lanes * WORDS_A_STEP * STEPS, np.uint16)
-        self.first, self.used = np.arange(lanes) * WORDS_A_STEP * STEPS, np.zeros(lanes, np.int64)
+        self._lay(np.empty((lanes, 2 * STEPS * WORDS_A_STEP + ROW_GAP), np.uint16), np.zeros(lanes, np.int64))
+
+    def _lay(self, words: np.ndarray, used: np.ndarray) -> None:
+        self.rows, self.words = words, words.reshape(-1)
+        self.first = np.arange(len(words)) * words.shape[1]
+        self.end = self.first + used
 
-    def collect(self) -> None:
-        """Put the words aside; due every ``STEPS`` steps, each gives at most ``WORDS_A_STEP``."""
-        for own, row, n in zip(self.done, self.words.reshape(len(self.done), -1), self.used.tolist()):
-            own.append(row[:n].astype("<u2").tobytes())
-        self.used[:] = 0
+    def make_room(self) -> None:
+        """Due every ``STEPS`` steps, each gives at most ``WORDS_A_STEP`` words."""
+        used, width = self.end - self.first, self.rows.shape[1]
+        if used.max() + (STEPS + 1) * WORDS_A_STEP > width:
+            wider = np.empty((len(used), 2 * width + ROW_GAP), np.uint16)
+            wider[:, :width] = self.rows
+            self._lay(wider, used)
 
     def put(self, start: np.ndarray, size: np.ndarray, bits: int) -> None:
         """Narrow each lane to ``start`` and ``size`` of ``1 << bits``."""
         self.range >>= np.uint64(bits)
         self.low += self.range * start.view(np.uint64)
         self.range *= size.view(np.uint64)
-        live = None
-        while True:
-            low, span = (self.low, self.range) if live is None else (self.low[live], self.range[live])
-            settled = (low ^ (low + span)) < TOP
-            short = ~settled & (span < BOTTOM)
-            out = settled | short
-            if not out.any():
-                return
-            if short.any():
-                span = np.where(short, (~low + np.uint64(1)) & (BOTTOM - np.uint64(1)), span)
-            on = np.flatnonzero(out)
-            live = on if live is None else live[on]
-            self.words[self.first[live] + self.used[live]] = low[on] >> np.uint64(48)
-            self.used[live] += 1
-            self.low[live] = low[on] << WORD
-            self.range[live] = span[on] << WORD
+        low, span = self.low, self.range
+        live, settled = _due(low, span)
+        on = live
+        while len(on):
+            low, span = low.take(on), span.take(on)
+            _cut(low, span, settled)
+            at = self.end.take(live)
+            self.words[at] = low >> np.uint64(48)
+            self.end[live] = at + 1
+            low <<= WORD
+            span <<= WORD
+            self.low[live], self.range[live] = low, span
+            on, settled = _due(low, span)
+            live = live.take(on)
 
     def payloads(self) -> list[bytes]:
         for _ in range(4):
-            self.words[self.first + self.used] = self.low >> np.uint64(48)
-            self.used += 1
+            self.words[self.end] = self.low >> np.uint64(48)
+            self.end += 1
             self.low <<= WORD
-        self.collect()
-        return [b"".join(own) for own in self.done]
+        return [row[:n].astype("<u2").tobytes() for row, n in zip(self.rows, (self.end - self.first).tolist())]
 
 
 class RangeDecoder:
     def __init__(self, payloads: list[bytes]):
         sizes = [len(p) // 2 for p in payloads]
-        self.words = np.zeros((len(payloads), max(sizes) + 8), np.uint64)
-        for row, p, n in zip(self.words, payloads, sizes):
+        words = np.zeros((len(payloads), (max(sizes) + 8 | ROW_GAP - 1) + 2), np.uint16)
+        for row, p, n in zip(words, payloads, sizes):
             row[:n] = np.frombuffer(p, "<u2")
         self.low = np.zeros(len(payloads), np.uint64)
         self.range = np.full(len(payloads), 2**64 - 1, np.uint64)
         self.code = np.zeros(len(payloads), np.uint64)
         for k in range(4):
-            self.code = (self.code << WORD) | self.words[:, k]
-        self.used = np.full(len(payloads), 4, np.int64)
+            self.code = (self.code << WORD) | words[:, k]
+        self.words = words.reshape(-1)
+        first = np.arange(len(payloads)) * words.shape[1]
+        self.next, self.last = first + 4, first + words.shape[1] - 1
 
     def point(self, bits: int) -> np.ndarray:
         """Where in ``1 << bits`` each lane's code lies."""
@@ -240,23 +288,21 @@ class RangeDecoder:
     def take(self, start: np.ndarray, size: np.ndarray) -> None:
         self.low += self.range * start.view(np.uint64)
         self.range *= size.view(np.uint64)
-        live = None
-        while True:
-            low, span = (self.low, self.range) if live is None else (self.low[live], self.range[live])
-            settled = (low ^ (low + span)) < TOP
-            short = ~settled & (span < BOTTOM)
-            out = settled | short
-            if not out.any():
-                return
-            if short.any():
-                span = np.where(short, (~low + np.uint64(1)) & (BOTTOM - np.uint64(1)), span)
-            on = np.flatnonzero(out)
-            live = on if live is None else live[on]
-            at = np.minimum(self.used[live], self.words.shape[1] - 1)
-            self.code[live] = (self.code[live] << WORD) | self.words[live, at]
-            self.used[live] += 1
-            self.low[live] = low[on] << WORD
-            self.range[live] = span[on] << WORD
+        low, span = self.low, self.range
+        live, settled = _due(low, span)
+        on = live
+        while len(on):
+            low, span = low.take(on), span.take(on)
+            _cut(low, span, settled)
+            at = self.next.take(live)
+            code = self.code.take(live) << WORD
+            code |= self.words.take(np.minimum(at, self.last.take(live)))
+            self.next[live] = at + 1
+            low <<= WORD
+            span <<= WORD
+            self.low[live], self.range[live], self.code[live] = low, span, code
+            on, settled = _due(low, span)
+            live = live.take(on)
 
 
 def code_blocks(ranks: np.ndarray, tables: Tables) -> list[bytes]:
@@ -280,7 +326,7 @@ def code_blocks(ranks: np.ndarray, tables: Tables) -> list[bytes]:
             coder.put(start, size, bits)
             guess.learn(own, hit)
         two, one = before[-2], before[-1]
-        coder.collect()
+        coder.make_room()
     return coder.payloads()
 
 
@@ -302,17 +348,21 @@ def decode_blocks(payloads: list[bytes], steps: int, tables: Tables) -> np.ndarr
         size *= rest
         size += gate
         after = point >= start + size
-        hit = ((point >= start) & ~after).astype(np.int64)
+        hit = (point >= start) & ~after
         # Both are below 1 << 53, so the quotient of doubles has the right whole part.
-        place = ((point - after * gate) / rest).astype(np.int64)
+        gate *= after
+        place = ((point - gate) / rest).astype(np.int64)
         row = np.minimum(one, tables.contexts - 1) << CLASS_BITS
         np.minimum(place, (1 << tables.total) - 1, out=place)
-        own = np.where(hit, guessed, tables.find(place, context, row))
-        other, width = tables.interval(own, context)
-        start = np.where(hit, start, other * rest + after * gate)
-        size = np.where(hit, size, width * rest)
+        own, other, width = tables.locate(place, context, row)
+        other *= rest
+        other += gate
+        width *= rest
+        for mine, of_guess in ((own, guessed), (other, start), (width, size)):
+            np.copyto(mine, of_guess, where=hit)
+        start, size = other, width
         coder.take(start, size)
-        guess.learn(own, hit)
+        guess.learn(own, hit.astype(np.int64))
         two, one = one, own
         out[k] = own
     return out.T
@@ -440,7 +490,7 @@ def write_files(
             return pa.RecordBatch.from_pylist([row]).select(["path", "part", "number", "documents", "ids", "bytes"])
 
         for batch in batches:
-            for rows in slices(batch, text):
+            for rows in slices(batch, text, SLICE_BYTES):
                 out = out or FileWriter(f"{folder}/part-{part:06d}-{number:04d}-{uuid.uuid4().hex}.ids")
                 texts = texts_of(rows, text)
                 ids, n = own.encode(texts, met.ids)
