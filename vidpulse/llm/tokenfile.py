@@ -46,7 +46,7 @@ MAX_BLOCK, MIN_BLOCK, LANES = 1024, 512, 3072
 FILE_IDS = 48 << 20
 TASK_BYTES = 256 << 20
 #: Text bytes that are encoded at once: distinct words are merged once in each slice.
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 12 << 20
 #: Each task compares one text of this many with the tokenizers library.
 CHECK_EVERY = 4096
 
