@@ -16,7 +16,7 @@ from vidpulse.sources import manifest
 from vidpulse.sources.sinks import write_topic
 from vidpulse.sources.tables import read_table
 from vidpulse.sources.topic import peek_topic, read_topic_batch
-from vidpulse.streaming import progress
+from vidpulse.streaming import medallion, progress
 from vidpulse.streaming.features import stream_cells
 from vidpulse.streaming.medallion import append_available, drain, run_bronze, run_silver, write_stream
 from vidpulse.streaming.stateful import (
@@ -229,6 +229,59 @@ def test_a_batch_takes_at_most_the_offsets_of_a_file(spark, sf_dir, tmp_path, mo
     assert len(sizes) == 10 and max(sizes) == 100 and sum(sizes) == 950
 
 
+def test_logs_of_a_long_drain_stay_brief(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr("vidpulse.sources.sinks.MAX_OFFSETS_PER_TRIGGER", 2)
+    monkeypatch.setattr("vidpulse.streaming.medallion.LOG_CLEANUP", "0s")
+    spark.conf.set("spark.sql.streaming.minBatchesToRetain", 2)
+    messages = inputs.topic(spark, sf_dir).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")).drop("event_id")
+    paths = {n: str(tmp_path / n) for n in ("topic", "bronze", "state")}
+    try:
+        for low, high in ((0, 30), (30, 50)):
+            part = messages.filter(F.col("offset").between(low, high - 1)).coalesce(1)
+            write_topic(part, paths["topic"], fmt="parquet")
+            assert run_bronze(spark, paths["topic"], paths["bronze"], paths["state"], topic_fmt="parquet").rows == high - low
+    finally:
+        spark.conf.unset("spark.sql.streaming.minBatchesToRetain")
+    sizes = [r.written for r in progress.batch_records(spark, paths["state"]).collect()]
+    assert len(sizes) == 25 and max(sizes) == 2
+    assert sorted(r["offset"] for r in read_table(spark, paths["bronze"]).collect()) == list(range(50))
+    # 25 batches, of whose log files those up to the last compact one but one are gone.
+    for log in ("bronze/_spark_metadata", "state/sources/0"):
+        names = {p.name for p in (tmp_path / log).iterdir() if p.name[0] != "."}
+        assert {"19.compact", "24"} <= names and not names & {"0", "5", "9.compact"} and len(names) < 17
+
+
+def test_settings_of_a_drain_end_with_it(spark, sf_dir, tmp_path, monkeypatch):
+    keys = (*medallion.CLEANUP_DELAYS, medallion.LOG_MANAGER)
+    now = lambda: [spark.conf.get(k, None) for k in keys]
+    seen = []
+    monkeypatch.setattr(medallion, "drain", lambda query: (seen.append(now()), drain(query)))
+    messages = inputs.topic(spark, sf_dir).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp")).drop("event_id")
+    write_topic(messages.coalesce(1), str(tmp_path / "topic"), fmt="parquet")
+    before = now()
+    run = lambda n: run_bronze(spark, str(tmp_path / "topic"), str(tmp_path / n), str(tmp_path / f"{n}-state"), topic_fmt="parquet")
+    assert run("a").rows == messages.count()
+    assert seen[0][:2] == [medallion.LOG_CLEANUP] * 2 and seen[0][2] in medallion.RENAMING_MANAGERS
+    assert before == now() == [None] * 3
+    spark.conf.set(keys[0], "5m")
+    try:
+        run("b")
+        assert seen[1] == ["5m", *seen[0][1:]] and now() == ["5m", None, None]
+    finally:
+        spark.conf.unset(keys[0])
+    with pytest.raises(RuntimeError), medallion.brief_logs(spark, str(tmp_path)):
+        raise RuntimeError
+    assert now() == [None] * 3
+    # Logs that don't lie on a local file system are written as before.
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.logs.link./x", f"file://{tmp_path}")
+    try:
+        with medallion.brief_logs(spark, str(tmp_path), "viewfs://logs/x"):
+            assert now() == [medallion.LOG_CLEANUP] * 2 + [None]
+    finally:
+        conf.unset("fs.viewfs.mounttable.logs.link./x")
+
+
 # --- scopes -------------------------------------------------------------------
 
 
